@@ -46,3 +46,14 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
 def fold(column: str, parts: int) -> F.Column:
     """crc32 of the id as text, modulo parts; an unknown id is in no fold (null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
+    """About ``rows`` (text, label) of labelled rows, for fitting a classifier: ids below a hash threshold that follows from the
+    count of labels; texts over ``chars`` are left out of the sample."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label).alias("_label"))
+    n = known.count()
+    part = min(1.0, rows / n) if n else 0.0
+    chosen = known.filter(F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).limit(2 * rows)
+    found = docs.join(F.broadcast(chosen), id_col).filter(F.length(text_col) <= chars).select(id_col, text_col, "_label")
+    return [(t, y) for _, t, y in sorted(map(tuple, found.collect()), key=lambda r: (str(r[0]), r[1]))]

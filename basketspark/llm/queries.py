@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from . import packing, simhash_dedup
+from . import chat_format, media_columns, mixing, packing, quality_rules, secret_scan, simhash_dedup
 from .common import table
 
 QUERIES = {
     "op1_simhash_dedup": lambda spark, d: simhash_dedup.query(table(spark, d, "documents")),
+    "op3_chat_format": lambda spark, d: chat_format.query(table(spark, d, "conversations")),
+    "op4_secret_scan": lambda spark, d: secret_scan.query(table(spark, d, "documents")),
+    "op6_quality_rules": lambda spark, d: quality_rules.query(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op7_media_columns": lambda spark, d: media_columns.query(table(spark, d, "documents")),
     "op9_best_fit_packing": lambda spark, d: packing.query(table(spark, d, "documents")),
+    "op10_mixing": lambda spark, d: mixing.query(table(spark, d, "documents")),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_format": chat_format.ORACLE_SQL,
+    "op10_mixing": mixing.ORACLE_SQL,
+}
