@@ -57,3 +57,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
     chosen = known.filter(F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).limit(2 * rows)
     found = docs.join(F.broadcast(chosen), id_col).filter(F.length(text_col) <= chars).select(id_col, text_col, "_label")
     return [(t, y) for _, t, y in sorted(map(tuple, found.collect()), key=lambda r: (str(r[0]), r[1]))]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write the table beside the checkpoints, in the folder all executors share, and read it again."""
+    from uuid import uuid4
+
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    path = f"{sc.getCheckpointDir()}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

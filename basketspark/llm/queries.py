@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat_format, media_columns, mixing, packing, quality_rules, secret_scan, simhash_dedup
+from . import chat_format, html_extract, language_id, media_columns, mixing, packing, quality_rules, secret_scan, simhash_dedup, toxicity
 from .common import table
 
 QUERIES = {
     "op1_simhash_dedup": lambda spark, d: simhash_dedup.query(table(spark, d, "documents")),
+    "op2_html_extract": lambda spark, d: html_extract.query(table(spark, d, "pages")),
     "op3_chat_format": lambda spark, d: chat_format.query(table(spark, d, "conversations")),
     "op4_secret_scan": lambda spark, d: secret_scan.query(table(spark, d, "documents")),
+    "op5_language_id": lambda spark, d: language_id.query(table(spark, d, "documents")),
     "op6_quality_rules": lambda spark, d: quality_rules.query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_media_columns": lambda spark, d: media_columns.query(table(spark, d, "documents")),
+    "op8_toxicity": lambda spark, d: toxicity.query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_best_fit_packing": lambda spark, d: packing.query(table(spark, d, "documents")),
     "op10_mixing": lambda spark, d: mixing.query(table(spark, d, "documents")),
 }
