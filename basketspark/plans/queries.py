@@ -298,7 +298,7 @@ def word_count(spark, d):
 
 
 @query("""SELECT word, (CASE WHEN n >= 5 THEN row_number() OVER (PARTITION BY n >= 5 ORDER BY n DESC, word) ELSE 0 END)::INT AS word_idx
-FROM (SELECT unnest(regexp_split_to_array(trim(lower(text)), '\\s+')) AS word, count(*) AS n FROM documents GROUP BY ALL) WHERE word <> ''""", star=False)
+FROM (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(trim(lower(text)), '\\s+')) AS word FROM documents) GROUP BY word) WHERE word <> ''""", star=False)
 def word_index(spark, d):
     return text.word_index(_table(spark, d, "documents"), "text", MIN_FREQ)
 
@@ -357,10 +357,10 @@ _DIRTY = {
 }
 
 
-@query("""SELECT count(*) AS total, count_if(l_orderkey IS NULL) AS l_orderkey_nullability, count_if(l_linenumber = 3) AS line_nullability,
-  count_if(l_quantity IS NULL) AS l_quantity_nullability, count_if(l_quantity < 2 OR l_quantity > 45) AS l_quantity_range,
-  count_if(l_returnflag IS NULL) AS l_returnflag_nullability, count_if(l_returnflag NOT IN ('A', 'N')) AS l_returnflag_allowed_values, count_if(l_discount > 0.08) AS l_discount_range,
-  count_if(length(p_brand) <> 8) AS brand_string_length, count_if(NOT regexp_matches(p_brand, '^Brand#1[0-9]*$')) AS brand_pattern
+@query("""SELECT count(*) AS total, count_if(l_orderkey IS NULL)::BIGINT AS l_orderkey_nullability, count_if(l_linenumber = 3)::BIGINT AS line_nullability,
+  count_if(l_quantity IS NULL)::BIGINT AS l_quantity_nullability, count_if(l_quantity < 2 OR l_quantity > 45)::BIGINT AS l_quantity_range,
+  count_if(l_returnflag IS NULL)::BIGINT AS l_returnflag_nullability, count_if(l_returnflag NOT IN ('A', 'N'))::BIGINT AS l_returnflag_allowed_values, count_if(l_discount > 0.08)::BIGINT AS l_discount_range,
+  count_if(length(p_brand) <> 8)::BIGINT AS brand_string_length, count_if(NOT regexp_matches(p_brand, '^Brand#1[0-9]*$'))::BIGINT AS brand_pattern
 FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""", star=False)
 def dq_column_metrics(spark, d):
     lines = _table(spark, d, "lineitem").join(_table(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"), "left")
@@ -368,7 +368,7 @@ def dq_column_metrics(spark, d):
     return metrics.counted(lines, metrics.column_metrics(_DIRTY))
 
 
-@query("SELECT count(*) AS total, count_if(len(string_split(text, ' ')) < 20 OR len(string_split(text, ' ')) > 500) AS words_array_length FROM documents", star=False)
+@query("SELECT count(*) AS total, count_if(len(string_split(text, ' ')) < 20 OR len(string_split(text, ' ')) > 500)::BIGINT AS words_array_length FROM documents", star=False)
 def dq_array_length(spark, d):
     words = _table(spark, d, "documents").select(F.split("text", " ").alias("words"))
     return metrics.counted(words, metrics.column_metrics({"schema": [contracts.column("words", "array<string>", True, minimum_items=20, maximum_items=500)]}))
@@ -402,7 +402,7 @@ _FIELDS = [
 _FIELD_SQL = """
 d AS (SELECT nullif(l_orderkey, l_orderkey - l_orderkey % 50) AS order_key, l_linenumber, l_partkey, l_returnflag FROM lineitem),
 f AS (SELECT order_key, min(l_linenumber) AS first_line, max(l_linenumber) AS last_line, count(l_linenumber) AS lines, count(DISTINCT l_linenumber) AS different_lines,
-             sum(l_linenumber)::BIGINT AS line_sum, count_if(l_returnflag = 'R') AS returned FROM d WHERE order_key IS NOT NULL GROUP BY order_key),
+             sum(l_linenumber)::BIGINT AS line_sum, count_if(l_returnflag = 'R')::BIGINT AS returned FROM d WHERE order_key IS NOT NULL GROUP BY order_key),
 r AS (SELECT d.*, f.* EXCLUDE (order_key), first_line = 1 AND last_line = different_lines AS gapless FROM d LEFT JOIN f USING (order_key))"""
 
 
@@ -424,7 +424,7 @@ def dq_partition_rules(spark, d):
 _RULES = {"cheap_when_many": "l_quantity < 40 OR l_discount >= 0.03", "no_tax_on_returns": "l_returnflag <> 'R' OR l_tax < 0.05", "second_line_is_unknown": "nullif(l_linenumber, 2) <> 1"}
 
 
-@query("SELECT count(*) AS total, " + ", ".join(f"count_if(NOT ({e})) AS {n}" for n, e in _RULES.items()) + " FROM lineitem", star=False)
+@query("SELECT count(*) AS total, " + ", ".join(f"count_if(NOT ({e}))::BIGINT AS {n}" for n, e in _RULES.items()) + " FROM lineitem", star=False)
 def dq_row_rules(spark, d):
     return metrics.counted(_table(spark, d, "lineitem"), rules.rule_metrics([{"name": n, "expression": e} for n, e in _RULES.items()]))
 
@@ -440,7 +440,7 @@ def _report_sql() -> str:
     checks += [(f"{c}_range", "range", c, test, most, severity) for c, test, most, severity in (("order_id", "order_id < 1", 0, "critical"), ("user_id", "user_id < 1", 0, "error"), ("order_number", "order_number < 1", 0, "error"), ("order_dow", "order_dow NOT BETWEEN 0 AND 6", 5, "error"), ("order_hour_of_day", "order_hour_of_day NOT BETWEEN 0 AND 23", 5, "error"), ("days_since_prior_order", "days_since_prior_order NOT BETWEEN 0 AND 30", 10, "error"))]
     checks += [("eval_set_allowed_values", "allowed_values", "eval_set", "eval_set NOT IN ('prior', 'train', 'test')", 5, "error"), ("order_id_uniqueness", "uniqueness", "order_id", "copies > 1", 0, "critical")]
     checks += [(n, "row_logic", "", f"NOT ({e})", 0, "critical") for n, e in (("first_order_has_no_prior_interval", "order_number <> 1 OR days_since_prior_order IS NULL"), ("later_orders_must_have_prior_interval", "order_number = 1 OR days_since_prior_order IS NOT NULL"), ("last_order_per_user_is_train_or_test", "order_number <> most OR eval_set IN ('train', 'test')"), ("only_one_train_or_test_per_user", "targets = 1"), ("contiguous_order_numbers", "least_number = 1 AND most = different"))]
-    rows = " UNION ALL ".join(f"SELECT '{n}' AS rule_name, '{k}' AS category, '{c}' AS columns, (SELECT count_if({t}) FROM e) AS failed_count, {most}::DOUBLE AS most, '{sev}' AS beyond" for n, k, c, t, most, sev in checks)
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS rule_name, '{k}' AS category, '{c}' AS columns, (SELECT count_if({t})::BIGINT FROM e) AS failed_count, {most}::DOUBLE AS most, '{sev}' AS beyond" for n, k, c, t, most, sev in checks)
     return f"""
 q AS (SELECT order_id, user_id, CASE WHEN order_id % 100 = 0 THEN NULL WHEN order_id % 100 = 1 THEN 'other' ELSE eval_set END AS eval_set, order_number,
              CASE WHEN order_id % 30 = 0 THEN 9 ELSE order_dow END AS order_dow, CASE WHEN order_id % 10 = 0 THEN 25 ELSE order_hour_of_day END AS order_hour_of_day,
