@@ -84,7 +84,8 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
                 s = c[0]
                 if len(set(s)) < DIFFERENT or not (re.search(r"[0-9]", s) and re.search(r"[A-Za-z]", s)):
                     continue
-                if novelty(s, text[max(0, a - AROUND) : a] + " " + text[b : b + AROUND]) >= NOVELTY:
+                # A key that is written twice must not be predicted by its own copy.
+                if novelty(s, (text[max(0, a - AROUND) : a] + " " + text[b : b + AROUND]).replace(s, " ")) >= NOVELTY:
                     seen.add((a, b))
                     found.append((a, b, "novel"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))

@@ -173,7 +173,8 @@ def test_novel_strings():
     assert kinds(f"nothing to hide {key}") == [] and kinds("bearer zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz1") == []
     assert kinds("auth 0123456789abcdefghijklmnopqrstuvwxyz") == []
     assert secret_scan.redact(f"bearer {key} token={key} end") == "bearer [SECRET] [SECRET] end" and secret_scan.redact(None) is None
-    assert kinds(f"{key} {key} the bearer {key}") == []  # the text itself predicts it
+    assert kinds(f"bearer {key} {key}") == ["novel", "novel"]  # its own copy doesn't make it known
+    assert kinds("abcSession1Handler2Factory abcSession1Handler2Fact the key abcSession1Handler2Factory9") == []  # the text does
 
 
 def test_secret_rows(spark, odd, documents):
