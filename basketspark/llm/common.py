@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that a task turns into Python values at a time.
+ROWS = 512
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,7 +39,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
 
         arrow = to_arrow_schema(out)
         state = setup() if setup else None
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             values = [rows(state, *row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             turned = list(zip(*values, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(v, type=arrow.field(i).type) for i, v in enumerate(turned)], schema=arrow)

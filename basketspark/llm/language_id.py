@@ -15,7 +15,7 @@ gives no rows.
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -142,7 +142,7 @@ class CrossParser:
         return out
 
 
-@cache
+@lru_cache(maxsize=1)
 def _parser(learnt: tuple) -> CrossParser:
     return CrossParser(dict(learnt))
 

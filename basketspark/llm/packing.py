@@ -15,8 +15,8 @@ from __future__ import annotations
 import os
 import re
 from collections import defaultdict
-from functools import cache
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 LENGTH = 4096
 END = 1
 GROUP = 20_000
-#: Words and word parts whose ids a Python worker remembers, and the longest word it does so for.
-KNOWN, KNOWN_CHARS = 500_000, 40
+#: Words and word parts whose ids a task remembers, the longest word it does so for, and the part of them that stays
+#: when there is no room: the earliest learnt, which are the most frequent.
+WORDS, PARTS_KNOWN, KNOWN_CHARS, STAYING = 200_000, 250_000, 40, 0.4
 #: Chunks whose normal form and parts Python finds as the tokenizer does: printable ASCII and Latin-1 letters.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 #: Fixed: the tokenizer's own split of lower-case text.
@@ -41,27 +42,35 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@lru_cache(maxsize=1)
+def tokenizer(path: str) -> tuple:
+    """The tokenizer, and which ids end a part."""
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    of = Tokenizer.from_file(path)
+    vocabulary = of.get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+    return of, ends
+
+
 class Encoder:
     """Ids of whole texts as little-endian uint32 bytes.
 
     The tokenizer drops white space and never joins tokens across it, nor across the parts of PARTS, each of which ends in a
-    token marked </w>. So texts are cut at blanks and line ends, and each different part is tokenized once in a worker.
+    token marked </w>. So texts are cut at blanks and line ends, and each different part is tokenized once in a task.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.of, self.words, self.parts = Tokenizer.from_file(path), {}, {}
-        vocabulary = self.of.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+        self.of, self.ends = tokenizer(path)
+        self.words, self.parts = {}, {}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > KNOWN:
-            self.words.clear()
-        if len(self.parts) + len(words) > KNOWN:
-            self.parts.clear()
+        if len(self.words) + len(words) > WORDS:
+            self.words = dict(islice(self.words.items(), int(STAYING * WORDS)))
+        if len(self.parts) + len(words) > PARTS_KNOWN:
+            self.parts = dict(islice(self.parts.items(), int(STAYING * PARTS_KNOWN)))
         plain, odd = {}, []
         for w in words:
             if PLAIN.fullmatch(w) and "<|" not in w:
@@ -103,11 +112,6 @@ class Encoder:
         return [b"".join(ids) for ids, _ in found]
 
 
-@cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, length: int = LENGTH) -> DataFrame:
     """(id, piece, start, length, ids_crc32): the tokenized pieces of each text, its end token included."""
     kind = docs.schema[id_col].dataType
@@ -117,7 +121,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
 
-        known = encoder(path)
+        known = Encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)

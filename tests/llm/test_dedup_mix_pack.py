@@ -188,7 +188,7 @@ def test_encoder_is_the_tokenizer(text):
     from tokenizers import Tokenizer
 
     path = packing.tokenizer_path()
-    assert np.frombuffer(packing.encoder(path).texts([text])[0], "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.Encoder(path).texts([text])[0], "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
 def test_pack_is_whole_and_tight():
