@@ -31,17 +31,19 @@ def _steps(lines: DataFrame) -> DataFrame:
 
 
 def _baskets(steps: DataFrame, facts: list[Column]) -> DataFrame:
-    """A row for each basket with its times and ``facts``."""
-    times = [F.min(c).alias(c) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set")]
+    """A row for each basket with its times and ``facts``. Without eval_set, a text, the aggregate can use hashing."""
+    times = [F.min(c).alias(c) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set") if c in steps.columns]
     return steps.groupBy("user_id", "order_id", "order_number", "is_target").agg(*times, *facts)
 
 
 def _users(baskets: DataFrame, facts: list[str]) -> DataFrame:
-    """A row for each user: ``h`` the history's baskets, ``t`` the target's facts (null without one), times as texts, eval_set."""
-    every = ["order_number", "is_target", "order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set", *facts]
+    """A row for each user: ``h`` the history's baskets, ``t`` the target's facts (null without one), times as texts, eval_set
+    if the baskets have it."""
+    split = "eval_set" in baskets.columns
+    every = ["order_number", "is_target", "order_dow", "order_hour_of_day", "days_since_prior_order", *["eval_set"] * split, *facts]
     grouped = baskets.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(*every))).alias("o"))
     history = F.filter("o", lambda x: ~x.is_target)
-    return grouped.select("user_id", history.alias("h"), F.try_element_at(F.filter("o", lambda x: x.is_target), F.lit(1)).alias("t"), user_split(F.element_at("o", -1)["eval_set"]).alias("eval_set"), *(joined(F.col(f"o.{f}")).alias(name) for name, f in TIMES.items()))
+    return grouped.select("user_id", history.alias("h"), F.try_element_at(F.filter("o", lambda x: x.is_target), F.lit(1)).alias("t"), *[user_split(F.element_at("o", -1)["eval_set"]).alias("eval_set")] * split, *(joined(F.col(f"o.{f}")).alias(name) for name, f in TIMES.items()))
 
 
 def _by_step(value) -> Column:
@@ -51,7 +53,7 @@ def _by_step(value) -> Column:
 def product_history(lines: DataFrame, targets: DataFrame, products: DataFrame) -> DataFrame:
     """A row for each user and product of the history. ``label``: whether a train user's target has it, -1 for others."""
     first = F.min(F.when(~F.col("is_target"), F.col("order_number"))).over(Window.partitionBy("user_id", "product_id"))
-    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order")).withColumn("first", first)
+    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "order_dow", "order_hour_of_day", "days_since_prior_order")).withColumn("first", first)
     again = F.countDistinct(F.when(F.col("first") < F.col("order_number"), F.col("product_id")))
     users = _users(_baskets(steps, [F.count("*").alias("size"), again.alias("again")]), ["size", "again"])
     own = steps.groupBy("user_id", "product_id", "order_number", "is_target").agg(F.min("place").alias("place"))
@@ -77,7 +79,7 @@ def product_history(lines: DataFrame, targets: DataFrame, products: DataFrame) -
 
 def no_reorder_history(lines: DataFrame, targets: DataFrame) -> DataFrame:
     """A row of product 0 for each user: in which baskets nothing was reordered. A train user without a target has no label."""
-    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "reordered", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order"))
+    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "reordered", "order_dow", "order_hour_of_day", "days_since_prior_order"))
     users = _users(_baskets(steps, [F.count("*").alias("size"), F.sum("reordered").cast("int").alias("again"), F.max("reordered").alias("any")]), ["size", "again", "any"])
     zero = F.lit(0).cast("int")
     return (
