@@ -12,7 +12,7 @@ carried; pages of any length are read whole; an empty table gives no rows. Only
 from __future__ import annotations
 
 import re
-from functools import cache
+from functools import cache, lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -22,29 +22,30 @@ from pyspark.sql import DataFrame
 from .html_blocks import Block, blocks
 from .html_training import labelled_pages
 
-TAGS, NAMES, WORDS, FIGURES = 48, 112, 48, 14
-WIDTH = TAGS + NAMES + WORDS + FIGURES
+#: Inputs: elements of the path, names of the innermost named element, names of those around it, words, figures.
+TAGS, NAMES, AROUND, WORDS, FIGURES = 48, 112, 64, 48, 14
+PATH = TAGS + NAMES + AROUND
+WIDTH = PATH + WORDS + FIGURES
 HIDDEN = 24
-PAGES, ROUNDS, BATCH, SEED = 1600, 14, 32, 7
+PAGES, ROUNDS, BATCH, SEED = 2400, 15, 32, 7
 #: Blocks of pages that are labelled side by side, padding included.
 TOGETHER = 60_000
 SPLIT = re.compile(r"[^a-z]+")
 
 
-@cache
+@lru_cache(maxsize=20_000)
 def _path_vector(path: tuple) -> np.ndarray:
-    out = np.zeros(TAGS + NAMES, np.float32)
+    out, inner = np.zeros(PATH, np.float32), True
     for depth, (tag, names) in enumerate(reversed(path)):
         h = crc32(tag.encode())
         out[h % TAGS] += (1 if h >> 16 & 1 else -1) * (1.0 if depth < 2 else 0.6)
-        for n in SPLIT.split(names):
-            if n:
-                h = crc32(n.encode())
-                out[TAGS + h % NAMES] += (1 if h >> 16 & 1 else -1) * 1.0
+        for n in filter(None, SPLIT.split(names)):
+            h = crc32(n.encode())
+            out[TAGS + (h % NAMES if inner else NAMES + h % AROUND)] += 1 if h >> 16 & 1 else -1
+        inner = inner and not names
     return np.clip(out, -3, 3)
 
 
-@cache
 def _heading(tag: str) -> int:
     return {"h1": 1, "h2": 2, "h3": 2, "h4": 2, "h5": 2, "h6": 2, "li": 3, "p": 4}.get(tag, 0)
 
@@ -55,7 +56,7 @@ _WORD_AT: dict[str, int] = {}
 def _words_at(words: list[str]) -> list[int]:
     got = list(map(_WORD_AT.get, words))
     if None in got:
-        if len(_WORD_AT) > 300_000:
+        if len(_WORD_AT) > 150_000:
             _WORD_AT.clear()
         for i, w in enumerate(words):
             if got[i] is None:
@@ -69,14 +70,14 @@ def vectors(page: list[Block]) -> np.ndarray:
     """A row for each block."""
     out = np.zeros((len(page), WIDTH), np.float32)
     n = len(page)
-    at = TAGS + NAMES + WORDS
+    at = PATH + WORDS
     for i, b in enumerate(page):
         words = b.text.lower().split()
         k = len(words)
         path = b.path[-12:]
         row = out[i]
-        row[: TAGS + NAMES] = _path_vector(path)
-        row[TAGS + NAMES : at] = np.bincount(_words_at(words), minlength=WORDS) / np.sqrt(k)
+        row[:PATH] = _path_vector(path)
+        row[PATH:at] = np.bincount(_words_at(words), minlength=WORDS) / np.sqrt(k)
         last = b.text[-1]
         row[at : at + 9] = 1, np.log1p(k) / 4, b.linked, last in ".!?…", last in ":,;", i / n, np.log1p(n) / 4, len(b.path) / 8, sum(map(str.isdigit, b.text[:64])) / 16
         if h := _heading(path[-1][0] if path else ""):
@@ -154,7 +155,7 @@ class BlockLabeller:
         v = {k: np.zeros_like(v) for k, v in self.p.items()}
         order = sorted(range(len(pages)), key=lambda i: len(pages[i][1]))
         batches = [order[a : a + BATCH] for a in range(0, len(order), BATCH)]
-        t = 0
+        t, mean, n = 0, None, 0
         for k in range(rounds):
             for j in r.permutation(len(batches)):
                 part = [pages[i] for i in batches[j]]
@@ -163,8 +164,8 @@ class BlockLabeller:
                 for i, (_, marks) in enumerate(part):
                     y[: len(marks), i] = marks
                 # Dropped-out inputs: neither names nor elements nor words may be relied on alone.
-                x = x * (r.random((1, x.shape[1], WIDTH)) > 0.15)
-                x[:, r.random(x.shape[1]) < 0.15, TAGS : TAGS + NAMES] = 0
+                x = x * (r.random((1, x.shape[1], WIDTH)) > 0.1)
+                x[:, r.random(x.shape[1]) < 0.06, TAGS:PATH] = 0
                 x = x.astype(np.float32)
                 f, kf = self._run(x, there, "f")
                 b, kb = self._run(x, there, "b")
@@ -181,6 +182,10 @@ class BlockLabeller:
                     m[name] = 0.9 * m[name] + 0.1 * a
                     v[name] = 0.99 * v[name] + 0.01 * a * a
                     self.p[name] = self.p[name] - step * (m[name] / (1 - 0.9**t)) / (np.sqrt(v[name] / (1 - 0.99**t)) + 1e-8)
+                if k >= rounds * 0.6:  # the mean of the last rounds' parameters
+                    n += 1
+                    mean = {a: b.copy() for a, b in self.p.items()} if mean is None else {a: mean[a] + (b - mean[a]) / n for a, b in self.p.items()}
+        self.p = mean
         return self
 
     def labels(self, pages: list[np.ndarray]) -> list[np.ndarray]:

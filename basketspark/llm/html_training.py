@@ -29,11 +29,12 @@ NAMES = {
     "main": "content main main-content article post entry entry-content post-content article-body article-content story story-body body-text text page-content blog-post single post-body prose hentry".split(),
     "none": "row col col-md-8 container wrapper inner box x1 css-1a2b3c section block group grid flex w-full layout page-wrap outer clearfix".split(),
 }
+MARK = "\ue000"
 KINDS = ("nav", "footer", "notice", "ad", "form", "side", "comments")
 
 
 class PageMaker:
-    """Pages as (html, texts of the main text's blocks)."""
+    """Pages whose main blocks begin with MARK."""
 
     def __init__(self, seed: int):
         self.r = Random(seed)
@@ -75,7 +76,7 @@ class PageMaker:
         """A section beside the main text; one inside it, or without a telling name, shows by its words what it is."""
         r, say = self.r, lambda k: r.choice(CHROME[k])
         tag = {"nav": "nav", "footer": "footer", "side": "aside", "form": "form", "comments": "section", "notice": "div", "ad": "div"}[kind]
-        tag = tag if r.random() < 0.6 and not (self.bare and r.random() < 0.5) else r.choice(("div", "div", "section"))
+        tag = tag if r.random() < 0.6 and not (self.bare and r.random() < 0.5) else r.choice(("div", "div", "section") if kind != "comments" else ("div", "ul", "ol", "section"))
         named = "" if tag in ("nav", "footer", "aside", "form") and r.random() < 0.5 else self.names(kind)
         told = tag in ("nav", "footer", "aside", "form") or any(f'"{n}' in named for n in NAMES[kind])
         if inside and not told:
@@ -94,54 +95,58 @@ class PageMaker:
             head = f"<h{r.choice('234')}>{say(kind) if r.random() < 0.6 else self.words(2)}</h3>" if r.random() < 0.7 else ""
             body = head + r.choice((self.links(r.randint(2, 8), 8), "".join(f"<div><a href='/'>{self.words(r.randint(2, 8))}</a><p>{self.passage(r.randint(3, 20))}</p></div>" for _ in range(r.randint(1, 4))), f"<p>{self.passage(r.randint(4, 35))}</p>", "".join(f"<p>{self.passage(r.randint(3, 20))}</p>" for _ in range(r.randint(1, 3)))))
         else:
-            one = lambda: f"<div{self.names(kind)}><b>{self.words(r.randint(1, 2))}</b> {say(kind)}<p>{self.passage(r.randint(2, 40))}</p>{'<a href=#>' + say(kind) + '</a>' if r.random() < 0.5 else ''}</div>"
+            of = r.choice(("div", "div", "li", "article" if told else "li"))
+            one = lambda: f"<{of}{self.names(kind)}><b>{self.words(r.randint(1, 2))}</b> {say(kind)}<p>{self.passage(r.randint(2, 40))}</p>{'<a href=#>' + say(kind) + '</a>' if r.random() < 0.5 else ''}</{of}>"
             plain = lambda: f"<{'li' if r.random() < 0.4 else 'p'}>{self.passage(r.randint(2, 40))}"
             body = (f"<h3>{say(kind)}</h3>" if r.random() < 0.7 else "") + "".join((one if r.random() < 0.6 else plain)() for _ in range(r.randint(1, 6)))
             named = named or self.names(kind)
         if not told and not any(w in body for w in CHROME[kind]):
-            body = f"<{r.choice(('b', 'h4', 'p', 'span', 'div'))}>{say(kind)}</>{body}"
+            cue = r.choice(("b", "h4", "p", "span", "div"))
+            body = f"<{cue}>{say(kind)}</{cue}>{body}"
         return f"<{tag}{named}>{body}</{tag}>"
 
-    def article(self) -> tuple[str, list[str]]:
-        r, html, main = self.r, [], []
+    def article(self) -> str:
+        r, html = self.r, []
 
-        def keep(tag: str, text: str, inner: str = "", close: bool = True) -> None:
-            main.append(text)
-            html.append(f"<{tag}>{inner or text}{f'</{tag}>' if close else ''}")
+        def keep(tag: str, inner: str, close: bool = True) -> None:
+            html.append(f"<{tag}>{MARK}{inner}{f'</{tag}>' if close else ''}")
 
+        if r.random() < 0.07:  # tiny ones
+            keep(r.choice(("p", "p", "h1", "div")), self.passage(r.randint(1, 6)), r.random() < 0.8)
+            return "".join(html)
         if r.random() < 0.85:
             keep(r.choice(("h1", "h1", "h2")), self.words(r.randint(2, 12)))
         short = r.random() < 0.2
         for i in range(r.choice((1, 1, 2, 3, 4, 6, 8, 10, 14, 20))):
             x = r.random()
-            text = self.passage(r.randint(1, 8) if short or r.random() < 0.25 else r.randint(8, 120))
+            text = self.passage(r.randint(1, 2) if r.random() < 0.1 else r.randint(1, 8) if short or r.random() < 0.25 else r.randint(8, 120))
             if x < 0.7:
-                keep(r.choice(("p", "p", "p", "div")), text, r.choice((text, text, f"<b>{text}<br>" if r.random() < 0.3 else text, text.replace(" ", ' <a href="/y">', 1) + "</a>" if text.count(" ") > 6 else text)), r.random() < 0.85)
+                keep(r.choice(("p", "p", "p", "div")), r.choice((text, text, f"<b>{text}<br>" if r.random() < 0.3 else text, text.replace(" ", ' <a href="/y">', 1) + "</a>" if text.count(" ") > 6 else text)), r.random() < 0.85)
             elif x < 0.78:
                 keep(r.choice(("h2", "h3")), self.words(r.randint(1, 7)))
             elif x < 0.86:
                 items = [self.passage(r.randint(2, 14)) for _ in range(r.randint(2, 5))]
-                main.extend(items)
-                html.append("<ul>" + "".join(f"<li>{t}" for t in items) + "</ul>")
+                html.append("<ul>" + "".join(f"<li>{MARK}{t}" for t in items) + "</ul>")
             elif x < 0.92:
                 keep(r.choice(("blockquote", "pre", "figcaption")), text)
             else:
                 cells = [self.words(r.randint(1, 3)) for _ in range(4)]
-                main.extend(cells)
-                html.append("<table>" + "".join(f"<tr><td>{a}<td>{b}" for a, b in zip(cells[::2], cells[1::2], strict=True)) + "</table>")
+                html.append("<table>" + "".join(f"<tr><td>{MARK}{a}<td>{MARK}{b}" for a, b in zip(cells[::2], cells[1::2], strict=True)) + "</table>")
             if i and r.random() < 0.12:
                 html.append(self.section(r.choice(("ad", "ad", "notice", "side", "form")), True))
         if r.random() < 0.15:
             html.append(self.section(r.choice(("side", "comments", "form")), True))
-        return "".join(html), main
+        return "".join(html)
 
-    def page(self) -> tuple[str, list[str]]:
+    def page(self) -> str:
         r = self.r
         self.syllables = r.choice(SYLLABLES).split()
         self.bare = r.random() < 0.2
-        body, main = self.article()
+        body = self.article()
         tag = r.choice(("article", "article", "main", "div", "div", "section"))
-        body = f"<{tag}{'' if tag in ('article', 'main') and r.random() < 0.6 else self.names('main')}>{body}</{tag}>"
+        if r.random() < 0.04:  # nothing but text
+            return f"<html><body>{body}</body></html>"
+        body = body if r.random() < 0.05 else f"<{tag}{'' if tag in ('article', 'main') and r.random() < 0.6 else self.names('main')}>{body}</{tag}>"
         if tag == "div" and r.random() < 0.4:
             body = f"<main>{body}</main>"
         before, after = [], []
@@ -157,27 +162,18 @@ class PageMaker:
         inner = "".join(before) + body + "".join(after)
         if r.random() < 0.4:
             inner = f"<div class='{r.choice(NAMES['none'])}'>{inner}</div>"
-        return f"<!doctype html><html><head><title>x</title></head><body>{inner}</body></html>", main
+        return f"<!doctype html><html><head><title>x</title></head><body>{inner}</body></html>"
 
 
 def labelled_pages(n: int, seed: int) -> list[tuple[list, list[int]]]:
     """(blocks, whether each is of the main text) of n pages. Main blocks carry a mark that is taken away again."""
-    from html import unescape
-
     from .html_blocks import blocks
 
     maker, out = PageMaker(seed), []
     for _ in range(n):
-        html, main = maker.page()
-        left = {}
-        for t in main:
-            t = " ".join(unescape(t).split())
-            left[t] = left.get(t, 0) + 1
-        found, marks = blocks(html), []
-        for b in found:
-            mine = left.get(b.text, 0) > 0
-            left[b.text] = left.get(b.text, 0) - mine
-            marks.append(int(mine))
-        if found:
-            out.append((found, marks))
+        found = blocks(maker.page())
+        marks = [int(MARK in b.text) for b in found]
+        kept = [(b._replace(text=text), m) for b, m in zip(found, marks, strict=True) if (text := b.text.replace(MARK, "").strip())]
+        if kept:
+            out.append(([b for b, _ in kept], [m for _, m in kept]))
     return out
