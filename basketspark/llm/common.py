@@ -59,7 +59,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
     n = known.count()
     part = min(1.0, rows / n) if n else 0.0
     chosen = known.filter(F.pmod(F.xxhash64(id_col, F.lit(17)), F.lit(1 << 20)) < int(part * (1 << 20)) + (part == 1.0)).limit(2 * rows)
-    found = docs.join(F.broadcast(chosen), id_col).filter(F.length(text_col) <= chars).select(id_col, text_col, "_label")
+    found = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).filter(F.length(text_col) <= chars).select(id_col, text_col, "_label")
     return [(t, y) for _, t, y in sorted(map(tuple, found.collect()), key=lambda r: (str(r[0]), r[1]))]
 
 
