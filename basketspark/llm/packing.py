@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 LENGTH = 4096
 END = 1
 GROUP = 20_000
-#: Words and word parts whose ids a task remembers, the longest word it does so for, and the part of them that stays
+#: Words and word parts whose ids a Python worker remembers, the longest word it does so for, and the share of them that stays
 #: when there is no room: the earliest learnt, which are the most frequent.
-WORDS, PARTS_KNOWN, KNOWN_CHARS, STAYING = 200_000, 250_000, 40, 0.4
+KNOWN, KNOWN_CHARS, STAYING = 500_000, 40, 0.4
 #: Chunks whose normal form and parts Python finds as the tokenizer does: printable ASCII and Latin-1 letters.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 #: Fixed: the tokenizer's own split of lower-case text.
@@ -44,55 +44,74 @@ def tokenizer_path() -> str:
 
 @lru_cache(maxsize=1)
 def tokenizer(path: str) -> tuple:
-    """The tokenizer, and which ids end a part."""
-    from tokenizers import Tokenizer
+    """(the tokenizer, its model alone for parts between blanks, what the model reads for each character, which ids end a part)."""
+    from tokenizers import Tokenizer, pre_tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     of = Tokenizer.from_file(path)
+    alone = Tokenizer(of.model)
+    alone.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    # Bytes that can't be printed have stand-ins from 256 up, in order.
+    printed = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+    bytes_as = printed | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printed)}
     vocabulary = of.get_vocab(with_added_tokens=True)
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
     ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-    return of, ends
+    return of, alone, {c: "".join(map(bytes_as.__getitem__, chr(c).encode())) for c in range(33, 256)}, ends
+
+
+def lowered(text: str) -> str:
+    """The text in lower case where that is what the tokenizer makes of it too: fewer different words have to be known."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text if "<|" in text else text.lower()
 
 
 class Encoder:
     """Ids of whole texts as little-endian uint32 bytes.
 
     The tokenizer drops white space and never joins tokens across it, nor across the parts of PARTS, each of which ends in a
-    token marked </w>. So texts are cut at blanks and line ends, and each different part is tokenized once in a task.
+    token marked </w>. So texts are cut at blanks and line ends, and each different part is tokenized once in a worker.
     """
 
     def __init__(self, path: str):
-        self.of, self.ends = tokenizer(path)
-        self.words, self.parts = {}, {}
+        self.of, self.alone, self.reads, self.ends = tokenizer(path)
+        self.known: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > WORDS:
-            self.words = dict(islice(self.words.items(), int(STAYING * WORDS)))
-        if len(self.parts) + len(words) > PARTS_KNOWN:
-            self.parts = dict(islice(self.parts.items(), int(STAYING * PARTS_KNOWN)))
-        plain, odd = {}, []
+        if len(self.known) + 2 * len(words) > KNOWN:
+            self.known = dict(islice(self.known.items(), int(STAYING * KNOWN)))
+        fresh, made, odd = set(), {}, []
         for w in words:
             if PLAIN.fullmatch(w) and "<|" not in w:
-                plain[w] = PARTS.findall(w.lower())
+                parts = PARTS.findall(w if w.islower() else w.lower())
+                if len(parts) == 1 and parts[0] == w:
+                    fresh.add(w)
+                else:
+                    made[w] = parts
             else:
                 odd.append(w)
-        fresh = list(set(chain.from_iterable(plain.values())).difference(self.parts))
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            ids = np.array(self.of.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        fresh.update(set(chain.from_iterable(made.values())).difference(self.known))
+        fresh = list(fresh)
+        for at in range(0, len(fresh), 4000):
+            part = fresh[at : at + 4000]
+            ids = np.array(self.alone.encode_batch_fast([" ".join(part).translate(self.reads)], add_special_tokens=False)[0].ids, "<u4")
             data, stops = ids.tobytes(), [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
-            self.parts.update((w, data[a:b]) for w, a, b in zip(part, stops[:-1], stops[1:], strict=True))
-        self.words.update((w, b"".join(map(self.parts.__getitem__, parts))) for w, parts in plain.items())
+            self.known.update((w, data[a:b]) for w, a, b in zip(part, stops[:-1], stops[1:], strict=True))
+        self.known.update((w, b"".join(map(self.known.__getitem__, parts))) for w, parts in made.items())
         for at in range(0, len(odd), 1000):
             part = odd[at : at + 1000]
-            self.words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, self.of.encode_batch_fast(part, add_special_tokens=False), strict=True))
+            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, self.of.encode_batch_fast(part, add_special_tokens=False), strict=True))
+        for w in [w for w in fresh if len(w) > KNOWN_CHARS and w not in words]:
+            del self.known[w]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        found, missing = [], []
+        found, missing = [], set()
         for t in texts:
-            words = t.replace("\n", " ").split(" ")
-            ids = list(map(self.words.get, words))
+            words = lowered(t).replace("\n", " ").split(" ")
+            ids = list(map(self.known.get, words))
             holes, at = [], -1
             try:
                 while True:
@@ -100,18 +119,24 @@ class Encoder:
                     holes.append((at, words[at]))
             except ValueError:
                 pass
-            missing += [w for _, w in holes]
+            missing.update(w for _, w in holes)
             found.append((ids, holes))
         if missing:
-            self.learn(set(missing))
+            self.learn(missing)
             for ids, holes in found:
                 for at, w in holes:
-                    ids[at] = self.words[w]
-            for w in {w for w in missing if len(w) > KNOWN_CHARS}:
-                del self.words[w]
+                    ids[at] = self.known[w]
+            for w in missing:
+                if len(w) > KNOWN_CHARS:
+                    del self.known[w]
         return [b"".join(ids) for ids, _ in found]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, length: int = LENGTH) -> DataFrame:
     """(id, piece, start, length, ids_crc32): the tokenized pieces of each text, its end token included."""
     kind = docs.schema[id_col].dataType
@@ -121,7 +146,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
 
-        known = Encoder(path)
+        known = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
