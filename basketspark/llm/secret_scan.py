@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and strings in sensitive contexts that zstandard can't predict.
 
-The fixed patterns report assignments, access keys and hex runs. Beyond them, each string that follows a sensitive word on its
-line is a candidate. A compressor primed with a dictionary of identifiers and the text around the candidate compresses that text
-without and with it; the bytes it adds for each character are its novelty. Words, identifiers and what the text says elsewhere
-cost little; random keys don't, and are reported.
+The fixed patterns report assignments, access keys and hex runs. Beyond them, each value that is given to a sensitive name is a
+candidate, and each long string after a sensitive word that is mixed like a key, over line ends too. A compressor primed with a
+dictionary of identifiers and the text around the candidate compresses that text without and with it; the bytes it adds are its
+novelty. Words, identifiers and what the text says elsewhere cost little; random keys don't, and are reported. The further from
+the word, the more bytes a candidate must add. One that reaches beyond a fixed pattern's span is reported beside it.
 
 Edge cases: a null text is empty and has no spans; repeated rows are rows of their own; a null id is carried; whole texts are
 searched whatever their length; an empty table gives no rows. Only the two named columns are read. Spans are in code points, the
@@ -13,6 +14,7 @@ end exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from functools import cache
 from hashlib import sha256
 
@@ -29,12 +31,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 HEX_ONLY = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 
-SENSITIVE_WORDS = ("passw", "passphrase", "pwd", "secret", "token", "api", "auth", "bearer", "credential", "private", "signature", "key")
-SENSITIVE = re.compile(r"(?<![A-Za-z])(?:pass(?:word|wd|phrase)?|pwd|secret(?:[-_ ]?key)?|token|api[-_ ]?key|auth(?:orization)?|bearer|credentials?|private[-_ ]?key|access[-_ ]?key|client[-_ ]?secret|signature|key)(?![A-Za-z_])", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~-]{16,}")
-REACH, AROUND = 48, 240
-#: Bytes that each character must add, and different characters that a candidate must have.
-NOVELTY, DIFFERENT = 0.6, 8
+#: Sensitive words, as words, parts of names joined by _ or -, or parts of camelCase names, but not redact()'s own mark. Each has one of the stems of the quick test.
+STEMS = ("pass", "pwd", "secret", "token", "auth", "bearer", "credential", "signature", "key")
+STRONG = r"pass(?:word|wd|phrase)?|pwd|secret|token|bearer|credential|(?:api|access|private|client|account|shared|secret)[-_\x20]?key"
+SENSITIVE = re.compile(rf"(?!(?-i:(?<=\[)SECRET\]))(?:(?<![A-Za-z])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:(?P<strong>{STRONG})|auth(?:orization)?|signature|key)s?(?:(?![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))", re.I | re.A)
+#: What follows a name that is given a value, and the value.
+GIVEN = re.compile(r"""[\w-]*["'\])]*[\x20\t]*(?P<by>=>|:=|[:=])[\x20\t]*(?:\r?\n[\x20\t]*)?(?P<quote>["'`]?)(?P<value>[A-Za-z0-9+/_.=~!@#$%^&*?-]*[A-Za-z0-9+/_=~!@#$%^&*?-])(?![\w(\[])""", re.A)
+#: A key, and whole lines of key letters after one of a line's length, as in PEM files.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.~-]{16,}(?:(?<=[A-Za-z0-9+/]{40})(?:\r?\n[\x20\t]*[A-Za-z0-9+/]+(?=={0,2}[\x20\t]*(?:\r?\n|\Z)))+)?(?:={1,2}(?![A-Za-z0-9\"']))?")
+AROUND = 240
+#: Bytes that each character must add, and all of a candidate: the more, the further it is from a sensitive word.
+NOVELTY, LEAST, FURTHER = 0.6, 6, 16
 #: What the compressor knows beforehand: identifiers of code and configuration.
 IDENTIFIERS = """
 password passwd secret token api_key apikey access_key private_key client_secret client_id authorization bearer credential
@@ -61,6 +68,42 @@ def novelty(candidate: str, around: str) -> float:
     return (len(squeeze.compress(text + b" " + candidate.encode())) - len(squeeze.compress(text + b" "))) / len(candidate)
 
 
+def _keylike(s: str) -> bool:
+    """Digits among letters, or letters of either case in turns. The compressor can't tell other letters from a rare word's."""
+    return bool(re.search(r"[0-9]", s) and re.search(r"[A-Za-z]", s)) or 3 * sum(x.isupper() != y.isupper() for x, y in zip(s, s[1:], strict=False)) > len(s)
+
+
+def _novel(text: str, base: list) -> set[tuple[int, int]]:
+    """(start, end) of values given to sensitive names and of keys after sensitive words that add enough bytes."""
+    words = list(SENSITIVE.finditer(text))
+    tests: dict[tuple[int, int], int] = {}
+    for m in words:
+        if v := GIVEN.match(text, m.end()):
+            s, plain = v["value"], v["value"].isalpha()
+            if (v["by"] != ":" or v["quote"] or not plain) if m["strong"] else _keylike(s):
+                tests[v.span("value")] = 0
+    ends = [m.end() for m in words]
+    for c in CANDIDATE.finditer(text, ends[0]) if ends else ():
+        named = c.end() < len(text) and text[c.end()] == "="
+        if not named and _keylike(c[0]):
+            tests.setdefault(c.span(), c.start() - ends[bisect_right(ends, c.start()) - 1])
+    covered = sorted((a, b) for a, b, _ in base)
+    firsts, longest = [a for a, _ in covered], max((b - a for a, b in covered), default=0)
+    out: set[tuple[int, int]] = set()
+    for (a, b), far in sorted(tests.items()):
+        near = covered[bisect_left(firsts, a - longest) : bisect_left(firsts, b)]
+        if any(x <= a and b <= y for x, y in near):
+            continue
+        s, least = text[a:b], LEAST + far / FURTHER
+        if 2 * len(s) < least:  # it can't add so many
+            continue
+        # A key that is written twice must not be predicted by its own copy.
+        each = novelty(s, (text[max(0, a - AROUND) : a] + " " + text[b : b + AROUND]).replace(s, " "))
+        if each >= NOVELTY and each * len(s) >= least:
+            out.add((a, b))
+    return out
+
+
 def spans(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all secrets, by start and kind as listed."""
     text = text or ""
@@ -71,23 +114,8 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
         found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     if b"h" * 24 in text.encode().translate(HEX_ONLY):
         found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    if any(w in low for w in SENSITIVE_WORDS):
-        base, seen = [(a, b) for a, b, _ in found], set()
-        for m in SENSITIVE.finditer(text):
-            line = text.find("\n", m.end())
-            for c in CANDIDATE.finditer(text, m.end(), len(text) if line < 0 else line):
-                if c.start() > m.end() + REACH:
-                    break
-                a, b = c.span()
-                if (a, b) in seen or any(a < y and x < b for x, y in base):
-                    continue
-                s = c[0]
-                if len(set(s)) < DIFFERENT or not (re.search(r"[0-9]", s) and re.search(r"[A-Za-z]", s)):
-                    continue
-                # A key that is written twice must not be predicted by its own copy.
-                if novelty(s, (text[max(0, a - AROUND) : a] + " " + text[b : b + AROUND]).replace(s, " ")) >= NOVELTY:
-                    seen.add((a, b))
-                    found.append((a, b, "novel"))
+    if any(w in low for w in STEMS):
+        found += [(a, b, "novel") for a, b in sorted(_novel(text, found))]
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
