@@ -6,16 +6,20 @@ import re
 from html import unescape
 from typing import NamedTuple
 
-#: Elements that end a block of text, whose content is never text, that have no content, and that hold no lines.
+#: Elements that end a block of text, whose content is never text (to the page's end if unclosed; only if closed),
+#: that have no content, and that hold no lines.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|title"
+RAW = "script|style|textarea|iframe|title"
+CLOSED = "noscript|template|object|annotation|annotation-xml"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An element of these is closed by the next of its kind, unless the second list's stands between.
 SAME = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 INSIDE = {"p": BLOCK - {"p"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
-TOKEN = re.compile(rf"""<!--(?:.*?-->|.*)|<(?P<raw>{RAW})\b(?:"[^"]*"|'[^']*'|[^'">])*+>(?:.*?</(?P=raw)\s*>|.*)|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<with>(?:"[^"]*"|'[^']*'|[^'">])*+)>|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
-NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+WITH = r"""(?:"[^"]*"|'[^']*'|[^'">])*+"""
+TOKEN = re.compile(rf"""<!--(?:.*?-->|.*)|<(?P<raw>{RAW})(?=[\s/>]){WITH}>(?:.*?</(?P=raw)\s*>|.*)|<(?P<closed>{CLOSED})(?=[\s/>]){WITH}>.*?</(?P=closed)\s*>|<svg(?=[\s/>]){WITH}(?<!/)>.*?</svg\s*>|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<with>{WITH})>|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NAMED = frozenset(("class", "id", "role", "hidden", "style", "aria-hidden"))
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -84,8 +88,10 @@ def blocks(html: str | None) -> list[Block]:
         if tag not in VOID and not (m["with"] or "").rstrip().endswith("/"):
             names, hidden = [], False
             if m["with"] and not m["with"].isspace():
-                for k, a, b, c in NAMED.findall(m["with"]):
+                for k, a, b, c in ATTRIBUTE.findall(m["with"]):
                     k, v = k.lower(), a or b or c
+                    if k not in NAMED:
+                        continue
                     if k in ("class", "id", "role"):
                         names.append(v)
                     else:

@@ -11,6 +11,7 @@ carried; pages of any length are read whole; an empty table gives no rows. Only
 
 from __future__ import annotations
 
+import random
 import re
 from functools import cache, lru_cache
 from zlib import crc32
@@ -27,6 +28,9 @@ TAGS, NAMES, AROUND, WORDS, FIGURES = 48, 112, 64, 48, 14
 PATH = TAGS + NAMES + AROUND
 WIDTH = PATH + WORDS + FIGURES
 HIDDEN = 24
+NEAR = 12
+#: Share of training pages that are nested deeper, and by how many plain elements.
+DEEP, DEEPER = 0.15, (4, 24)
 PAGES, ROUNDS, BATCH, SEED = 2400, 15, 32, 7
 #: Blocks of pages that are labelled side by side, padding included.
 TOGETHER = 60_000
@@ -35,8 +39,10 @@ SPLIT = re.compile(r"[^a-z]+")
 
 @lru_cache(maxsize=20_000)
 def _path_vector(path: tuple) -> np.ndarray:
+    """Of the whole path; elements outside the ``NEAR`` innermost count once each, so that depth doesn't drown names."""
     out, inner = np.zeros(PATH, np.float32), True
-    for depth, (tag, names) in enumerate(reversed(path)):
+    outer = dict.fromkeys((t, n) for t, names in path[:-NEAR] for n in (names or "").split() or [""])
+    for depth, (tag, names) in enumerate([*reversed(path[-NEAR:]), *reversed(outer)]):
         h = crc32(tag.encode())
         out[h % TAGS] += (1 if h >> 16 & 1 else -1) * (1.0 if depth < 2 else 0.6)
         for n in filter(None, SPLIT.split(names)):
@@ -74,12 +80,12 @@ def vectors(page: list[Block]) -> np.ndarray:
     for i, b in enumerate(page):
         words = b.text.lower().split()
         k = len(words)
-        path = b.path[-12:]
+        path = b.path
         row = out[i]
         row[:PATH] = _path_vector(path)
         row[PATH:at] = np.bincount(_words_at(words), minlength=WORDS) / np.sqrt(k)
         last = b.text[-1]
-        row[at : at + 9] = 1, np.log1p(k) / 4, b.linked, last in ".!?…", last in ":,;", i / n, np.log1p(n) / 4, len(b.path) / 8, sum(map(str.isdigit, b.text[:64])) / 16
+        row[at : at + 9] = 1, np.log1p(k) / 4, b.linked, last in ".!?…", last in ":,;", i / n, np.log1p(n) / 4, min(len(b.path), 24) / 8, sum(map(str.isdigit, b.text[:64])) / 16
         if h := _heading(path[-1][0] if path else ""):
             row[at + 8 + h] = 1
         row[at + 13] = k <= 3
@@ -209,9 +215,16 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, there
 
 
+def deeper(page: list[Block], r: random.Random) -> list[Block]:
+    """The page with plain elements put into its paths at one depth."""
+    at, more = r.randint(1, 6), (("div", ""),) * r.randint(*DEEPER)
+    return [b._replace(path=b.path[:at] + more + b.path[at:]) if len(b.path) > at else b for b in page]
+
+
 @cache
 def trained(pages: int = PAGES, seed: int = SEED) -> BlockLabeller:
-    return BlockLabeller.fresh(seed).train([(vectors(b), y) for b, y in labelled_pages(pages, seed)])
+    r = random.Random(seed)
+    return BlockLabeller.fresh(seed).train([(vectors(deeper(b, r) if r.random() < DEEP else b), y) for b, y in labelled_pages(pages, seed)])
 
 
 def main_texts(htmls: list[str | None], labeller: BlockLabeller) -> list[str]:
