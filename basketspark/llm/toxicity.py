@@ -2,7 +2,7 @@
 
 Writers hide words by look-alike signs, by blanks or dots between letters, and by repeating letters. A token (or a run of single
 letters) that shows such noise becomes a lattice: each sign may stand for the letters it resembles, a run of a letter for one or
-two of it, a separator for nothing or a word's end. Viterbi decoding under a character trigram model of the corpus restores it.
+two of it, a separator for nothing or a word's end. Viterbi decoding under a character trigram model of all documents' words restores it.
 Tokens without noise have a lattice of one path and are taken as they are.
 
 Words, restored ones too, and their beginnings carry weights: those that labelled toxic texts have far more often than chance
@@ -49,14 +49,12 @@ SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
 class CharModel:
     """Interpolated character trigrams of words between blanks."""
 
-    def __init__(self, words: Counter):
+    def __init__(self, trigrams: Counter):
         one, two, three = Counter(), Counter(), Counter()
-        for w, n in words.items():
-            s = f"  {w} "
-            for a, b, c in zip(s, s[1:], s[2:], strict=False):
-                one[c] += n
-                two[b, c] += n
-                three[a, b, c] += n
+        for (a, b, c), n in trigrams.items():
+            one[c] += n
+            two[b, c] += n
+            three[a, b, c] += n
         self.two, self.three, total = two, three, sum(one.values()) + 1
         self.of_two, self.of_one = Counter(), Counter()
         for (a, b, _), n in three.items():
@@ -189,13 +187,21 @@ def _divergence(p: float, q: float) -> float:
     return p * log(p / q) + ((1 - p) * log((1 - p) / (1 - q)) if p < 1 else 0)
 
 
-def fitted(rows: list[tuple[str, int]]) -> tuple[dict, Counter, tuple]:
-    """(weights of words and beginnings, the corpus's words, the logistic's figures) from (text, label)."""
+def trigrams(docs: DataFrame, text_col: str = "text") -> tuple[tuple[str, int], ...]:
+    """(trigram, count) over all words of letters of all documents, two blanks before and one after each; the alphabets bound it."""
+    tokens = docs.select(F.explode(F.split(F.lower(text_col), r"[\s\p{Z}]+")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = tokens.select(F.btrim("word", F.lit(TRIM)).alias("word"), "n").filter(F.col("word").rlike(r"^\p{L}+$"))
+    padded = F.concat(F.lit("  "), "word", F.lit(" "))
+    grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(3)))).alias("gram"), "n")
+    return tuple(sorted(map(tuple, grams.groupBy("gram").agg(F.sum("n").alias("n")).collect())))
+
+
+def fitted(rows: list[tuple[str, int]]) -> tuple[dict, tuple]:
+    """(weights of words and beginnings, the logistic's figures) from (text, label)."""
     texts = [(set(t.lower().split()), int(y)) for t, y in rows]
     if len({y for _, y in texts}) < 2:
-        return {}, Counter(), (-30.0, 0.0, 0.0, 0.0)
+        return {}, (-30.0, 0.0, 0.0, 0.0)
     bare = [({x for x in (t.strip(TRIM) for t in tokens) if x}, y) for tokens, y in texts]
-    words = Counter(w for known, _ in bare for w in known if w.isalpha())
     n = [sum(y == k for _, y in texts) for k in (0, 1)]
     share = n[1] / len(texts)
     weights: dict[str, float] = {}
@@ -223,19 +229,19 @@ def fitted(rows: list[tuple[str, int]]) -> tuple[dict, Counter, tuple]:
         p = 1 / (1 + np.exp(-x @ b))
         h = (x * (balance * p * (1 - p) + 1e-9)[:, None]).T @ x + keep
         b = b + np.clip(np.linalg.solve(h, x.T @ (balance * (y - p)) - keep @ b), -2, 2)
-    return weights, words, tuple(map(float, b))
+    return weights, tuple(map(float, b))
 
 
 @lru_cache(maxsize=1)
-def _scorer(weights: tuple, words: tuple, figures: tuple) -> Scorer:
-    return Scorer(dict(weights), CharModel(Counter(dict(words))), figures)
+def _scorer(weights: tuple, grams: tuple, figures: tuple) -> Scorer:
+    return Scorer(dict(weights), CharModel(Counter(dict(grams))), figures)
 
 
-def fit(docs: DataFrame, labels: DataFrame, words: int = 50_000) -> tuple:
-    """A learnt scorer as plain tuples; the character model is of the sample's most frequent words."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple:
+    """A learnt scorer as plain tuples: weights of the labelled sample, the whole corpus's trigrams, the logistic's figures."""
     learn = labels.filter(F.col("toxic").isin(0, 1) & (fold("doc_id", FOLDS) != HELD_OUT))
-    weights, known, figures = fitted(labelled_sample(docs, learn, "toxic", TRAIN_ROWS, TRAIN_CHARS))
-    return tuple(sorted(weights.items())), tuple(sorted(known.items(), key=lambda x: (-x[1], x[0]))[:words]), figures
+    weights, figures = fitted(labelled_sample(docs, learn, "toxic", TRAIN_ROWS, TRAIN_CHARS))
+    return tuple(sorted(weights.items())), trigrams(docs) if weights else (), figures
 
 
 def score(docs: DataFrame, learnt: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
