@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -434,6 +436,21 @@ def dq_violation_sample(spark, d):
     return dq_partition_rules(spark, d).orderBy("order_key", "l_linenumber", "l_partkey").limit(gate.SAMPLES["row_logic"])
 
 
+_KEYED = {
+    "grain": ["l_orderkey", "l_partkey"],
+    "schema": [contracts.column("l_orderkey", "long"), contracts.column("l_partkey", "long")],
+    "relationships": [{"name": "part_fk", "type": "foreign_key", "child_columns": ["l_partkey"], "parent": {"dataset": "part", "columns": ["p_partkey"]}}],
+}
+
+
+@query("""(SELECT 'l_orderkey_l_partkey_uniqueness' AS rule_name, l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1 ORDER BY n DESC, l_orderkey, l_partkey LIMIT 30)
+UNION ALL (SELECT 'part_fk', NULL, l_partkey, count(*) AS n FROM lineitem WHERE l_partkey % 10 = 0 GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 20)""", star=False)
+def dq_key_samples(spark, d):
+    lines, parents = _table(spark, d, "lineitem"), {"part": _table(spark, d, "part").filter("p_partkey % 10 <> 0")}
+    found = gate.key_samples(lines, _KEYED) | gate.orphan_samples(lines, _KEYED, parents)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.select(F.lit(name).alias("rule_name"), "*") for name, df in found.items()))
+
+
 def _report_sql() -> str:
     """The orders' report, check by check: name, category, columns, failures, threshold and severity."""
     checks = [(f"{c}_nullability", "nullability", c, f"{c} IS NULL", most, severity) for c, most, severity in (("order_id", 0, "critical"), ("user_id", 0, "error"), ("eval_set", 2, "error"), ("order_number", 0, "error"), ("order_dow", 0, "error"), ("order_hour_of_day", 0, "error"))]

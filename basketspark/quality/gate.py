@@ -4,24 +4,28 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.files import write_parquet
+from ..sources.files import drop_path, read_parquet, replace_path, staging_path, write_parquet
 from ..sources.schema import accepts
 from . import keys, metrics, rules
 from .errors import DataValidationError, InvalidConstraintError
+from .wellformed import check_contract
 
 SEVERITIES = ("info", "warning", "error", "critical")
 #: Offending rows that are shown: by duplicate keys, by foreign key, by rule.
 SAMPLES = {"uniqueness": 30, "foreign_key": 20, "row_logic": 20}
 REPORT = "dataset string, rule_name string, category string, columns string, failed_count long, total long, failed_percent double, status string, severity string, passed boolean"
+#: More on a finding: how many keys occur twice or more, and how to say it.
+DETAIL = "dataset string, rule_name string, duplicate_keys long, message string"
 
 
 @dataclass
 class Report:
     dataset: str
     rows: list[tuple] = field(default_factory=list)
+    duplicate_keys: dict[str, int] = field(default_factory=dict)
 
     @property
     def has_errors(self) -> bool:
@@ -38,6 +42,19 @@ class Report:
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, REPORT)
 
+    def messages(self) -> dict[str, str]:
+        """What each finding says, by rule."""
+        out = {}
+        for _, rule, category, columns, failed, total, percent, status, _, _ in self.rows:
+            what = {"uniqueness": f"rows share a key ({columns})", "foreign_key": f"rows have no parent ({columns})", "row_logic": "rows break the rule"}.get(category, f"values fail {category} ({columns})")
+            more = f", {self.duplicate_keys[rule]} keys" if rule in self.duplicate_keys else ""
+            out[rule] = f"{status}: {failed} of {total} {what}{more}, {percent:.2f} %"
+        return out
+
+    def details(self, spark: SparkSession) -> DataFrame:
+        said = self.messages()
+        return spark.createDataFrame([(self.dataset, r, self.duplicate_keys.get(r), m) for r, m in said.items()], DETAIL)
+
 
 def threshold(contract: dict, column: str, category: str) -> tuple[float, str]:
     """(percent that may fail, severity beyond it)."""
@@ -84,7 +101,8 @@ def unique_keys(contract: dict) -> list[list[str]]:
 
 def findings(df: DataFrame, contract: dict, references: dict[str, DataFrame] | None = None) -> Report:
     """The report on a table whose columns are as the contract says; raises for unusable contracts and empty tables."""
-    name, report = contract["name"], Report(contract["name"])
+    check_contract(contract)
+    name, report = contract.get("name", ""), Report(contract.get("name", ""))
     derived = contract.get("derived_fields") or []
     own = metrics.column_metrics(contract)
     checks = rules.rule_metrics(contract.get("rules"))
@@ -99,7 +117,9 @@ def findings(df: DataFrame, contract: dict, references: dict[str, DataFrame] | N
     for m in own:
         say(m.rule, m.category, m.columns, got[m.rule], *threshold(contract, m.columns[0], m.category))
     for key in unique_keys(contract):
-        say(f"{'_'.join(key)}_uniqueness", "uniqueness", key, keys.uniqueness(df, key).first()["duplicate_rows"])
+        rule, found = f"{'_'.join(key)}_uniqueness", keys.uniqueness(df, key).first()
+        report.duplicate_keys[rule] = found["duplicate_keys"]
+        say(rule, "uniqueness", key, found["duplicate_rows"])
     for fk in keys.foreign_keys(contract):
         if fk["dataset"] not in (references or {}):
             raise ValueError(f"{name}: the parent dataset {fk['dataset']} of {fk['name']} is not given")
@@ -113,9 +133,10 @@ def findings(df: DataFrame, contract: dict, references: dict[str, DataFrame] | N
 
 def validate(df: DataFrame, contract: dict, references: dict[str, DataFrame] | None = None) -> Report:
     """The report, if the table may be used; DataValidationError with it if not. Wrong columns or types end it at once."""
+    check_contract(contract)
     for wrong in (check_columns(df, contract), None):
         if wrong := check_types(df, contract) if wrong is None else wrong:
-            raise DataValidationError(Report(contract["name"]), "; ".join(wrong))
+            raise DataValidationError(Report(contract.get("name", "")), "; ".join(wrong))
     report = findings(df, contract, references)
     if report.has_errors:
         raise DataValidationError(report, ", ".join(r[1] for r in report.rows if r[7] == "failed"))
@@ -123,17 +144,39 @@ def validate(df: DataFrame, contract: dict, references: dict[str, DataFrame] | N
 
 
 def gated_write(df: DataFrame, contract: dict, path: str, references: dict[str, DataFrame] | None = None) -> Report:
-    """Validate, then write; nothing is written on failure. The table is computed once for both."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write beside the target, validate what was written, then put it in the target's place.
+
+    The table is computed once, by a write that survives lost executors, and a failed contract or write leaves the target as it
+    was. Columns and types are tested before anything is written.
+    """
+    check_contract(contract)
+    if wrong := check_columns(df, contract) or check_types(df, contract):
+        raise DataValidationError(Report(contract.get("name", "")), "; ".join(wrong))
+    spark, staged = df.sparkSession, staging_path(path)
     try:
-        report = validate(df, contract, references)
-        write_parquet(df, path)
+        write_parquet(df, staged)
+        report = validate(read_parquet(spark, staged), contract, references)
+        replace_path(spark, staged, path)
         return report
     finally:
-        df.unpersist()
+        drop_path(spark, staged)
 
 
 def violation_samples(df: DataFrame, contract: dict) -> dict[str, DataFrame]:
     """Some rows that break each rule, smallest grain first."""
     made, by = rules.with_derived_fields(df, contract.get("derived_fields")), contract.get("grain") or df.columns
     return {r["name"]: rules.violations(made, r).orderBy(*by).limit(SAMPLES["row_logic"]) for r in contract.get("rules") or []}
+
+
+def key_samples(df: DataFrame, contract: dict) -> dict[str, DataFrame]:
+    """Some keys that occur more than once, with how often (``n``), by rule: the most frequent first, then the smallest."""
+    return {f"{'_'.join(k)}_uniqueness": keys.repeated_keys(df, k).orderBy(F.desc("n"), *k).limit(SAMPLES["uniqueness"]) for k in unique_keys(contract)}
+
+
+def orphan_samples(df: DataFrame, contract: dict, references: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Some keys without a parent, with the rows that have them (``n``), by foreign key: the most frequent first."""
+    out = {}
+    for fk in keys.foreign_keys(contract):
+        lost = keys.orphans(df, references[fk["dataset"]], fk["child_columns"], fk["parent_columns"])
+        out[fk["name"]] = lost.groupBy(*fk["child_columns"]).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *fk["child_columns"]).limit(SAMPLES["foreign_key"])
+    return out

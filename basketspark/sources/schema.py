@@ -22,8 +22,16 @@ TYPES = {
 TYPES |= {"int": TYPES["integer"], "str": TYPES["string"], "bool": TYPES["boolean"]}
 
 
+def normal(kind: str) -> str:
+    """The type's name in lower case without blanks around it."""
+    if not isinstance(kind, str):
+        raise InvalidContractError(f"a type must be a text, not {kind!r}")
+    return kind.strip().lower()
+
+
 def element_type(kind: str) -> str | None:
     """The element's type of ``array<...>``, None for other types."""
+    kind = normal(kind)
     if not (kind.startswith("array<") and kind.endswith(">")):
         return None
     if not (inner := kind[6:-1].strip()):
@@ -34,7 +42,7 @@ def element_type(kind: str) -> str | None:
 def data_type(kind: str) -> T.DataType:
     if (inner := element_type(kind)) is not None:
         return T.ArrayType(data_type(inner))
-    if kind not in TYPES:
+    if (kind := normal(kind)) not in TYPES:
         raise InvalidContractError(f"unknown type {kind!r}")
     return TYPES[kind][0]
 
@@ -43,7 +51,7 @@ def accepts(kind: str, actual: T.DataType) -> bool:
     """Whether a column of the actual type may hold the contract's type."""
     if (inner := element_type(kind)) is not None:
         return isinstance(actual, T.ArrayType) and accepts(inner, actual.elementType)
-    if kind not in TYPES:
+    if (kind := normal(kind)) not in TYPES:
         raise InvalidContractError(f"unknown type {kind!r}")
     return isinstance(actual, TYPES[kind][1])
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from basketspark.quality import contracts, gate, keys, metrics, rules
 from basketspark.quality.contracts import column, contract
 from basketspark.quality.errors import DataValidationError, EmptyDatasetError, InvalidConstraintError, InvalidContractError
+from basketspark.quality.wellformed import check_contract
 from basketspark.sources import schema
 
 ORDER_SCHEMA = "order_id int, user_id int, eval_set string, order_number int, order_dow int, order_hour_of_day int, days_since_prior_order double"
@@ -81,8 +82,8 @@ def test_keys_leave_nulls_out(spark):
 def test_null_partition_keys_never_fail(spark):
     df = orders(spark, {(1, 1): None, (2, 1): None})
     got = rules.with_derived_fields(df, contracts.ORDERS["derived_fields"])
-    assert {r.order_id: r.user_max_order_number for r in got.collect()} == {1: 1, 2: None, 3: None, 4: 2, 5: 2}
-    bad = rules.violations(got, {"expression": "user_max_order_number = 99"})
+    assert {r.order_id: r.greatest_number for r in got.collect()} == {1: 1, 2: None, 3: None, 4: 2, 5: 2}
+    bad = rules.violations(got, {"expression": "greatest_number = 99"})
     assert sorted(r.order_id for r in bad.collect()) == [1, 4, 5]
 
 
@@ -153,7 +154,66 @@ def test_nothing_is_written_on_failure(spark, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(DataValidationError):
         gate.gated_write(orders(spark, {(0, 0): 2}), contracts.ORDERS, out)
-    assert not os.path.exists(out)
+    assert not os.path.exists(out) and os.listdir(tmp_path) == []
     gate.gated_write(orders(spark), contracts.ORDERS, out)
     assert spark.read.parquet(out).count() == 5
+    with pytest.raises(DataValidationError):
+        gate.gated_write(orders(spark, {(0, 1): 0}), contracts.ORDERS, out)
+    assert spark.read.parquet(out).count() == 5 and os.listdir(tmp_path) == ["out"]
+    gate.gated_write(orders(spark).filter("user_id = 1"), contracts.ORDERS, out)
+    gate.gated_write(spark.read.parquet(out), contracts.ORDERS, out)  # a table may replace itself
+    assert spark.read.parquet(out).count() == 3 and os.listdir(tmp_path) == ["out"]
     assert gate.violation_samples(orders(spark, {(2, 3): 4}), contracts.ORDERS)["contiguous_order_numbers"].count() == 3
+
+
+GOOD = {"name": "a", "type": "integer", "nullable": True}
+
+
+@pytest.mark.parametrize(
+    "bad, said",
+    [
+        (None, "mapping"),
+        ([], "mapping"),
+        ({}, "mapping"),
+        ({"name": "t"}, "schema"),
+        ({"schema": {"a": 1}}, "schema"),
+        ({"schema": []}, "schema"),
+        ({"schema": ["a"]}, "column 0"),
+        ({"schema": [{"type": "integer", "nullable": True}]}, "name is missing"),
+        ({"schema": [{**GOOD, "name": " "}]}, "name is not usable"),
+        ({"schema": [{**GOOD, "name": 3}]}, "name is not usable"),
+        ({"schema": [{"name": "a", "nullable": True}]}, "type is missing"),
+        ({"schema": [{**GOOD, "type": 7}]}, "type is not usable"),
+        ({"schema": [{"name": "a", "type": "integer"}]}, "nullable is missing"),
+        ({"schema": [{**GOOD, "nullable": "yes"}]}, "nullable is not usable"),
+        ({"schema": [{**GOOD, "constraints": []}]}, "constraints is not usable"),
+        ({"schema": [GOOD, GOOD]}, "listed 2 times"),
+    ],
+)
+def test_malformed_contracts(spark, bad, said):
+    for use in (gate.validate, gate.findings, lambda df, c: gate.gated_write(df, c, "/nowhere")):
+        with pytest.raises(InvalidContractError, match=said):
+            use(orders(spark), bad)
+
+
+def test_every_contract_is_well_formed():
+    for c in contracts.CONTRACTS.values():
+        check_contract(c)
+
+
+@pytest.mark.parametrize("kind", [" INTEGER ", "Integer", "ARRAY< String >", "array<array< LONG>>"])
+def test_type_names_are_normalised(kind):
+    made = schema.data_type(kind)
+    assert schema.accepts(kind, made) and not schema.accepts(kind, T.DateType())
+
+
+def test_samples_and_messages_of_keys(spark):
+    df = spark.createDataFrame([(i % 40, i % 3) for i in range(100)] + [(None, 1)] * 3, "a int, b int")
+    c = contract("t", ["a"], [column("a", "integer", True), column("b", "integer", True)], foreign={"b_fk": (["b"], "p", ["x"])})
+    parent = {"p": spark.createDataFrame([(0,)], "x int")}
+    some = gate.key_samples(df, c)["a_uniqueness"].collect()
+    assert [(r.a, r.n) for r in some] == [(i, 3) for i in range(20)] + [(i, 2) for i in range(20, 30)]
+    assert [(r.b, r.n) for r in gate.orphan_samples(df, c, parent)["b_fk"].collect()] == [(1, 36), (2, 33)]
+    report = gate.findings(df, c, parent)
+    assert report.duplicate_keys == {"a_uniqueness": 40} and "40 keys" in report.messages()["a_uniqueness"]
+    assert {r.rule_name: r.duplicate_keys for r in report.details(spark).collect()} == {"a_uniqueness": 40, "b_fk": None}
