@@ -1,8 +1,9 @@
 """Histories of candidates: products, aisles, the pseudo-product for "no reorder", and reorder sizes.
 
-Lines are dealt by user once; what is needed of a basket (sizes, reorders, first purchases) is computed in long form by windows
-and aggregates that keep this partitioning. A candidate's values by step are then looked up in a map of the steps that it is in,
-instead of searching every basket for every candidate.
+Lines are dealt by user and order once, so that a user with very many lines is no task of its own; a basket's lines become one
+sorted array, from which both its figures and its candidates are taken. Candidates are gathered by (user, product), baskets by user,
+and the two meet last: which order is the target is only known then. A candidate's values by step are looked up in a map of the
+steps that it is in, instead of searching every basket for every candidate.
 
 A user's last order is the target, all before it history; a single order is history. The orders' times also cover the target.
 """
@@ -11,10 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.sequences import joined
-from .baskets import union_lines, user_split
+from .baskets import user_split
 
 TIMES = {"order_dows": "order_dow", "order_hours": "order_hour_of_day", "days_since_prior_orders": "days_since_prior_order", "order_numbers": "order_number"}
 PRODUCT_COLUMNS = ["user_id", "product_id", "label", "aisle_id", "department_id", "product_name", "train_eval_set", "is_ordered_history", "position_in_order_history", "history_order_size", "history_reorder_size", *TIMES]
@@ -22,65 +22,83 @@ AISLE_COLUMNS = ["user_id", "aisle_id", "department_id", "eval_set", "is_ordered
 REORDER_COLUMNS = ["user_id", "eval_set", "order_sizes", "reorder_sizes", "label", *TIMES]
 
 
-def _steps(lines: DataFrame) -> DataFrame:
-    """Lines by user, with whether they are of the target, and their place in the basket."""
-    user, basket = Window.partitionBy("user_id"), Window.partitionBy("user_id", "order_id").orderBy("add_to_cart_order", "product_id")
-    dealt = lines.repartition("user_id")
-    last = F.max("order_number").over(user)
-    return dealt.withColumns({"is_target": (F.col("order_number") == last) & (F.min("order_number").over(user) < last), "place": F.row_number().over(basket)})
-
-
-def _baskets(steps: DataFrame, facts: list[Column]) -> DataFrame:
-    """A row for each basket with its times and ``facts``. Without eval_set, a text, the aggregate can use hashing."""
-    times = [F.min(c).alias(c) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set") if c in steps.columns]
-    return steps.groupBy("user_id", "order_id", "order_number", "is_target").agg(*times, *facts)
+def _baskets(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """A row for each basket with its lines by place. All that is needed of lines is in the one array, so that every use of the
+    baskets shares one exchange."""
+    items = F.sort_array(F.collect_list(F.struct("add_to_cart_order", "product_id", *columns)))
+    return lines.groupBy("user_id", "order_id", "order_number").agg(items.alias("items"))
 
 
 def _users(baskets: DataFrame, facts: list[str]) -> DataFrame:
-    """A row for each user: ``h`` the history's baskets, ``t`` the target's facts (null without one), times as texts, eval_set
-    if the baskets have it."""
+    """A row for each user: ``h`` the history's baskets, ``t`` the target's (null without one), its number (null without one), times
+    as texts, eval_set if the baskets have it."""
     split = "eval_set" in baskets.columns
-    every = ["order_number", "is_target", "order_dow", "order_hour_of_day", "days_since_prior_order", *["eval_set"] * split, *facts]
+    every = ["order_number", "order_dow", "order_hour_of_day", "days_since_prior_order", *["eval_set"] * split, *facts]
     grouped = baskets.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(*every))).alias("o"))
-    history = F.filter("o", lambda x: ~x.is_target)
-    return grouped.select("user_id", history.alias("h"), F.try_element_at(F.filter("o", lambda x: x.is_target), F.lit(1)).alias("t"), *[user_split(F.element_at("o", -1)["eval_set"]).alias("eval_set")] * split, *(joined(F.col(f"o.{f}")).alias(name) for name, f in TIMES.items()))
+    last = F.element_at("o", -1)["order_number"]
+    grouped = grouped.withColumn("target", F.when(F.element_at("o", 1)["order_number"] < last, last))
+    history = F.filter("o", lambda x: F.col("target").isNull() | (x.order_number < F.col("target")))
+    target = F.try_element_at(F.filter("o", lambda x: x.order_number == F.col("target")), F.lit(1))
+    return grouped.select("user_id", "target", history.alias("h"), target.alias("t"), *[user_split(F.element_at("o", -1)["eval_set"]).alias("eval_set")] * split, *(joined(F.col(f"o.{f}")).alias(name) for name, f in TIMES.items()))
+
+
+def _times(items: str = "items", *more: str) -> dict[str, Column]:
+    return {c: F.array_min(F.col(f"{items}.{c}")) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", *more)}
+
+
+def _in_history(entries: str = "entries") -> Column:
+    """The entries (order_number, what) of a candidate that are before the target."""
+    return F.map_from_entries(F.filter(entries, lambda e: F.col("target").isNull() | (e.order_number < F.col("target"))))
 
 
 def _by_step(value) -> Column:
     return joined(F.transform("h", value))
 
 
-def product_history(lines: DataFrame, targets: DataFrame, products: DataFrame) -> DataFrame:
-    """A row for each user and product of the history. ``label``: whether a train user's target has it, -1 for others."""
-    first = F.min(F.when(~F.col("is_target"), F.col("order_number"))).over(Window.partitionBy("user_id", "product_id"))
-    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "order_dow", "order_hour_of_day", "days_since_prior_order")).withColumn("first", first)
-    again = F.countDistinct(F.when(F.col("first") < F.col("order_number"), F.col("product_id")))
-    users = _users(_baskets(steps, [F.count("*").alias("size"), again.alias("again")]), ["size", "again"])
-    own = steps.groupBy("user_id", "product_id", "order_number", "is_target").agg(F.min("place").alias("place"))
-    in_steps = F.map_from_entries(F.collect_list(F.when(~F.col("is_target"), F.struct("order_number", "place"))))
-    candidates = own.groupBy("user_id", "product_id").agg(in_steps.alias("at"), F.max("is_target").alias("bought"), F.min("is_target").alias("only_target")).filter(~F.col("only_target"))
-    place = lambda x: F.coalesce(F.try_element_at("at", x.order_number), F.lit(0))
+def _histories(lines: DataFrame, targets: DataFrame, products: DataFrame, with_none: bool) -> DataFrame:
+    """Histories of products and, if asked for, of product 0 for each user, from one exchange of the lines."""
+    baskets = _baskets(lines, ["reordered", "order_dow", "order_hour_of_day", "days_since_prior_order"])
+    placed = F.transform("items", lambda x, i: F.struct(x.product_id.alias("product_id"), (i + 1).alias("place"), F.lit(False).alias("none")))
+    none = F.array(F.struct(F.lit(0).cast(lines.schema["product_id"].dataType).alias("product_id"), F.lit(0).alias("place"), F.lit(True).alias("none")))
+    own = baskets.select("user_id", "order_number", F.explode(F.concat(placed, none) if with_none else placed).alias("x")).select("user_id", "order_number", "x.*").repartition("user_id", "product_id")
+    own = own.groupBy("user_id", "product_id", "none", "order_number").agg(F.min("place").alias("place"))
+    candidates = own.groupBy("user_id", "product_id", "none").agg(F.sort_array(F.collect_list(F.struct("order_number", "place"))).alias("entries"))
+    again = candidates.filter(~F.col("none")).select("user_id", F.explode(F.slice("entries", 2, 1 << 30)).alias("e")).groupBy("user_id", "e.order_number").agg(F.count("*").alias("again"))
+    figures = baskets.withColumns({**_times(), "size": F.size("items"), "reorders": F.aggregate("items", F.lit(0), lambda n, x: n + F.coalesce(x.reordered, F.lit(0)).cast("int")), "any": F.array_max("items.reordered")}).drop("items")
+    figures = figures.join(again, ["user_id", "order_number"], "left").withColumn("again", F.coalesce("again", F.lit(0)))
+    zero = F.lit(0).cast("int")
+    step = lambda of, none: _by_step(lambda x: F.when(F.col("none"), none(x)).otherwise(of(x)))
     return (
-        candidates.join(users, "user_id")
+        candidates.join(_users(figures, ["size", "again", "reorders", "any"]), "user_id")
+        .withColumn("at", _in_history())
+        .filter(F.col("none") | (F.size("at") > 0))
+        .withColumn("places", F.transform("h", lambda x: F.coalesce(F.try_element_at("at", x.order_number), F.lit(0))))
         .join(targets, "user_id", "left")
         .join(products, "product_id", "left")
         .withColumns(
             {
-                "label": F.when(F.col("train_eval_set") == "train", F.col("bought").cast("int")).otherwise(-1),
-                "is_ordered_history": _by_step(lambda x: (place(x) > 0).cast("int")),
-                "position_in_order_history": _by_step(place),
+                "aisle_id": F.when(F.col("none"), zero).otherwise(F.col("aisle_id")),
+                "department_id": F.when(F.col("none"), zero).otherwise(F.col("department_id")),
+                "product_name": F.when(F.col("none"), "").otherwise(F.col("product_name")),
+                "label": F.when(F.col("train_eval_set") == "train", F.when(F.col("none"), (F.col("t.any") == 0).cast("int")).otherwise(F.coalesce(F.exists("entries", lambda e: e.order_number == F.col("target")), F.lit(False)).cast("int"))).otherwise(-1),
+                "is_ordered_history": F.when(F.col("none"), _by_step(lambda x: (x["any"] == 0).cast("int"))).otherwise(joined(F.transform("places", lambda p: (p > 0).cast("int")))),
+                "position_in_order_history": joined(F.col("places")),
                 "history_order_size": _by_step(lambda x: x.size),
-                "history_reorder_size": _by_step(lambda x: x.again),
+                "history_reorder_size": step(lambda x: x.again, lambda x: x.reorders),
             }
         )
         .select(PRODUCT_COLUMNS)
     )
 
 
+def product_history(lines: DataFrame, targets: DataFrame, products: DataFrame) -> DataFrame:
+    """A row for each user and product of the history. ``label``: whether a train user's target has it, -1 for others."""
+    return _histories(lines, targets, products, False)
+
+
 def no_reorder_history(lines: DataFrame, targets: DataFrame) -> DataFrame:
     """A row of product 0 for each user: in which baskets nothing was reordered. A train user without a target has no label."""
-    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "reordered", "order_dow", "order_hour_of_day", "days_since_prior_order"))
-    users = _users(_baskets(steps, [F.count("*").alias("size"), F.sum("reordered").cast("int").alias("again"), F.max("reordered").alias("any")]), ["size", "again", "any"])
+    users = _users(_figures(lines, [F.count("*").alias("size"), F.sum("reordered").cast("int").alias("again"), F.max("reordered").alias("any")]), ["size", "again", "any"])
     zero = F.lit(0).cast("int")
     return (
         users.join(targets, "user_id", "left")
@@ -102,25 +120,31 @@ def no_reorder_history(lines: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def product_history_all(lines: DataFrame, targets: DataFrame, products: DataFrame) -> DataFrame:
-    return union_lines(product_history(lines, targets, products), no_reorder_history(lines, targets))
+    """Both of the above; the pseudo-product comes from the same baskets."""
+    return _histories(lines, targets, products, True)
 
 
 def aisle_history(lines: DataFrame, departments: DataFrame) -> DataFrame:
     """A row for each user and aisle of the history; an aisle's position is among the basket's different aisles."""
-    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "aisle_id", "add_to_cart_order", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order"))
-    users = _users(_baskets(steps, [F.countDistinct("aisle_id").alias("size")]), ["size"])
-    own = steps.filter(~F.col("is_target")).groupBy("user_id", "aisle_id", "order_number").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    own = own.withColumn("place", F.row_number().over(Window.partitionBy("user_id", "order_number").orderBy("first")))
-    candidates = own.groupBy("user_id", "aisle_id").agg(F.map_from_entries(F.collect_list(F.struct("order_number", F.struct("place", "n")))).alias("at"))
-    found = lambda x, f: F.coalesce(F.try_element_at("at", x.order_number)[f], F.lit(0))
+    baskets = _baskets(lines, ["aisle_id", "order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set"])
+    baskets = baskets.withColumn("aisles", F.array_distinct("items.aisle_id"))
+    users = _users(baskets.withColumns({**_times("items", "eval_set"), "size": F.size(F.array_compact("aisles"))}).drop("items", "aisles"), ["size"])
+    own = baskets.select("user_id", "order_number", F.col("items.aisle_id").alias("every"), F.posexplode("aisles").alias("place", "aisle_id"))
+    own = own.select("user_id", "order_number", "aisle_id", (F.col("place") + 1).alias("place"), F.size(F.filter("every", lambda x: x.eqNullSafe(F.col("aisle_id")))).alias("n")).repartition("user_id", "aisle_id")
+    own = own.groupBy("user_id", "aisle_id", "order_number").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
+    candidates = own.groupBy("user_id", "aisle_id").agg(F.collect_list(F.struct("order_number", F.struct("place", "n").alias("v"))).alias("entries"))
+    found = lambda f: joined(F.transform("found", lambda v: F.coalesce(v[f], F.lit(0))))
     return (
         candidates.join(users, "user_id")
+        .withColumn("at", _in_history())
+        .filter(F.size("at") > 0)
+        .withColumn("found", F.transform("h", lambda x: F.try_element_at("at", x.order_number)))
         .join(departments, "aisle_id", "left")
         .withColumns(
             {
-                "is_ordered_history": _by_step(lambda x: (found(x, "place") > 0).cast("int")),
-                "position_in_order": _by_step(lambda x: found(x, "place")),
-                "num_products_from_aisle": _by_step(lambda x: found(x, "n")),
+                "is_ordered_history": joined(F.transform("found", lambda v: v.isNotNull().cast("int"))),
+                "position_in_order": found("place"),
+                "num_products_from_aisle": found("n"),
                 "aisle_history_size": _by_step(lambda x: x.size),
             }
         )
@@ -128,8 +152,14 @@ def aisle_history(lines: DataFrame, departments: DataFrame) -> DataFrame:
     )
 
 
+def _figures(lines: DataFrame, facts: list[Column]) -> DataFrame:
+    """A row for each basket with its times and ``facts``, summed before lines travel. Without eval_set, a text, it can use hashing."""
+    times = [F.min(c).alias(c) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order")]
+    return lines.groupBy("user_id", "order_id", "order_number").agg(*times, *facts)
+
+
 def reorder_size(lines: DataFrame) -> DataFrame:
     """A row for each user: sizes and reorders of the history's baskets; ``label`` is the target's reorders, 0 without one."""
-    steps = _steps(lines.select("user_id", "order_id", "order_number", "product_id", "add_to_cart_order", "reordered", "eval_set", "order_dow", "order_hour_of_day", "days_since_prior_order"))
-    users = _users(_baskets(steps, [F.count("*").cast("int").alias("size"), F.sum("reordered").cast("int").alias("again")]), ["size", "again"])
+    facts = [F.count("*").cast("int").alias("size"), F.sum("reordered").cast("int").alias("again"), F.min("eval_set").alias("eval_set")]
+    users = _users(_figures(lines, facts), ["size", "again"])
     return users.withColumns({"order_sizes": F.col("h.size"), "reorder_sizes": F.col("h.again"), "label": F.coalesce("t.again", F.lit(0))}).select(REORDER_COLUMNS)
