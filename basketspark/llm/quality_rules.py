@@ -2,8 +2,11 @@
 
 Every line with a word is described by a few figures; a linear-chain conditional random field, decoded by Viterbi, marks each as
 content or boilerplate; a text is retained if content lines hold at least ``SHARE`` of its characters and the fixed limits are
-met. The field is trained by gradient ascent on a bounded sample (``TRAIN_ROWS`` texts of up to ``TRAIN_CHARS`` characters) whose
-lines, in runs of ``TRAIN_LINES``, carry their text's quality label.
+met. The field is trained by gradient ascent on a bounded sample (``TRAIN_ROWS`` texts of up to ``TRAIN_CHARS`` characters, in runs
+of ``TRAIN_LINES`` lines). Its texts have labels, its lines don't, so lines get theirs in rounds: those of good texts are content;
+those of low texts begin as boilerplate, and in each round the ones that a logistic model of single lines takes for content become
+content, the likeliest first, up to half of a text's characters. Then each good text gets the boilerplate of a low one put between its lines, and the whole field
+learns from these mixtures and the texts themselves how labels follow each other.
 
 Edge cases: a null text has no words and fails; a text without lines has no content; repeated rows and null ids are carried; an
 empty table gives no rows; without labels of both kinds every line counts as content. Only the named columns are read.
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable
+from random import Random
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -23,6 +27,7 @@ from .common import labelled_sample, map_rows
 SHARE = 0.5
 MIN_WORDS, REPEATED_PERCENT = 50, 50
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_LINES = 2000, 20_000, 24
+LABEL_ROUNDS, SEED = 3, 7
 BLANKS, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 N_FEATURES = 12
 
@@ -89,40 +94,16 @@ class LineField:
         self.emit, self.move = emit, move
 
     @classmethod
-    def trained(cls, samples: Iterable[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0.1, decay: float = 1e-3) -> LineField:
-        """Adam on the conditional log-likelihood of lines that all have their text's label."""
-        samples = [(x, y) for x, y in samples if len(x)]
-        if len({y for _, y in samples}) < 2:
+    def trained(cls, samples: Iterable[tuple[np.ndarray, np.ndarray]], rounds: int = 200, rate: float = 0.15, decay: float = 1e-5) -> LineField:
+        """Adam on the conditional log-likelihood of (figures, labels) of runs of lines."""
+        samples = [(x, np.asarray(y)) for x, y in samples if len(x)]
+        if len({k for _, y in samples for k in y.tolist()}) < 2:
             return cls(np.array([[0.0] * N_FEATURES, [1.0] + [0.0] * (N_FEATURES - 1)]), np.zeros((2, 2)))
-        longest = max(len(x) for x, _ in samples)
-        x = np.zeros((len(samples), longest, N_FEATURES))
-        there = np.zeros((len(samples), longest))
-        y = np.array([y for _, y in samples])
-        for i, (f, _) in enumerate(samples):
-            x[i, : len(f)], there[i, : len(f)] = f, 1
-        weigh = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+        batch = _batch(samples)
         p = np.zeros(2 * N_FEATURES + 4)
         m, v = np.zeros_like(p), np.zeros_like(p)
-        gold = np.stack([y == 0, y == 1], 1).astype(float)
         for t in range(1, rounds + 1):
-            emit, move = p[:-4].reshape(2, -1), p[-4:].reshape(2, 2)
-            score = x @ emit.T
-            alpha, beta = np.zeros_like(score), np.zeros_like(score)
-            alpha[:, 0] = score[:, 0]
-            for k in range(1, longest):
-                new = score[:, k] + np.logaddexp(alpha[:, k - 1, :1] + move[0], alpha[:, k - 1, 1:] + move[1])
-                alpha[:, k] = np.where(there[:, k, None] > 0, new, alpha[:, k - 1])
-            for k in range(longest - 2, -1, -1):
-                after = score[:, k + 1] + beta[:, k + 1]
-                new = np.logaddexp(move[:, 0] + after[:, :1], move[:, 1] + after[:, 1:])
-                beta[:, k] = np.where(there[:, k + 1, None] > 0, new, 0)
-            total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None, None]
-            is_one = np.exp(np.minimum(alpha + beta - total, 0)) * there[:, :, None]
-            grad = np.einsum("nkl,nkf,n->lf", gold[:, None] * there[:, :, None] - is_one, x, weigh)
-            both = np.exp(np.minimum(alpha[:, :-1, :, None] + move + (score + beta)[:, 1:, None, :] - total[..., None], 0)) * there[:, 1:, None, None]
-            same = gold[:, :, None] * gold[:, None, :] * there[:, 1:].sum(1)[:, None, None]
-            pull = np.einsum("nab,n->ab", same - both.sum(1), weigh)
-            g = np.concatenate([grad.ravel(), pull.ravel()]) - decay * p
+            g = likelihood(p, *batch)[1] - decay * p
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             p = p + rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         return cls(p[:-4].reshape(2, -1), p[-4:].reshape(2, 2))
@@ -143,15 +124,101 @@ class LineField:
         return np.array(out[::-1])
 
 
+def _batch(samples: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(figures, whether a line is there, gold labels one-hot, weight of a run) of runs beside each other.
+
+    A run weighs as its lines do on average; both labels have equal weight."""
+    longest = max(len(x) for x, _ in samples)
+    x, there, gold = np.zeros((len(samples), longest, N_FEATURES)), np.zeros((len(samples), longest)), np.zeros((len(samples), longest, 2))
+    for i, (f, y) in enumerate(samples):
+        x[i, : len(f)], there[i, : len(f)] = f, 1
+        gold[i, np.arange(len(f)), y] = 1
+    each = 0.5 / np.maximum(1, gold.sum((0, 1)))
+    return x, there, gold, (gold @ each).sum(1) / there.sum(1)
+
+
+def likelihood(p: np.ndarray, x: np.ndarray, there: np.ndarray, gold: np.ndarray, weigh: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted log-likelihood of the gold labels and its gradient, by the forward-backward sums. p: emissions, then moves."""
+    emit, move, longest = p[:-4].reshape(2, -1), p[-4:].reshape(2, 2), x.shape[1]
+    score = x @ emit.T
+    alpha, beta = np.zeros_like(score), np.zeros_like(score)
+    alpha[:, 0] = score[:, 0]
+    for k in range(1, longest):
+        new = score[:, k] + np.logaddexp(alpha[:, k - 1, :1] + move[0], alpha[:, k - 1, 1:] + move[1])
+        alpha[:, k] = np.where(there[:, k, None] > 0, new, alpha[:, k - 1])
+    for k in range(longest - 2, -1, -1):
+        after = score[:, k + 1] + beta[:, k + 1]
+        new = np.logaddexp(move[:, 0] + after[:, :1], move[:, 1] + after[:, 1:])
+        beta[:, k] = np.where(there[:, k + 1, None] > 0, new, 0)
+    total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
+    one = np.exp(np.minimum(alpha + beta - total[:, None, None], 0)) * there[:, :, None]
+    both = np.exp(np.minimum(alpha[:, :-1, :, None] + move + (score + beta)[:, 1:, None, :] - total[:, None, None, None], 0)) * there[:, 1:, None, None]
+    steps = gold[:, :-1, :, None] * gold[:, 1:, None, :]
+    value = (weigh * ((gold * score).sum((1, 2)) + (steps * move).sum((1, 2, 3)) - total)).sum()
+    pull = np.einsum("nab,n->ab", (steps - both).sum(1), weigh)
+    return float(value), np.concatenate([np.einsum("nkl,nkf,n->lf", gold - one, x, weigh).ravel(), pull.ravel()])
+
+
 def content_share(field: LineField, text: str | None) -> float:
     x, chars = features(text)
     return float((field.labels(x) * chars).sum() / chars.sum()) if len(x) else 0.0
 
 
+def _lines(text: str) -> list[str]:
+    return [x for x in text.split("\n") if x.strip(BLANKS)]
+
+
+def _line_model(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Logistic regression of single lines, both labels of equal weight."""
+    w, n = np.zeros(x.shape[1]), max(1, len(y))
+    weigh = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * n
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (weigh * p * (1 - p))[:, None]).T @ x / n + ridge * np.eye(len(w))
+        w = w + np.clip(np.linalg.solve(h, x.T @ (weigh * (y - p)) / n - ridge * w), -2, 2)
+    return w
+
+
+def line_labels(sample: list[tuple[str, int]]) -> list[np.ndarray]:
+    """A label for each line of (text, quality label), in rounds as above."""
+    figures = [features(t) for t, _ in sample]
+    out = [np.full(len(x), y) for (x, _), (_, y) in zip(figures, sample, strict=True)]
+    if not any(map(len, out)):
+        return out
+    every = np.concatenate([x for x, _ in figures]).astype(float)
+    for _ in range(LABEL_ROUNDS):
+        w = _line_model(every, np.concatenate(out))
+        for i, ((x, chars), (_, good)) in enumerate(zip(figures, sample, strict=True)):
+            if not good and len(x):
+                lead = x @ w
+                order = np.argsort(-lead, kind="stable")
+                out[i] = np.zeros(len(x), int)
+                out[i][order] = (lead[order] > 0) & (2 * np.cumsum(chars[order]) <= chars.sum())
+    return out
+
+
+def mixtures(sample: list[tuple[str, int]], of: list[np.ndarray], seed: int = SEED) -> list[tuple[str, np.ndarray]]:
+    """Each good text with the boilerplate lines of a low one between, before or after its lines, and the labels of its lines."""
+    r, out = Random(seed), []
+    low = [[x for x, k in zip(_lines(t), y, strict=True) if not k] for (t, good), y in zip(sample, of, strict=True) if not good]
+    low = [x for x in low if x]
+    for text, good in sample:
+        lines = _lines(text)
+        if good and lines and low:
+            more, at = r.choice(low), r.randint(0, len(lines))
+            out.append(("\n".join([*lines[:at], *more, *lines[at:]]), np.array([1] * at + [0] * len(more) + [1] * (len(lines) - at))))
+    return out
+
+
+def learn(sample: list[tuple[str, int]]) -> LineField:
+    """A field from (text, quality label)."""
+    of = line_labels(sample)
+    every = [(t, y) for (t, _), y in zip(sample, of, strict=True)] + mixtures(sample, of)
+    return LineField.trained((x[a : a + TRAIN_LINES], y[a : a + TRAIN_LINES]) for t, y in every for x in [features(t)[0]] for a in range(0, len(x), TRAIN_LINES))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> LineField:
-    sample = labelled_sample(docs, labels.filter(F.col("quality").isin(0, 1)), "quality", TRAIN_ROWS, TRAIN_CHARS)
-    lines = ((features(t)[0], y) for t, y in sample)
-    return LineField.trained((x[a : a + TRAIN_LINES], y) for x, y in lines for a in range(0, len(x), TRAIN_LINES))
+    return learn(labelled_sample(docs, labels.filter(F.col("quality").isin(0, 1)), "quality", TRAIN_ROWS, TRAIN_CHARS))
 
 
 def judge(docs: DataFrame, field: LineField, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
