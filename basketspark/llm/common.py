@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -18,17 +20,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder all executors share.
-
-    The cluster's ``spark.checkpoint.dir`` is used; only a session without one (tests) gets a local folder.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a session on this machine alone may do without one and gets a local folder."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the folder all executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+_HELD: dict = {}
+
+
+def release() -> None:
+    """Forget what an operator holds in this Python worker, and give the memory back."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not there on every platform
+            pass
+
+
+def held(key, make: Callable):
+    """What an operator keeps in a Python worker from task to task; a worker holds only one such thing at a time."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[..., tuple], setup: Callable = None) -> DataFrame:
     """One output row for each input row: ``rows(state, *values)`` in Arrow batches; ``setup()`` once a task."""
     out = df.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
@@ -38,7 +68,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(out)
-        state = setup() if setup else None
+        state = setup() if setup else release()
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             values = [rows(state, *row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             turned = list(zip(*values, strict=True)) or [()] * len(names)
@@ -64,12 +94,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write the table beside the checkpoints, in the folder all executors share, and read it again."""
+    """Write the table beside the checkpoints, in the folder all executors share, and read it again.
+
+    For what a loop hands on: a checkpoint keeps the estimated size of its plan, which joins multiply in each round."""
     from uuid import uuid4
 
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    path = f"{sc.getCheckpointDir()}/table-{uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
