@@ -15,7 +15,6 @@ from __future__ import annotations
 import os
 import re
 from collections import defaultdict
-from functools import lru_cache
 from itertools import chain, islice
 from zlib import crc32
 
@@ -24,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import checkpointed, held
+
 LENGTH = 4096
 END = 1
 GROUP = 20_000
@@ -42,7 +43,6 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@lru_cache(maxsize=1)
 def tokenizer(path: str) -> tuple:
     """(the tokenizer, its model alone for parts between blanks, what the model reads for each character, which ids end a part)."""
     from tokenizers import Tokenizer, pre_tokenizers
@@ -132,9 +132,8 @@ class Encoder:
         return [b"".join(ids) for ids, _ in found]
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return held(("packing", path), lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, length: int = LENGTH) -> DataFrame:
@@ -232,6 +231,4 @@ def packed(found: DataFrame, id_col: str = "doc_id", length: int = LENGTH, group
 
 
 def query(docs: DataFrame) -> DataFrame:
-    from .common import checkpointed
-
     return packed(checkpointed(pieces(docs)))

@@ -1,12 +1,13 @@
 """SimHash near-duplicate groups by pigeonring filtering.
 
-The 64 bits form a ring of ``SEGMENTS`` segments. If two fingerprints differ in at most t bits, some segment starts a chain in
-which every prefix of l segments differs in at most l*t/SEGMENTS bits. Prefixes with a budget below one bit must be equal, so they
-are the join key; the longer prefixes are tested next, and the whole distance last.
+The 64 bits form a ring of segments, more than bits may differ. If two fingerprints differ in at most t bits, some segment starts
+a chain in which every prefix of l of m segments differs in at most l*t/m bits. Prefixes with a budget below one bit must be equal,
+so they are the join key; the longer prefixes are tested next, and the whole distance last.
 
-Buckets over ``PAIR_BUCKET`` fingerprints (clouds of near copies) are not paired. Their members emit the 65 words within one bit
-of themselves instead: two words lie within two bits of each other exactly if these balls meet, and all fingerprints that meet
-in one ball centre are linked. That is exact, linear in the bucket, and a centre has at most 65 members.
+Where more than ``PAIR_BUCKET`` fingerprints share a key, the chain is lengthened by a segment: a member goes on with each choice of
+bits of that segment that the budget lets differ, left out of its key. Two members within t bits meet under the bits in which they
+differ, so no link is lost. For two bits a member has at most 28 such keys before the ring's last segment, and a whole ring's key
+holds at most 2^t fingerprints, so the work stays linear in the bucket.
 
 Edge cases: a null or blank text has fingerprint zero and links like any other; repeated rows are rows of their own; a null
 doc_id takes no part in the smallest id (a group of nothing else has a null component_id); an empty table gives no rows; only
@@ -16,16 +17,16 @@ the two named columns are read, so other columns can't clash.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_rows
+from .common import checkpointed, map_rows, stored
 
 SEGMENTS = 7
-PAIR_BUCKET = 48
+PAIR_BUCKET = 64
 MAX_BITS = 2
 BLOCK = 1 << 15
 #: Ids of documents to drop are broadcast up to this checked number.
@@ -66,37 +67,46 @@ def _ring(segments: int) -> list[int]:
     return [(1 << b) - (1 << a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, pair_bucket: int = PAIR_BUCKET) -> DataFrame:
-    """(a, b) with a > b: enough pairs of distinct fingerprints within max_bits to connect all that are. fps: distinct fp."""
+def _ways(bits: int, most: int) -> list[tuple[int, int]]:
+    """(bits left out, how many) of all choices of at most ``most`` of the given bits."""
+    each = [1 << i for i in range(64) if bits >> i & 1]
+    return [(_signed(sum(some)), n) for n in range(min(most, len(each)) + 1) for some in combinations(each, n)]
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int | None = None, pair_bucket: int = PAIR_BUCKET) -> DataFrame:
+    """(a, b) with a > b: the pairs of distinct fingerprints within max_bits (up to 62 of 64). fps: distinct fp."""
+    segments = segments or max(SEGMENTS, max_bits + 1)
     ring = _ring(segments)
     chain = lambda i, n: reduce(lambda x, y: x | y, (ring[(i + k) % segments] for k in range(n)))
-    equal = max(1, max(n for n in range(1, segments) if n * max_bits < segments or n == 1))
-    keys = fps.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(_signed(chain(i, equal)))).alias("key")) for i in range(segments)))).alias("k")).select("fp", "k.start", "k.key")
-    sizes = keys.groupBy("start", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = checkpointed(keys.join(sizes, ["start", "key"]))
-
-    a, b = met.filter(F.col("n") <= pair_bucket).alias("a"), met.filter(F.col("n") <= pair_bucket).alias("b")
-    differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    tests = []
-    for n in range(equal + 1, segments + 1):
-        budget = n * max_bits // segments
-        if n == segments or (n + 1) * max_bits // segments > budget:  # the longest chain of a budget implies the shorter ones
-            mask = reduce(lambda c, i, n=n: c.when(F.col("a.start") == i, F.lit(_signed(chain(i, n)))), range(1, segments), F.when(F.col("a.start") == 0, F.lit(_signed(chain(0, n)))))
-            tests.append(F.bit_count(differ.bitwiseAND(mask)) <= budget)
-    near = a.join(b, [F.col("a.start") == F.col("b.start"), F.col("a.key") == F.col("b.key"), F.col("a.fp") > F.col("b.fp"), *tests]).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
-
-    if max_bits != 2:
-        raise ValueError("the exact way for large buckets is for two bits")
-    hot = met.filter(F.col("n") > pair_bucket).select("fp").distinct()
-    ball = hot.select("fp", F.explode(F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)))).alias("centre"))
-    met_in = ball.groupBy("centre").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    far = met_in.select(F.array_min("fps").alias("b"), F.explode("fps").alias("a")).filter("a > b").select("a", "b")
-    return near.unionByName(far).distinct()
+    budget = lambda n: n * max_bits // segments
+    by_start = lambda of: F.element_at(F.array(*(F.lit(_signed(of(i))) for i in range(segments))), F.col("start") + 1)
+    length = max(n for n in range(1, segments + 1) if budget(n) == 0)
+    rows, near = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("start")).withColumns({"out": F.lit(0).cast("long"), "used": F.lit(0)}), []
+    while True:
+        keyed = rows.withColumn("key", F.xxhash64(F.col("fp").bitwiseAND(by_start(lambda i: chain(i, length))).bitwiseAND(F.bitwise_not("out")), "out"))
+        sizes = keyed.groupBy("start", "key").agg(F.count("*").alias("n")).filter("n > 1")
+        met = checkpointed(keyed.join(sizes, ["start", "key"]))
+        last = length == segments
+        a, b = (met.filter(F.lit(last) | (F.col("n") <= pair_bucket)).alias(x) for x in "ab")
+        differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
+        tests = []
+        for n in range(length, segments + 1):
+            if n == segments or budget(n + 1) > budget(n):  # the longest chain of a budget implies the shorter ones
+                mask = F.element_at(F.array(*(F.lit(_signed(chain(i, n))) for i in range(segments))), F.col("a.start") + 1)
+                tests.append(F.bit_count(differ.bitwiseAND(mask)) <= budget(n))
+        near.append(a.join(b, [F.col("a.start") == F.col("b.start"), F.col("a.key") == F.col("b.key"), F.col("a.fp") > F.col("b.fp"), *tests]).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")))
+        hot = met.filter(F.col("n") > pair_bucket)
+        if last or hot.isEmpty():
+            return reduce(DataFrame.unionByName, near).distinct()
+        ways = F.element_at(F.array(*(F.array(*(F.struct(F.lit(m).alias("m"), F.lit(n).alias("n")) for m, n in _ways(ring[(i + length) % segments], budget(length + 1)))) for i in range(segments))), F.col("start") + 1)
+        more = F.filter(ways, lambda w: w.n + F.col("used") <= budget(length + 1))
+        rows = hot.select("fp", "start", "out", "used", F.explode(more).alias("w")).select("fp", "start", F.col("out").bitwiseOR(F.col("w.m")).alias("out"), (F.col("used") + F.col("w.n")).alias("used"))
+        length += 1
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root) for each node of edges (a > b), by alternating large and small stars; root is the smallest node."""
-    e = checkpointed(edges)
+    e = stored(edges)
     seen = None
     for _ in range(most):
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -108,7 +118,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        e = checkpointed(small.select(F.col("a"), F.col("m").alias("b")).union(small.filter("b != m").select(F.col("b"), F.col("m"))).distinct())
+        e = stored(small.select(F.col("a"), F.col("m").alias("b")).union(small.filter("b != m").select(F.col("b"), F.col("m"))).distinct())
     else:
         raise RuntimeError(f"components did not settle in {most} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root"))

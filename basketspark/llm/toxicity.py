@@ -15,22 +15,26 @@ repeated rows and null ids are carried; an empty table gives no rows. Only the n
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections import Counter, defaultdict
-from functools import lru_cache
+import zlib
+from collections import Counter
+from hashlib import sha256
 from math import comb, exp, log
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROWS, fold, labelled_sample, map_rows
+from .common import ROWS, fold, held, labelled_sample, map_rows, release
 
 TRAIN_ROWS, TRAIN_CHARS = 6000, 20_000
 FOLDS, HELD_OUT = 5, 0
 BEGINNINGS = (4, 5, 6, 7, 8)
 CHANCE = 1e-5
-KNOWN = 150_000
+KNOWN = 60_000
+#: Different tokens that a task counts before it cuts them into trigrams.
+WORDS = 200_000
 
 #: Letters that signs stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l"}
@@ -49,26 +53,22 @@ SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
 class CharModel:
     """Interpolated character trigrams of words between blanks."""
 
-    def __init__(self, trigrams: Counter):
-        one, two, three = Counter(), Counter(), Counter()
-        for (a, b, c), n in trigrams.items():
-            one[c] += n
-            two[b, c] += n
-            three[a, b, c] += n
-        self.two, self.three, total = two, three, sum(one.values()) + 1
-        self.of_two, self.of_one = Counter(), Counter()
-        for (a, b, _), n in three.items():
-            self.of_two[a, b] += n
-        for (b, _), n in two.items():
-            self.of_one[b] += n
-        self.one = {c: n / total for c, n in one.items()}
-        self.known: dict = {}
+    def __init__(self, trigrams: dict[str, int]):
+        self.three, self.two, self.one, self.of_two, self.of_one = trigrams, Counter(), Counter(), Counter(), Counter()
+        for gram, n in trigrams.items():
+            self.two[gram[1:]] += n
+            self.of_two[gram[:2]] += n
+            self.of_one[gram[1]] += n
+            self.one[gram[2]] += n
+        self.total = sum(self.one.values()) + 1
+        self.known: dict[str, float] = {}
 
     def cost(self, a: str, b: str, c: str) -> float:
-        got = self.known.get((a, b, c))
+        gram = a + b + c
+        got = self.known.get(gram)
         if got is None:
-            p = 0.7 * self.three[a, b, c] / (self.of_two[a, b] or 1) + 0.24 * self.two[b, c] / (self.of_one[b] or 1) + 0.05 * self.one.get(c, 0) + 1e-5
-            got = self.known[a, b, c] = -log(p)
+            p = 0.7 * self.three.get(gram, 0) / (self.of_two[a + b] or 1) + 0.24 * self.two[b + c] / (self.of_one[b] or 1) + 0.05 * self.one[c] / self.total + 1e-5
+            got = self.known[gram] = -log(p)
         return got
 
 
@@ -187,12 +187,36 @@ def _divergence(p: float, q: float) -> float:
     return p * log(p / q) + ((1 - p) * log((1 - p) / (1 - q)) if p < 1 else 0)
 
 
+def _grams(batches):
+    """Trigrams of the words of letters in a task's texts; a word is cut once for all of its places in ``WORDS`` different ones."""
+    import pyarrow as pa
+
+    release()
+    words, grams = Counter(), Counter()
+
+    def cut() -> None:
+        for token, n in words.items():
+            if (w := token.strip(TRIM)).isalpha():
+                w = f"  {w} "
+                for i in range(len(w) - 2):
+                    grams[w[i : i + 3]] += n
+        words.clear()
+
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+        for text in batch.column(0).to_pylist():
+            words.update((text or "").lower().split())
+            if len(words) > WORDS:
+                cut()
+    cut()
+    found = list(grams.items())
+    for at in range(0, len(found), 10_000):
+        part = found[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["gram", "n"])
+
+
 def trigrams(docs: DataFrame, text_col: str = "text") -> tuple[tuple[str, int], ...]:
     """(trigram, count) over all words of letters of all documents, two blanks before and one after each; the alphabets bound it."""
-    tokens = docs.select(F.explode(F.split(F.lower(text_col), r"[\s\p{Z}]+")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    words = tokens.select(F.btrim("word", F.lit(TRIM)).alias("word"), "n").filter(F.col("word").rlike(r"^\p{L}+$"))
-    padded = F.concat(F.lit("  "), "word", F.lit(" "))
-    grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(3)))).alias("gram"), "n")
+    grams = docs.select(text_col).mapInArrow(_grams, "gram string, n long")
     return tuple(sorted(map(tuple, grams.groupBy("gram").agg(F.sum("n").alias("n")).collect())))
 
 
@@ -232,9 +256,18 @@ def fitted(rows: list[tuple[str, int]]) -> tuple[dict, tuple]:
     return weights, tuple(map(float, b))
 
 
-@lru_cache(maxsize=1)
-def _scorer(weights: tuple, grams: tuple, figures: tuple) -> Scorer:
-    return Scorer(dict(weights), CharModel(Counter(dict(grams))), figures)
+def _packed(learnt: tuple) -> tuple[str, bytes]:
+    """What fit() returns, as bytes for the tasks, and a name for it."""
+    data = zlib.compress(pickle.dumps(learnt))
+    return sha256(data).hexdigest(), data
+
+
+def _scorer(name: str, data: bytes) -> Scorer:
+    def made() -> Scorer:
+        weights, grams, figures = pickle.loads(zlib.decompress(data))
+        return Scorer(dict(weights), CharModel(dict(grams)), figures)
+
+    return held(("toxicity", name), made).fresh()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple:
@@ -246,17 +279,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
 
 def score(docs: DataFrame, learnt: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) for each text."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_rows(docs, [id_col, text_col], f"`{id_col}` {kind}, score double", lambda scorer, i, t: (i, scorer.score(t)), lambda: _scorer(*learnt).fresh())
+    kind, packed = docs.schema[id_col].dataType.simpleString(), _packed(learnt)
+    return map_rows(docs, [id_col, text_col], f"`{id_col}` {kind}, score double", lambda scorer, i, t: (i, scorer.score(t)), lambda: _scorer(*packed))
 
 
 def kept(docs: DataFrame, learnt: tuple, text_col: str = "text") -> DataFrame:
     """The rows whose text scores below one half."""
+    packed = _packed(learnt)
 
     def run(batches):
         import pyarrow as pa
 
-        scorer = _scorer(*learnt).fresh()
+        scorer = _scorer(*packed)
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in texts], pa.bool_()))

@@ -80,7 +80,7 @@ def test_links_against_all_pairs(spark):
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
     want = plain_groups({i: f & (1 << 64) - 1 for i, f in enumerate(signed)})
-    for bucket in (2, 48, 10_000):
+    for bucket in (1, 2, 64, 10_000):
         edges = simhash_dedup.links(df, pair_bucket=bucket)
         assert all(bin((e.a ^ e.b) & (1 << 64) - 1).count("1") <= 2 for e in edges.collect())
         got = {n.node: n.root for n in simhash_dedup.components(edges).collect()}
@@ -91,6 +91,39 @@ def test_links_against_all_pairs(spark):
         assert all(len(v) == 1 for v in same.values()) and len(same) == len(set(want.values()))
 
 
+@pytest.mark.parametrize(("bits", "bucket"), [(1, 4), (2, 4), (3, 4), (4, 8), (5, 8), (6, 16), (8, 64), (8, 10_000)])
+def test_links_of_other_radii(spark, bits, bucket):
+    """All pairs within the radius, large buckets and small."""
+    r = random.Random(bits)
+    fps = {r.getrandbits(64) for _ in range(100)}
+    for f in list(fps)[:25]:
+        for _ in range(6):
+            for _ in range(r.randrange(1, bits + 2)):
+                f ^= 1 << r.randrange(64)
+            fps.add(f)
+    signed = np.array([f - (1 << 64) if f >> 63 else f for f in fps], np.int64)
+    far = np.bitwise_count(signed.view(np.uint64)[:, None] ^ signed.view(np.uint64))
+    want = {(int(signed[i]), int(signed[j])) for i, j in zip(*np.nonzero(far <= bits), strict=True) if signed[i] > signed[j]}
+    got = simhash_dedup.links(spark.createDataFrame([(int(f),) for f in signed], "fp long"), bits, pair_bucket=bucket)
+    assert {(e.a, e.b) for e in got.collect()} == want
+
+
+def test_links_of_one_large_bucket(spark):
+    """10,000 fingerprints that agree in 34 bits: links are found through longer chains."""
+    r = random.Random(2)
+    fps = {r.getrandbits(30) for _ in range(9000)}
+    fps |= {f ^ 1 << r.randrange(30) ^ 1 << r.randrange(30) for f in list(fps)[:1000]}
+    every = sorted(fps)
+    want = set()
+    for x in every:
+        for m in (0, *(1 << i for i in range(64))):
+            for k in range(64):
+                if (y := x ^ m ^ 1 << k) < x and y in fps:
+                    want.add((x, y))
+    got = simhash_dedup.links(spark.createDataFrame([(f,) for f in every], "fp long"))
+    assert {(e.a, e.b) for e in got.collect()} == want
+
+
 def test_near_duplicate_rows(spark, odd):
     got = simhash_dedup.query(odd.select("doc_id", "text", "fp")).collect()
     assert len(got) == len(ODD_DOCS)

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from basketspark.llm import common, mixing, packing, secret_scan, simhash_dedup, toxicity
+from basketspark.llm import common, mixing, near_copies, packing, secret_scan, toxicity
 
 DATA = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,20 +40,21 @@ def test_toxic_documents_go(spark, stages):
 def test_one_of_each_group_stays(stages):
     _, before, after = stages[1]
     every = rows(before)
-    fps = {r[0]: simhash_dedup.simhash(r[1]) & (1 << 64) - 1 for r in every}
-    root = {i: i for i in fps}
+    sets = [set(near_copies.shingles(r[1]).tolist()) for r in every]
+    root = list(range(len(every)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in fps:
-        for j in fps:
-            if (fps[i] ^ fps[j]).bit_count() <= 2:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    assert sorted(rows(after)) == sorted(r for r in every if find(r[0]) == r[0])
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    left = rows(after)
+    assert len(left) == len({find(i) for i in range(len(every))}) and set(left) <= set(every)
+    assert {find(every.index(r)) for r in left} == {find(i) for i in range(len(every))}
 
 
 def test_secrets_are_replaced(stages):
