@@ -5,18 +5,18 @@ capacity to source quotas; the n-th repetition of a pattern's words costs (n-1)^
 ones run out. Each pattern and repetition then takes its flow from its documents in a seeded order: running sums over 4096 hash
 buckets find the bucket in which the flow ends, and only the documents of that bucket are ranked.
 
-The flow's size is that of the patterns, which must be at most ``MAX_PATTERNS`` (an error otherwise); no document reaches the
-driver.
+Targets are worked out in Spark over a table with a row for each source, and so is the flow of sources that share no document with
+others: it is their quota, fresh words first. Patterns of sources that do overlap, and no document, reach the driver for the flow
+(50,000 of them take about ten seconds there).
 
 Edge cases: a null text has size 0; null is a source of its own, last in order; a document of size 0 takes nothing; repeated rows
-are rows of their own; equal seeded keys are ordered by id and size; an empty table gives no rows. Column names of the input don't
+are rows of their own; a document without an id is seeded by its text; equal seeded keys are ordered by id and size; an empty table gives no rows. Column names of the input don't
 matter beyond the named ones.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections import defaultdict
+from collections import deque
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,114 +29,154 @@ SHARE = (3, 2)
 COPIES = 2
 SEED = 42
 BUCKET_DIGITS = 3
-MAX_PATTERNS = 20_000
+#: Tables of patterns are broadcast up to this checked number of rows.
+BROADCAST_PATTERNS = 100_000
 
 
 def n_words(text: str) -> F.Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def seeded(id_col: str, seed: int = SEED) -> F.Column:
-    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+def seeded(id_col: str, text_col: str, seed: int = SEED) -> F.Column:
+    """The key by which documents are ordered; those without an id by their text."""
+    own = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    return F.md5(F.concat(own, F.lit(f":{seed}")).cast("binary"))
 
 
-def targets(sizes: dict, weights: tuple = WEIGHTS, share: tuple = SHARE, most: int = COPIES) -> dict:
-    """Words for each source: share[0]/share[1] of all, by weights in code point order (null last); a target stops at ``most``
-    times its source's size and what it can't hold goes to the others by weight."""
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    out, left, total = {}, sorted(order, key=lambda s: most * sizes[s] / weight[s]), sum(sizes.values())
-    held = 0
-    while left:
-        level = (share[0] * total - share[1] * most * held) / (share[1] * sum(weight[s] for s in left))
-        s = left[0]
-        if level * weight[s] <= most * sizes[s]:
-            return out | {s: level * weight[s] for s in left}
-        out[s] = float(most * sizes[s])
-        held += sizes[left.pop(0)]
-    return out
+def few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_PATTERNS else df
 
 
-def min_cost_flow(capacity: dict, quota: dict, copies: int = COPIES) -> dict:
-    """{pattern: [words of the first copy, the second, ...]} for patterns {frozenset of sources: words} and quotas by source.
+def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: tuple = SHARE, most: int = COPIES) -> DataFrame:
+    """(source, n, target) of (source, n): share[0]/share[1] of all words, by weights in code point order (null last); a target
+    stops at ``most`` times its source's size and what it can't hold goes to the others by weight.
 
-    Successive shortest paths with potentials; as many words as can be are routed, at the least cost of repetition.
+    Sources are filled in the order in which they stop; the first that doesn't stop has the level of all that follow. The windows
+    sort the sources, a row each.
     """
-    graph, edges = defaultdict(list), []
+    by_name, every = Window.orderBy(F.col("source").asc_nulls_last()), Window.partitionBy(F.lit(0))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(by_name) - 1) % len(weights) + 1)
+    order = [most * F.col("n") / F.col("w"), F.col("source").asc_nulls_last()]
+    before, after = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+    ranked = sizes.withColumn("w", weight).withColumns({"total": F.sum("n").over(every), "held": F.coalesce(F.sum("n").over(before), F.lit(0)), "open": F.sum("w").over(after), "place": F.row_number().over(Window.orderBy(*order))})
+    level = (share[0] * F.col("total") - share[1] * most * F.col("held")).cast("double") / (share[1] * F.col("open")).cast("double")
+    levels = ranked.withColumn("level", level).withColumn("stop", F.min(F.when(F.col("level") * F.col("w") <= most * F.col("n"), F.struct("place", "level"))).over(every))
+    full = F.col("stop").isNull() | (F.col("place") < F.col("stop.place"))
+    return levels.select("source", "n", F.when(full, (most * F.col("n")).cast("double")).otherwise(F.col("stop.level") * F.col("w")).alias("target"))
+
 
-    def edge(a, b, room: int, cost: int) -> int:
-        for x, y, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
-            graph[x].append(len(edges))
-            edges.append([y, r, c])
-        return len(edges) - 2
+def min_cost_flow(capacity: dict, quota: dict, copies: int = COPIES) -> dict:
+    """{pattern: [words of the first copy, the second, ...]} for patterns {frozenset of sources: words} and quotas by source.
 
-    entry = {p: [edge("from", ("p", p), n, k * k) for k in range(copies)] for p, n in capacity.items()}
+    As many words as can be are routed, at the least cost of repetition. Only a pattern's own words cost, the more the more often
+    they are repeated, so the cheapest paths are those of the least copy that is left: a greatest flow of fresh words (by level
+    graphs), which one of second copies goes on with, and so on.
+    """
+    names = ["from", "to", *(("p", p) for p in capacity), *(("s", s) for s in quota)]
+    number = {x: i for i, x in enumerate(names)}
+    graph: list[list[int]] = [[] for _ in names]
+    ends, room = [], []
+
+    def edge(a: int, b: int, n: int) -> int:
+        for x, y, r in ((a, b, n), (b, a, 0)):
+            graph[x].append(len(ends))
+            ends.append(y)
+            room.append(r)
+        return len(ends) - 2
+
+    entry = {p: edge(0, number["p", p], 0) for p in capacity}
     for p in capacity:
         for s in p:
-            edge(("p", p), ("s", s), sum(quota.values()), 0)
+            edge(number["p", p], number["s", s], sum(quota.values()))
     for s, n in quota.items():
-        edge(("s", s), "to", n, 0)
-    height = defaultdict(int)
-    while True:
-        best, via, queue, n = {"from": 0}, {}, [(0, 0, "from")], 1
+        edge(number["s", s], 1, n)
+
+    def levels() -> list[int]:
+        found, queue = [-1] * len(names), deque([0])
+        found[0] = 0
         while queue:
-            d, _, x = heapq.heappop(queue)
-            if d > best[x]:
-                continue
+            x = queue.popleft()
             for k in graph[x]:
-                y, room, cost = edges[k]
-                if room and (e := d + cost + height[x] - height[y]) < best.get(y, 1 << 60):
-                    best[y], via[y] = e, k
-                    heapq.heappush(queue, (e, n, y))
-                    n += 1
-        if "to" not in best:
-            return {p: [edges[k + 1][1] for k in ks] for p, ks in entry.items()}
-        for x, d in best.items():
-            height[x] += d
-        path, y = [], "to"
-        while y != "from":
-            path.append(via[y])
-            y = edges[via[y] ^ 1][0]
-        room = min(edges[k][1] for k in path)
-        for k in path:
-            edges[k][1] -= room
-            edges[k ^ 1][1] += room
-
-
-def plan(sized: DataFrame, source: str = "source", size: str = "size", member_of: bool = False, **rules) -> tuple[dict, dict, dict]:
-    """(size by source, target by source, flow by pattern). member_of: ``source`` is an array of sources."""
-    rows = sized.groupBy(source).agg(F.sum(size).alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    capacity: dict = defaultdict(int)
-    for s, n in rows:
-        capacity[frozenset(s or [None]) if member_of else frozenset([s])] += n
-    sizes: dict = defaultdict(int)
-    for p, n in capacity.items():
-        for s in p:
-            sizes[s] += n
-    goals = targets(dict(sizes), **rules)
-    return dict(sizes), goals, min_cost_flow(dict(capacity), {s: int(t + 0.5) for s, t in goals.items()}, rules.get("most", COPIES))
-
-
-def edges_of(sized: DataFrame, flow: dict, source: str, size: str, key: str, member_of: bool = False) -> DataFrame:
+                if room[k] and found[ends[k]] < 0:
+                    found[ends[k]] = found[x] + 1
+                    queue.append(ends[k])
+        return found
+
+    for _ in range(copies):
+        for p, n in capacity.items():
+            room[entry[p]] += n
+        while (level := levels())[1] >= 0:
+            at, path = [0] * len(names), []
+            while True:
+                x = ends[path[-1]] if path else 0
+                if x == 1:
+                    n = min(room[k] for k in path)
+                    for k in path:
+                        room[k] -= n
+                        room[k ^ 1] += n
+                    del path[next(i for i, k in enumerate(path) if not room[k]) :]
+                    continue
+                while at[x] < len(graph[x]) and not (room[graph[x][at[x]]] and level[ends[graph[x][at[x]]]] == level[x] + 1):
+                    at[x] += 1
+                if at[x] < len(graph[x]):
+                    path.append(graph[x][at[x]])
+                elif path:
+                    path.pop()
+                    at[ends[path[-1]] if path else 0] += 1
+                else:
+                    break
+    taken = {p: room[k + 1] for p, k in entry.items()}
+    return {p: [min(n, max(0, taken[p] - k * n)) for k in range(copies)] for p, n in capacity.items()}
+
+
+def _pattern(source: str, kind: str, member_of: bool) -> F.Column:
+    """The sources of a document, sorted; a document of none is one of the null source."""
+    if not member_of:
+        return F.col(source)
+    some = F.when(F.size(source) > 0, F.col(source)).otherwise(F.array(F.lit(None).cast(kind[6:-1])))
+    return F.array_sort(F.array_distinct(some))
+
+
+def _quotas(goals: DataFrame, most: int) -> F.Column:
+    """Words of each copy of a source that overlaps with no other."""
+    goal = F.floor(F.col("target") + 0.5).cast("long")
+    return F.array(*(F.greatest(F.lit(0), F.least("n", goal - k * F.col("n"))).cast("long") for k in range(most)))
+
+
+def plan(sized: DataFrame, source: str = "source", size: str = "size", member_of: bool = False, **rules) -> tuple[DataFrame, DataFrame]:
+    """(source, n, target) and (pattern, level, flow): the words of each copy. member_of: ``source`` is an array of sources."""
+    spark, most, kind = sized.sparkSession, rules.get("most", COPIES), sized.schema[source].dataType.simpleString()
+    patterns = checkpointed(sized.groupBy(_pattern(source, kind, member_of).alias("pattern")).agg(F.sum(size).alias("n")))
+    sizes = patterns.select(F.explode("pattern").alias("source"), "n").groupBy("source").agg(F.sum("n").alias("n")) if member_of else patterns.withColumnRenamed("pattern", "source")
+    goals = checkpointed(targets(sizes, **rules))
+    if not member_of:
+        return goals, goals.select(F.col("source").alias("pattern"), F.posexplode(_quotas(goals, most)).alias("level", "flow"))
+    tangled = checkpointed(patterns.filter(F.size("pattern") > 1).select(F.explode("pattern").alias("t")).distinct())
+    alone = goals.join(few(tangled), F.expr("source <=> t"), "left_anti")
+    others = patterns.select("pattern", "n", F.explode("pattern").alias("source")).join(few(tangled), F.expr("source <=> t"), "left_semi").select("pattern", "n").distinct()
+    capacity = {frozenset(p): n for p, n in others.collect()}
+    quota = {s: int(t + 0.5) for s, t in goals.join(few(tangled), F.expr("source <=> t"), "left_semi").select("source", "target").collect()}
+    flow = min_cost_flow(capacity, quota, most)
+    rows = [(sorted(p, key=lambda s: (s is None, s or "")), k, n) for p, ns in flow.items() for k, n in enumerate(ns)]
+    single = alone.select(F.array("source").alias("pattern"), F.posexplode(_quotas(goals, most)).alias("level", "flow"))
+    return goals, single.unionByName(spark.createDataFrame(rows, f"pattern {kind}, level int, flow long"))
+
+
+def edges_of(sized: DataFrame, levels: DataFrame, source: str, size: str, key: str, member_of: bool = False) -> DataFrame:
     """(pattern, levels): for each copy the words it takes and the bucket in which they end, with the words before that bucket."""
-    spark, kind = sized.sparkSession, sized.schema[source].dataType.simpleString()
-    levels = spark.createDataFrame([((sorted(p, key=lambda s: (s is None, s or "")) if member_of else next(iter(p))), k, n) for p, ns in flow.items() for k, n in enumerate(ns)], f"pattern {kind}, level int, flow long")
-    pattern = F.array_sort(F.array_distinct(F.coalesce(source, F.array(F.lit(None).cast(kind[6:-1]))))) if member_of else F.col(source)
+    pattern = _pattern(source, sized.schema[source].dataType.simpleString(), member_of)
     sums = sized.groupBy(pattern.alias("pattern"), F.substring(key, 1, BUCKET_DIGITS).alias("bucket")).agg(F.sum(size).alias("n"))
     before = F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.withColumn("before", F.coalesce(before, F.lit(0))).alias("s")
-    at = sums.join(F.broadcast(levels.alias("l")), F.expr("s.pattern <=> l.pattern AND s.before < l.flow AND l.flow <= s.before + s.n"))
+    at = sums.join(levels.alias("l"), F.expr("s.pattern <=> l.pattern AND s.before < l.flow AND l.flow <= s.before + s.n"))
     return at.groupBy("l.pattern").agg(F.sort_array(F.collect_list(F.struct("l.level", "l.flow", "s.bucket", "s.before"))).alias("levels"))
 
 
 def with_copies(docs: DataFrame, edges: DataFrame, source: str, key: str, size: F.Column, order: list[str], out: list[str], member_of: bool = False) -> DataFrame:
-    """``out`` columns and ``copies`` of each document. edges has a row for each pattern at most, so it is broadcast."""
-    kind = docs.schema[source].dataType.simpleString()
-    pattern = F.array_sort(F.array_distinct(F.coalesce(source, F.array(F.lit(None).cast(kind[6:-1]))))) if member_of else F.col(source)
+    """``out`` columns and ``copies`` of each document. edges has a row for each pattern at most; it is broadcast if they are few."""
+    pattern = _pattern(source, docs.schema[source].dataType.simpleString(), member_of)
     marked = docs.withColumns({"_pattern": pattern, "_bucket": F.substring(key, 1, BUCKET_DIGITS)})
-    marked = marked.join(F.broadcast(edges.withColumnsRenamed({"pattern": "_of", "levels": "_levels"})), F.expr("_pattern <=> _of"), "left")
+    marked = marked.join(few(edges.withColumnsRenamed({"pattern": "_of", "levels": "_levels"})), F.expr("_pattern <=> _of"), "left")
     is_edge = F.coalesce(F.exists("_levels", lambda x: x.bucket == F.col("_bucket")), F.lit(False))
     whole = F.coalesce(F.aggregate("_levels", F.lit(0), lambda n, x: n + (F.col("_bucket") < x.bucket).cast("int")), F.lit(0))
     inside = marked.filter(is_edge).withColumn("_size", size)
@@ -147,27 +187,26 @@ def with_copies(docs: DataFrame, edges: DataFrame, source: str, key: str, size:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
-    full = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source).alias("_source"), seeded(id_col, seed).alias("_key"))
+    full = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source).alias("_source"), seeded(id_col, text_col, seed).alias("_key"))
     slim = checkpointed(full.select("_source", n_words("_text").alias("_size"), "_key"))
-    _, _, flow = plan(slim, "_source", "_size")
-    edges = checkpointed(edges_of(slim, flow, "_source", "_size", "_key"))
+    edges = checkpointed(edges_of(slim, plan(slim, "_source", "_size")[1], "_source", "_size", "_key"))
     taken = with_copies(full, edges, "_source", "_key", n_words("_text"), ["_id"], ["_row"])
     return taken.filter("copies > 0").select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).select("_row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    sized = checkpointed(docs.select("doc_id", "source", n_words("text").alias("size"), seeded("doc_id").alias("key")))
-    sizes, goals, flow = plan(sized)
-    edges = checkpointed(edges_of(sized, flow, "source", "size", "key"))
-    goals = docs.sparkSession.createDataFrame([(s, n, goals[s]) for s, n in sizes.items()], "of string, source_size long, target double")
+    sized = checkpointed(docs.select("doc_id", "source", n_words("text").alias("size"), seeded("doc_id", "text").alias("key")))
+    goals, levels = plan(sized)
+    edges = checkpointed(edges_of(sized, levels, "source", "size", "key"))
     taken = with_copies(sized, edges, "source", "key", F.col("size"), ["doc_id"], ["doc_id", "source", "size"])
-    return taken.join(F.broadcast(goals), F.expr("source <=> of")).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    goals = goals.select(F.col("source").alias("of"), F.col("n").alias("source_size"), "target")
+    return taken.join(few(goals), F.expr("source <=> of")).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 ORACLE_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, '') || ':42') AS key
+         md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':42') AS key
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS n,

@@ -1,8 +1,10 @@
 """SimHash groups, source mixing and packing: brute force, edge cases."""
 
 import random
+import time
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -147,11 +149,40 @@ def test_empty_tables(spark):
     assert simhash_dedup.deduplicate(none).count() == mixing.mix(none).count() == 0
 
 
-def test_targets():
-    assert mixing.targets({"a": 100, "b": 100, "c": 100}) == {"a": 200.0, "b": 83.33333333333333, "c": 166.66666666666666}
-    t = mixing.targets({"a": 10, "b": 1000, "c": 0, None: 5})
-    assert t["a"] == 20.0 and t["c"] == 0.0 and t[None] == 10.0 and sum(t.values()) == pytest.approx(1.5 * 1015)
-    assert mixing.targets({}) == {}
+def plain_targets(sizes):
+    """Water-filling, by hand: (source, words) to target."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    full, total = set(), Fraction(3 * sum(sizes.values()), 2)
+    while True:
+        left = total - sum(2 * sizes[s] for s in full)
+        of = {s: left * weight[s] / sum(weight[x] for x in order if x not in full) for s in order if s not in full}
+        over = {s for s, t in of.items() if t > 2 * sizes[s]}
+        if not over:
+            return {s: float(2 * sizes[s] if s in full else of[s]) for s in order}
+        full |= over
+
+
+def test_targets(spark):
+    r = random.Random(3)
+    many = [{"a": 100, "b": 100, "c": 100}, {"a": 10, "b": 1000, "c": 0, None: 5}, {}, {None: 7}, {"a": 0, "b": 0}, {f"s{i}": r.choice((0, 1, 5, 50, 3000)) for i in range(40)}]
+    for sizes in many:
+        got = {x.source: x.target for x in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, n long")).collect()}
+        assert got == pytest.approx(plain_targets(sizes)) and set(got) == set(sizes)
+    assert got["s0"] is not None and mixing.targets(spark.createDataFrame([("a", 100), ("b", 100), ("c", 100)], "source string, n long")).collect()[0].target == 200.0
+
+
+def test_many_sources(spark):
+    """50,000 sources, and as many overlapping patterns for the flow alone."""
+    df = spark.range(100_000).selectExpr("id AS doc_id", "repeat('w ', cast(id % 13 AS int)) AS text", "concat('s', id % 50000) AS source", "'en' AS lang", "0L AS n_chars")
+    began = time.time()
+    got = mixing.query(df).agg({"taken": "sum", "size": "sum"}).first()
+    assert time.time() - began < 240 and 1.3 < got["sum(taken)"] / got["sum(size)"] < 1.6
+    r, began = random.Random(6), time.process_time()
+    capacity = {frozenset(r.sample(range(300), r.randint(2, 4))): r.randint(1, 900) for _ in range(50_000)}
+    flow = mixing.min_cost_flow(capacity, {s: sum(capacity.values()) // 200 for s in range(300)})
+    assert time.process_time() - began < 120 and sum(map(sum, flow.values())) == 300 * (sum(capacity.values()) // 200)
+    assert all(0 <= b and a <= capacity[p] >= b for p, (a, b) in flow.items())
 
 
 def test_flow_of_overlapping_sources():
@@ -191,6 +222,12 @@ def test_mix(spark, odd):
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == {r.doc_id: r["count"] for r in again}
 
 
+def test_documents_without_ids_spread(spark):
+    df = docs(spark, [(None, f"text number {i}", None, "s", 0) for i in range(300)])
+    keys = {r.key for r in df.select(mixing.seeded("doc_id", "text").alias("key")).collect()}
+    assert len(keys) == 300 and sum(r.taken for r in mixing.query(df).collect()) == pytest.approx(1350, abs=3)
+
+
 def test_mix_comes_near_its_targets(spark):
     r = random.Random(2)
     rows = [(i, "w " * r.randint(1, 60), "en", r.choice("aaaaaabbc"), 0) for i in range(3000)]
@@ -204,10 +241,15 @@ def test_mix_comes_near_its_targets(spark):
 def test_mix_of_overlapping_sources(spark):
     rows = [(i, f"{'w ' * (i % 7 + 1)}", [["a"], ["b", "a"], ["b"], None][i % 4]) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
-    sized = df.select("doc_id", "sources", mixing.n_words("text").alias("size"), mixing.seeded("doc_id").alias("key"))
-    sizes, goals, flow = mixing.plan(sized, "sources", "size", member_of=True)
-    assert set(sizes) == {"a", "b", None} and sum(map(sum, flow.values())) > 0
-    edges = mixing.edges_of(sized, flow, "sources", "size", "key", member_of=True)
+    sized = df.select("doc_id", "sources", mixing.n_words("text").alias("size"), mixing.seeded("doc_id", "text").alias("key"))
+    goals, levels = mixing.plan(sized, "sources", "size", member_of=True)
+    flow = defaultdict(dict)
+    for x in levels.collect():
+        flow[frozenset(x.pattern)][x.level] = x.flow
+    flow = {p: list(x.values()) for p, x in flow.items()}
+    assert {g.source for g in goals.collect()} == {"a", "b", None} and sum(map(sum, flow.values())) > 0
+    assert set(flow) == {frozenset("a"), frozenset("ab"), frozenset("b"), frozenset([None])}
+    edges = mixing.edges_of(sized, levels, "sources", "size", "key", member_of=True)
     taken = mixing.with_copies(sized, edges, "sources", "key", sized["size"], ["doc_id"], ["doc_id", "sources", "size"], member_of=True).collect()
     assert len(taken) == 400
     by = defaultdict(int)
