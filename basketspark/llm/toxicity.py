@@ -6,8 +6,8 @@ two of it, a separator for nothing or a word's end. Viterbi decoding under a cha
 Tokens without noise have a lattice of one path and are taken as they are.
 
 Words, restored ones too, and their beginnings carry weights: those that labelled toxic texts have far more often than chance
-allows. The score is a logistic function of a text's largest weight, the sum of its weights and their share, fitted on the same
-bounded sample (``TRAIN_ROWS`` labelled texts of up to ``TRAIN_CHARS`` characters).
+allows. The score is a logistic function of a text's largest weight, the sum of its weights (``MOST`` at most, so that long texts
+don't run away) and their share, fitted on the same bounded sample (``TRAIN_ROWS`` labelled texts of up to ``TRAIN_CHARS`` characters).
 
 Edge cases: a null or empty text has no words and gets the score of such; without labels of both kinds every text scores 0;
 repeated rows and null ids are carried; an empty table gives no rows. Only the named columns are read.
@@ -26,28 +26,29 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROWS, fold, held, labelled_sample, map_rows, release
+from .common import ROWS, fold, held, labelled_sample, map_rows, release, trim
 
 TRAIN_ROWS, TRAIN_CHARS = 6000, 20_000
 FOLDS, HELD_OUT = 5, 0
 BEGINNINGS = (4, 5, 6, 7, 8)
 CHANCE = 1e-5
 KNOWN = 60_000
+MOST = 50.0
 #: Different tokens that a task counts before it cuts them into trigrams.
-WORDS = 200_000
+WORDS = 100_000
 
 #: Letters that signs stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l"}
-#: Costs (log) of a sign for a letter, of each letter dropped from a run, of a separator dropped.
-SIGN, DROP, JOIN = 1.0, 0.2, 0.2
+#: Costs (log) of a sign for a letter, of each letter dropped from a run, of a separator dropped, and of one that ends a word.
+SIGN, DROP, JOIN, SPLIT = 1.0, 0.2, 0.2, 4.0
 TRIM = ".,;:!?\"'`()[]{}<>|*#%&$~_-+=/\\…«»“”‘’¡¿"
 NOISY_SIGN = re.compile(r"(?:^|[^\W\d_])[0-9@$!|+€£]+[^\W\d_]|[^\W\d_][0-9@$!|+€£]+$")
 NOISY_RUN = re.compile(r"([^\W\d_])\1\1")
 NOISY_GAPS = re.compile(r"(?:\w[._*\-]){2,}\w")
 #: What is trimmed before a token whose first sign may stand for a letter.
 BEFORE = TRIM.translate({ord(c): None for c in LOOKS})
-#: Runs of at least three single signs between blanks.
-SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: [\w@$!|+]){2,}(?!\S)")
+#: Runs of at least three single signs, one to four blanks between.
+SPACED = re.compile(r"(?<!\S)[\w@$!|+](?:[ \t\u00a0]{1,4}[\w@$!|+]){2,}(?![^\s.,;:!?\"')])")
 
 
 class CharModel:
@@ -85,7 +86,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         elif c in LOOKS:
             out.append([(x * k, SIGN + DROP * (run - k)) for x in LOOKS[c] for k in sorted({1, min(run, 2)})])
         else:
-            out.append([("", JOIN), (" ", 0.0)])
+            out.append([("", JOIN), (" ", SPLIT)])
         at += run
     return out
 
@@ -170,7 +171,7 @@ class Scorer:
             for run in set(SPACED.findall(low)):
                 words = [w for w in decode(run, self.model).split() if len(w) > 1]
                 got += [w for w in (max((self.weights.get(f, 0.0) for f in features(x)), default=0.0) for x in words) if w]
-        return max(got, default=0.0), min(sum(sorted(got)), 50.0) / 5, 10 * len(got) / max(10, len(tokens))
+        return max(got, default=0.0), min(sum(sorted(got)), MOST) / 5, 10 * len(got) / max(10, len(tokens))
 
     def score(self, text: str | None) -> float:
         b, *w = self.fitted
@@ -212,6 +213,8 @@ def _grams(batches):
     for at in range(0, len(found), 10_000):
         part = found[at : at + 10_000]
         yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["gram", "n"])
+    del words, grams, found
+    trim()
 
 
 def trigrams(docs: DataFrame, text_col: str = "text") -> tuple[tuple[str, int], ...]:
@@ -222,12 +225,12 @@ def trigrams(docs: DataFrame, text_col: str = "text") -> tuple[tuple[str, int],
 
 def fitted(rows: list[tuple[str, int]]) -> tuple[dict, tuple]:
     """(weights of words and beginnings, the logistic's figures) from (text, label)."""
-    texts = [(set(t.lower().split()), int(y)) for t, y in rows]
-    if len({y for _, y in texts}) < 2:
+    if len({int(y) for _, y in rows}) < 2:
         return {}, (-30.0, 0.0, 0.0, 0.0)
-    bare = [({x for x in (t.strip(TRIM) for t in tokens) if x}, y) for tokens, y in texts]
-    n = [sum(y == k for _, y in texts) for k in (0, 1)]
-    share = n[1] / len(texts)
+    own: dict[str, str] = {}  # one copy of each word
+    bare = [(tuple({own.setdefault(x, x) for x in (t.strip(TRIM) for t in text.lower().split()) if x}), int(y)) for text, y in rows]
+    n = [sum(y == k for _, y in bare) for k in (0, 1)]
+    share = n[1] / len(bare)
     weights: dict[str, float] = {}
     for of in (lambda w: [w], beginnings):  # a beginning must tell without the words that tell by themselves
         toxic, clean = Counter(), Counter()
@@ -246,7 +249,7 @@ def fitted(rows: list[tuple[str, int]]) -> tuple[dict, tuple]:
         weights |= chosen
     plain = Scorer(weights, None, (0.0, 0.0, 0.0, 0.0))
     x = np.array([(1.0, *plain.figures(t)) for t, _ in rows])
-    y = np.array([y for _, y in texts], float)
+    y = np.array([y for _, y in rows], float)
     balance = np.where(y == 1, 0.5 / max(1, n[1]), 0.5 / max(1, n[0])) * len(y)
     b, keep = np.zeros(4), np.diag([1e-3, 0.1, 0.1, 0.1])
     for _ in range(50):  # Newton's steps of a ridge logistic regression
@@ -294,6 +297,7 @@ def kept(docs: DataFrame, learnt: tuple, text_col: str = "text") -> DataFrame:
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in texts], pa.bool_()))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 
