@@ -1,7 +1,8 @@
 """Best-two-fit packing of tokenized documents into sequences.
 
-Documents are tokenized where they are read; only (id, piece, length, crc) travels. Pieces are dealt by a seeded hash into
-groups of about ``GROUP`` pieces, so no task sees more than a group whatever the corpus holds, and each group is packed alone:
+Documents are tokenized where they are read; only (id, piece, length, crc) travels. Pieces are dealt by a hash of their place in the
+table into groups of about ``GROUP`` pieces, so no task sees more than a group whatever the corpus holds (repeated rows spread too),
+and each group is packed alone:
 a bin is filled greedily with the largest piece that still fits, then its smallest piece is replaced by the two unpacked pieces
 that fit the widened gap most tightly. A group loses at most its last bins against a global packing.
 
@@ -30,7 +31,7 @@ END = 1
 GROUP = 20_000
 #: Words and word parts whose ids a Python worker remembers, the longest word it does so for, and the share of them that stays
 #: when there is no room: the earliest learnt, which are the most frequent.
-KNOWN, KNOWN_CHARS, STAYING = 500_000, 40, 0.4
+KNOWN, KNOWN_CHARS, STAYING = 300_000, 40, 0.4
 #: Chunks whose normal form and parts Python finds as the tokenizer does: printable ASCII and Latin-1 letters.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 #: Fixed: the tokenizer's own split of lower-case text.
@@ -193,7 +194,7 @@ def pack(lengths: list[int], size: int = LENGTH) -> list[list[int]]:
             n = fits.bit_length() - 1
             held.append((n, take(n)))
             gap -= n
-        if gap and len(held) > 1:
+        if gap:
             least = held[-1][0]  # pieces were taken from the largest down
             for total in range(gap + least, least, -1):
                 pairs = have & (mirror >> (size - total)) & ((2 << total // 2) - 1)  # a is free, and so is total - a
@@ -211,7 +212,7 @@ def pack(lengths: list[int], size: int = LENGTH) -> list[list[int]]:
 
 
 def packed(found: DataFrame, id_col: str = "doc_id", length: int = LENGTH, group: int = GROUP) -> DataFrame:
-    """pieces() with the sequence and the place in it of each."""
+    """pieces() with the sequence and the place in it of each. ``found`` must be a table or a checkpoint: rows are dealt by place."""
     out = found.schema.add("sequence_id", "long").add("offset", "long")
 
     def run(table: pa.Table) -> pa.Table:
@@ -226,7 +227,7 @@ def packed(found: DataFrame, id_col: str = "doc_id", length: int = LENGTH, group
         return table.drop_columns("part").append_column("sequence_id", pa.array(sequence, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
     parts = max(1, -(-found.count() // group))
-    dealt = found.withColumn("part", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(parts)))
+    dealt = found.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)))
     return dealt.groupBy("part").applyInArrow(run, out)
 
 

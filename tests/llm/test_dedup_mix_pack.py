@@ -8,6 +8,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from basketspark.llm import mixing, packing, simhash_dedup
@@ -277,6 +278,44 @@ def test_pack_is_whole_and_tight():
     assert {tuple(sorted([6, 4, 3, 2][i] for i in b)) for b in packing.pack([6, 4, 3, 2], 11)} == {(2, 3, 6), (4,)}
 
 
+def plain_best_two_fit(lengths, size):
+    """Bins of lengths: greedy filling, then the best pair for the smallest piece, found by trying all."""
+    free, bins = sorted(lengths), []
+    while free:
+        held = []
+        while fits := [n for n in free if n <= size - sum(held)]:
+            held.append(fits[-1])
+            free.remove(fits[-1])
+        least, gap = min(held), size - sum(held)
+        pairs = [(free[i] + free[j], free[i], free[j]) for i in range(len(free)) for j in range(i + 1, len(free)) if least < free[i] + free[j] <= least + gap]
+        if gap and pairs:
+            total, a, b = max(pairs)
+            held.remove(least)
+            held += [a, b]
+            free.remove(a)
+            free.remove(b)
+            free = sorted([*free, least])
+        bins.append(sorted(held))
+    return bins
+
+
+def test_pack_against_trying_all_pairs():
+    r = random.Random(9)
+    for _ in range(300):
+        size = r.choice((9, 20, 60))
+        lengths = [r.randint(1, size) for _ in range(r.randint(0, 25))]
+        got = [sorted(lengths[i] for i in b) for b in packing.pack(list(lengths), size)]
+        assert got == plain_best_two_fit(lengths, size)
+    assert sorted(sorted([6, 4, 4][i] for i in b) for b in packing.pack([6, 4, 4], 9)) == [[4, 4], [6]]
+
+
+def test_repeated_rows_spread_over_groups(spark):
+    df = docs(spark, [(1, "same words here", None, None, 0)] * 900).repartition(3)
+    found = packing.checkpointed(packing.pieces(df))
+    got = packing.packed(found, group=100).groupBy(F.shiftright("sequence_id", 32).alias("g")).count().collect()
+    assert len(got) == 9 and max(g["count"] for g in got) < 150
+
+
 def test_pieces_and_places(spark, odd):
     got = packing.query(odd.select("doc_id", "text", "piece")).collect()
     by = defaultdict(list)
