@@ -5,8 +5,14 @@ match that starts where the last one ended. The phrases needed, times the logari
 the characters, estimate the cross entropy; the language with the least wins. The score is one minus its share of the
 runner-up's.
 
-The labelled text is a bounded sample: about ``TRAIN_DOCS`` documents and at most ``TRAIN_CHARS`` characters a language (fewer
-beyond ``ALL_CHARS`` together). Whole texts are parsed, all languages at once, in pieces of ``PIECE`` characters side by side.
+The labelled text is a bounded sample: about ``TRAIN_DOCS`` documents of a language, at most ``DOC_CHARS`` characters of each and
+``TRAIN_CHARS`` of all (``ALL_CHARS`` of all languages, which bounds the automata to some 250 MB), of the ``MOST_LANGS`` languages
+that most documents have (dirty values have few). Every letter is a symbol of
+its own: those that most often occur have a column in a table of states, others are looked up by state.
+
+Whole texts are parsed, in pieces of ``PIECE`` characters side by side, each as if a phrase began with it. Then each piece is gone
+through again from the state in which the one before it ended, until a phrase begins at the same place in both parses; from there
+on they are the same, so the phrases are those of the whole text.
 
 Edge cases: ``und`` with score 0 if a text is null or has no letter, or nothing could be learnt; equal figures go to the first
 language by name; a document without id or language is not learnt from; repeated rows and null ids are carried; an empty table
@@ -15,21 +21,21 @@ gives no rows.
 
 from __future__ import annotations
 
-from functools import cache, lru_cache
+from functools import cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import checkpointed, fold, held
 
-TRAIN_DOCS, TRAIN_CHARS, ALL_CHARS = 80, 30_000, 240_000
-DOC_CHARS = 20_000
+TRAIN_DOCS, TRAIN_CHARS, ALL_CHARS, DOC_CHARS, MOST_LANGS = 80, 30_000, 600_000, 20_000, 200
 FOLDS, HELD_OUT = 4, 2
 PIECE, SIDE_BY_SIDE = 1024, 4096
-#: Large alphabets: the most frequent letters have symbols of their own, the others share some by code point.
-OWN, SHARED = 128, 64
+#: Letters that have a column of their own in the table of states.
+COLUMNS = 64
 
 
 def symbols(text: str) -> np.ndarray:
@@ -76,59 +82,125 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """Parses texts against all languages' automata at once.
+    """Parses texts against all languages' automata.
 
-    One table holds for each state and symbol where the parse goes on; entries that start a new phrase are negative. States are
-    kept times the alphabet's size, from the second row on, so that signs tell.
+    A table holds for each state and frequent letter where the parse goes on; sorted keys of state and letter do so for the others.
+    Entries that start a new phrase are negative. States are kept times the table's width, from the second row on, so that signs
+    tell.
     """
 
     def __init__(self, learnt: dict[str, str]):
         self.names = sorted(learnt)
         texts = [symbols(learnt[n]) for n in self.names]
         alphabet, often = np.unique(np.concatenate(texts), return_counts=True)
-        self.of = np.zeros(0x110000, np.uint8)  # 0: no language has it
-        own = alphabet if len(alphabet) <= OWN + SHARED else alphabet[np.argsort(-often, kind="stable")[:OWN]]
-        self.of[alphabet] = 1 + OWN + alphabet % SHARED
-        self.of[own] = np.arange(1, len(own) + 1)
-        self.width = int(self.of.max()) + 1
-        tables, self.roots, first = [np.zeros((1, self.width), np.int32)], [], 1
+        alphabet = alphabet[np.argsort(-often, kind="stable")]
+        self.of = np.zeros(0x110000, np.uint16 if len(alphabet) < 65_000 else np.uint32)  # 0: no language has it
+        self.of[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.size = len(alphabet) + 1
+        self.width = min(self.size, COLUMNS + 1)
+        tables, rare, self.roots, first = [np.zeros((1, self.width), np.int32)], [], [], 1
         for text in texts:
             moves = suffix_automaton(self.of[text].tolist())
             root = np.full(self.width, -first * self.width, np.int64)
             for c, s in moves[0].items():
-                root[c] = -(first + s) * self.width
+                if c < self.width:
+                    root[c] = -(first + s) * self.width
             table = np.tile(root, (len(moves), 1))
             for i, m in enumerate(moves):
-                if i:
-                    table[i, list(m)] = [(first + s) * self.width for s in m.values()]
+                for c, s in m.items():
+                    if c >= self.width:
+                        rare.append(((first + i) * self.size + c, (first + s) * self.width))
+                    elif i:
+                        table[i, c] = (first + s) * self.width
             tables.append(table.astype(np.int32))
             self.roots.append(first * self.width)
             first += len(moves)
+        rare = np.array(sorted(rare), np.int64).reshape(-1, 2)
+        self.keys, self.goes = np.append(rare[:, 0], np.iinfo(np.int64).max), np.append(rare[:, 1], 0).astype(np.int32)
         self.table = np.concatenate(tables).ravel()
         self.weight = np.array([np.log2(max(2, len(t))) for t in texts])
 
+    def _find(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Where rare letters go from states; 0 for nowhere."""
+        keys = states.astype(np.int64) // self.width * self.size + letters
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.goes[at], 0)
+
+    def _go(self, states: np.ndarray, letters: np.ndarray, any_rare: bool, root: int) -> np.ndarray:
+        if not any_rare:
+            return self.table[states + letters]
+        rare = np.flatnonzero(letters >= self.width)
+        go = self.table[states + np.where(letters < self.width, letters, 0)]
+        there = self._find(states[rare], letters[rare])
+        anew = self._find(np.full(len(rare), root, np.int64), letters[rare])
+        go[rare] = np.where((there > 0) & (states[rare] != root), there, -np.where(anew > 0, anew, root))
+        return go
+
+    def _parsed(self, side: np.ndarray, active: np.ndarray, owner: np.ndarray, follows: np.ndarray, root: int, n: int) -> np.ndarray:
+        """Phrases of each text. side: letters of pieces in columns, ``active`` of them at each place; ``follows``: the column of
+        the piece before a piece, or -1."""
+        longest, pieces = side.shape
+        rare = side.max(1) >= self.width
+        begins, state, ends = np.zeros(side.shape, bool), np.full(pieces, root, np.int32), np.zeros(pieces, np.int32)
+        for t in range(longest):
+            k = active[t]
+            go = self._go(state[:k], side[t, :k], rare[t], root)
+            begins[t, :k] = go < 0
+            np.abs(go, out=state[:k])
+        phrases, ends = begins.sum(0), state
+        begun = np.where(follows >= 0, ends[follows], -1).astype(np.int32)  # the state in which each piece has to begin
+        todo = np.flatnonzero(begun >= 0)
+        while len(todo):
+            at, state, change, t = todo, begun[todo], np.zeros(pieces, np.int64), 0
+            again = []
+            while len(at):
+                stay = active[t] > at if t < longest else np.zeros(len(at), bool)
+                if not stay.all():  # to a piece's end without a common phrase: the next piece has to begin in another state
+                    over, last = at[~stay], state[~stay]
+                    ends[over] = last
+                    again.append(over)
+                    at, state = at[stay], state[stay]
+                    if not len(at):
+                        break
+                go = self._go(state, side[t, at], rare[t], root)
+                new, old = go < 0, begins[t, at]
+                change[at] += new.astype(np.int64) - old
+                begins[t, at] = new
+                state = np.abs(go)
+                differ = ~(new & old)
+                at, state, t = at[differ], state[differ], t + 1
+            phrases = phrases + change
+            again = np.concatenate(again) if again else np.zeros(0, np.int64)
+            todo = np.flatnonzero(np.isin(follows, again)) if len(again) else again
+            todo = todo[ends[follows[todo]] != begun[todo]] if len(todo) else todo
+            begun[todo] = ends[follows[todo]]
+        count = np.zeros(n, np.int64)
+        np.add.at(count, owner, phrases)
+        return count
+
     def figures(self, texts: list[str]) -> np.ndarray:
         """Phrases by text and language, times the language's weight, for each symbol."""
-        every = [symbols(t) for t in texts]
-        owner = np.repeat(np.arange(len(texts)), [-(-len(s) // PIECE) for s in every])
-        pieces = [self.of[s[a : a + PIECE]] for s in every for a in range(0, len(s), PIECE)]
+        every = [self.of[symbols(t)] for t in texts]
         count = np.zeros((len(texts), len(self.names)), np.int64)
-        order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
-        for at in range(0, len(order), SIDE_BY_SIDE):
-            part = order[at : at + SIDE_BY_SIDE]
-            longest = len(pieces[part[0]])
-            side = np.zeros((longest, len(part)), self.of.dtype)
-            for k, i in enumerate(part):
-                side[: len(pieces[i]), k] = pieces[i]
-            active = np.searchsorted([-len(pieces[i]) for i in part], -np.arange(longest), side="left")
+        first = 0
+        while first < len(texts):  # texts side by side, all pieces of a text together
+            last, pieces = first, 0
+            while last < len(texts) and (last == first or pieces + -(-len(every[last]) // PIECE) <= SIDE_BY_SIDE):
+                pieces += -(-len(every[last]) // PIECE)
+                last += 1
+            cut = [(i - first, k, every[i][a : a + PIECE]) for i in range(first, last) for k, a in enumerate(range(0, len(every[i]), PIECE))]
+            order = sorted(range(len(cut)), key=lambda i: -len(cut[i][2]))
+            column = {cut[i][:2]: c for c, i in enumerate(order)}
+            sizes = np.array([len(cut[i][2]) for i in order])
+            side = np.zeros((int(sizes[0]), len(order)), self.of.dtype)
+            for c, i in enumerate(order):
+                side[: len(cut[i][2]), c] = cut[i][2]
+            active = np.searchsorted(-sizes, -np.arange(len(side)), side="left")
+            owner = np.array([cut[i][0] for i in order])
+            follows = np.array([column.get((cut[i][0], cut[i][1] - 1), -1) for i in order])
             for lang, root in enumerate(self.roots):
-                state, phrases = np.full(len(part), root, np.int32), np.zeros(len(part), np.int32)
-                for t in range(longest):
-                    n = active[t]
-                    go = self.table[state[:n] + side[t, :n]]
-                    phrases[:n] += go < 0
-                    np.abs(go, out=state[:n])
-                np.add.at(count[:, lang], owner[part], phrases)
+                count[first:last, lang] = self._parsed(side, active, owner, follows, root, last - first)
+            first = last
         return count * self.weight / np.maximum(1, [len(s) for s in every])[:, None]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -142,21 +214,19 @@ class CrossParser:
         return out
 
 
-@lru_cache(maxsize=1)
 def _parser(learnt: tuple) -> CrossParser:
-    return CrossParser(dict(learnt))
+    return held(("languages", crc32(repr(learnt).encode())), lambda: CrossParser(dict(learnt)))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[tuple[str, str], ...]:
     """(language, labelled text) from the bounded sample of the folds that are learnt from."""
-    rows = docs.filter(F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT)).withColumn("_at", F.pmod(F.xxhash64(id_col, F.lit(5)), F.lit(1 << 20)))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
-    if not counts:
-        return ()
-    below = F.coalesce(*(F.when(F.col(lang_col) == lang, F.lit(min(1 << 20, 1 + (1 << 20) * TRAIN_DOCS // n))) for lang, n in counts.items()))
-    sample = rows.filter((F.col("_at") < below) & (F.length(text_col) <= DOC_CHARS)).select(lang_col, "_at", text_col).collect()
-    most, texts = min(TRAIN_CHARS, ALL_CHARS // len(counts)), {}
-    for lang, _, text in sorted(map(tuple, sample)):
+    rows = docs.filter(F.col(lang_col).isNotNull() & (fold(id_col, FOLDS) != HELD_OUT)).select(F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(id_col, F.lit(5)), F.lit(1 << 20)).alias("at"), F.substring(text_col, 1, DOC_CHARS).alias("text"))
+    langs = checkpointed(rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS))
+    below = F.least(F.lit(1 << 20), 1 + F.floor(F.lit(float(1 << 20)) * TRAIN_DOCS / F.col("n")))
+    sample = rows.join(F.broadcast(langs), "lang").filter(F.col("at") < below).select("lang", "at", "text").collect()
+    texts: dict[str, str] = {}
+    most = min(TRAIN_CHARS, ALL_CHARS // max(1, len({lang for lang, *_ in sample})))
+    for lang, _, text in sorted((lang, at, text or "") for lang, at, text in sample):
         if len(texts.get(lang, "")) < most:
             texts[lang] = f"{texts.get(lang, '')}{text}\n"[:most]
     return tuple(sorted((lang, t) for lang, t in texts.items() if any(map(str.isalpha, t))))

@@ -75,7 +75,7 @@ def test_article_of_each_page(spark, labeller):
 
 def test_blocks():
     b = html_blocks.blocks('<div hidden>no</div><p title="a>b">x &amp;\n y<p>z<!-- <p>c --><ul><li>1<li>2</ul>tail < 3<script>if (a<b) "</p>"</script> end')
-    assert [x.text for x in b] == ["x & y", "z", "1", "2", "tail < 3 end"]
+    assert [x.text for x in b] == ["no", "x & y", "z", "1", "2", "tail < 3 end"] and b[0].path.names == "hidden"
     assert html_blocks.blocks(None) == html_blocks.blocks("") == html_blocks.blocks("<p> </p>") == []
     assert [x.text for x in html_blocks.blocks("<p>" * 3000 + "deep")] == ["deep"]
 
@@ -193,29 +193,56 @@ def test_cross_parsing_against_plain_search():
     learnt = {"a": "".join(r.choice("abc  ") for _ in range(300)), "b": "".join(r.choice("bcdé ") for _ in range(500))}
     parser = language_id.CrossParser(learnt)
     texts = ["".join(r.choice("abcdé x") for _ in range(r.randint(1, 3000))) for _ in range(30)] + ["b", "zz"]
+    want = plain_figures(learnt, texts)
+    assert np.allclose(parser.figures(texts), want)
+
+
+def plain_figures(learnt, texts):
+    """Each phrase the longest match from where the last one ended, found by search; an unknown letter is a phrase."""
     want = []
     for t in texts:
         s, row = "".join(map(chr, language_id.symbols(t))), []
         for n in sorted(learnt):
-            train, phrases = "".join(map(chr, language_id.symbols(learnt[n]))), 0
-            for at in range(0, len(s), language_id.PIECE):
-                part, i = s[at : at + language_id.PIECE], 0
-                while i < len(part):
-                    j = i + 1
-                    while j <= len(part) and part[i:j] in train:
-                        j += 1
-                    i, phrases = max(j - 1, i + 1), phrases + 1
+            train, phrases, i = "".join(map(chr, language_id.symbols(learnt[n]))), 0, 0
+            while i < len(s):
+                j = i + 1
+                while j <= len(s) and s[i:j] in train:
+                    j += 1
+                i, phrases = max(j - 1, i + 1), phrases + 1
             row.append(phrases * np.log2(len(train)) / len(s))
         want.append(row)
-    assert np.allclose(parser.figures(texts), want)
+    return want
+
+
+@pytest.mark.parametrize("piece", [1, 2, 7, 50, 1024])
+@pytest.mark.parametrize("together", [1, 5, 4096])
+def test_pieces_change_nothing(monkeypatch, piece, together):
+    """Phrases over the borders of pieces; the labelled text holds long parts of some texts."""
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    monkeypatch.setattr(language_id, "SIDE_BY_SIDE", together)
+    r = random.Random(piece)
+    long = "".join(r.choice("ab c") for _ in range(400))
+    learnt = {"x": long + " zzz", "y": "aaaa bbbb cccc" * 9}
+    texts = [long[20:300], long[:90] + "q" + long[90:200], "a" * 150, "", "ab", "zz" + long[5:60] * 3] + ["".join(r.choice("abcq ") for _ in range(r.randint(1, 130))) for _ in range(8)]
+    assert np.allclose(language_id.CrossParser(learnt).figures(texts), plain_figures(learnt, texts))
 
 
 def test_large_alphabets():
+    """Thousands of letters, each its own; some are in both texts."""
     r = random.Random(8)
-    learnt = {k: "".join(chr(base + r.randrange(3000)) for _ in range(4000)) for k, base in (("zh", 0x4E00), ("ko", 0xAC00))}
+    learnt = {k: "".join(chr(base + r.randrange(n)) for _ in range(3000)) for k, base, n in (("ko", 0xAC00, 2000), ("mixed", 0x4E00, 40), ("zh", 0x4E00, 3000))}
     parser = language_id.CrossParser(learnt)
-    assert parser.width <= 1 + language_id.OWN + language_id.SHARED
-    assert [p for p, _ in parser.predict([learnt["zh"][5:300], learnt["ko"][5:300], "123", None])] == ["zh", "ko", "und", "und"]
+    assert parser.size > 3000 and parser.width == language_id.COLUMNS + 1
+    texts = [learnt["zh"][5:300], learnt["ko"][5:300], learnt["mixed"][9:80] + learnt["zh"][700:760], "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(2500)), "abc"]
+    assert np.allclose(parser.figures(texts), plain_figures(learnt, texts))
+    assert [p for p, _ in parser.predict([*texts[:2], "123", None])] == ["zh", "ko", "und", "und"]
+
+
+def test_dirty_languages(spark):
+    """Values that one document has don't crowd out the others."""
+    rows = [(i, f"the word of the {i} river and town", "en", None, 0) for i in range(200)] + [(1000 + i, "ein wort und der fluss", f"x{i}", None, 0) for i in range(400)]
+    learnt = dict(language_id.learn(spark.createDataFrame(rows, DOCS)))
+    assert len(learnt) <= language_id.MOST_LANGS and len(learnt["en"]) > 1000
 
 
 def test_language_held_out(documents):
