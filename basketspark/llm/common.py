@@ -40,15 +40,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
 _HELD: dict = {}
 
 
+def trim() -> None:
+    """Give memory that is free in this Python worker back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not there on every platform
+        pass
+
+
 def release() -> None:
-    """Forget what an operator holds in this Python worker, and give the memory back."""
+    """Forget what an operator holds in this Python worker."""
     if _HELD:
         _HELD.clear()
         gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # not there on every platform
-            pass
+        trim()
 
 
 def held(key, make: Callable):
@@ -73,6 +79,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
             values = [rows(state, *row) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             turned = list(zip(*values, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(v, type=arrow.field(i).type) for i, v in enumerate(turned)], schema=arrow)
+        trim()
 
     return df.select(*columns).mapInArrow(run, out)
 

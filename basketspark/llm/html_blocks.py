@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -10,11 +11,11 @@ from typing import NamedTuple
 #: that have no content, and that hold no lines.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 RAW = "script|style|textarea|iframe|title"
-CLOSED = "noscript|template|object|annotation|annotation-xml"
+CLOSED = "template|annotation|annotation-xml"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An element of these is closed by the next of its kind, unless the second list's stands between.
 SAME = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-INSIDE = {"p": BLOCK - {"p"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
+INSIDE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
 WITH = r"""(?:"[^"]*"|'[^']*'|[^'">])*+"""
 TOKEN = re.compile(rf"""<!--(?:.*?-->|.*)|<(?P<raw>{RAW})(?=[\s/>]){WITH}>(?:.*?</(?P=raw)\s*>|.*)|<(?P<closed>{CLOSED})(?=[\s/>]){WITH}>.*?</(?P=closed)\s*>|<svg(?=[\s/>]){WITH}(?<!/)>.*?</svg\s*>|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<with>{WITH})>|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
@@ -23,33 +24,107 @@ NAMED = frozenset(("class", "id", "role", "hidden", "style", "aria-hidden"))
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Element:
+    """An element of a tag path, which its ``outer`` element goes on with: paths of one page share their outer parts."""
+
+    __slots__ = ("tag", "names", "outer", "depth", "fresh", "pooled")
+
+    def __init__(self, tag: str, names: str, outer: Element | None, fresh: bool):
+        self.tag, self.names, self.outer, self.fresh = tag, names, outer, fresh
+        self.depth = outer.depth + 1 if outer else 1
+        self.pooled = None  # what a reader of paths makes of the element and all around it
+
+
 class Block(NamedTuple):
     text: str
-    path: tuple[tuple[str, str], ...]
+    path: Element | None
     linked: float
 
 
+class _Open:
+    """Elements that are open. Where the innermost of a kind stands is always known, so that no tag has to search for it."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, Element | None, bool]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.kinds: Counter = Counter()
+
+    def path(self) -> Element | None:
+        return self.stack[-1][1] if self.stack else None
+
+    def place(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def push(self, tag: str, names: str) -> None:
+        path, told = self.path(), tag in BLOCK or bool(names)
+        if told:
+            self.kinds[tag, names] += 1
+            path = Element(tag, names, path, self.kinds[tag, names] == 1)
+        at = len(self.stack)
+        self.stack.append((tag, path, told))
+        self.places.setdefault(tag, []).append(at)
+        if tag in BLOCK:
+            self.blocks.append(at)
+
+    def cut(self, at: int) -> None:
+        """Close all from a place on."""
+        while len(self.stack) > at:
+            tag, path, told = self.stack.pop()
+            self.places[tag].pop()
+            if told:
+                self.kinds[tag, path.names] -= 1
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+
+    def close(self, tag: str) -> None:
+        """An end tag; of an element without lines it closes nothing beyond the innermost block."""
+        at = self.place((tag,))
+        if at >= 0 and (tag in BLOCK or not self.blocks or at > self.blocks[-1]):
+            self.cut(at)
+
+    def before(self, tag: str) -> None:
+        """What a start tag closes: the element of its kind before it, and an open paragraph."""
+        block = self.stack[self.blocks[-1]][0] if self.blocks else ""
+        if tag in BLOCK and block == "p" and (tag == "p" or tag not in SAME):
+            self.cut(self.blocks[-1])
+        elif tag in SAME and tag != "p":
+            at = self.place(SAME[tag])
+            if at > self.place(INSIDE[tag]):
+                self.cut(at)
+
+
+def _named(attributes: str) -> str:
+    """Class, id and role of an element, and "hidden" if it is not shown."""
+    names, hidden = [], False
+    for k, a, b, c in ATTRIBUTE.findall(attributes):
+        k, v = k.lower(), a or b or c
+        if k in ("class", "id", "role"):
+            names.append(v)
+        elif k in NAMED:
+            hidden = hidden or k == "hidden" or k == "style" and bool(HIDDEN.search(v)) or k == "aria-hidden" and v == "true"
+    return " ".join([*names, "hidden"] if hidden else names).lower()
+
+
 def blocks(html: str | None) -> list[Block]:
-    """Blocks with text, of what a page shows; a hidden element's text is left out."""
+    """Blocks with text of a page, those that are not shown too: their paths say so."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []
-    parts: list[str] = []
-    linked = 0
+    of, parts, linked = _Open(), [], 0
 
     def flush() -> None:
         nonlocal linked
         words = "".join(parts).split()
         parts.clear()
-        if words and not any(h for _, _, h in stack):
+        if words:
             text = " ".join(words)
-            out.append(Block(text, tuple((t, c) for t, c, _ in stack if t in BLOCK or c), min(1.0, linked / len(text))))
+            out.append(Block(text, of.path(), min(1.0, linked / len(text))))
         linked = 0
 
     def say(text: str) -> None:
         nonlocal linked
         if text:
             parts.append(text := unescape(text) if "&" in text else text)
-            if any(t == "a" for t, _, _ in stack[-4:]):
+            if of.places.get("a"):
                 linked += len(text.strip())
 
     html, at = html or "", 0
@@ -64,39 +139,12 @@ def blocks(html: str | None) -> list[Block]:
         elif tag in ("br", "input", "button", "select", "img"):
             parts.append(" ")
         if m["end"] or m["end2"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if tag not in BLOCK and stack[k][0] in BLOCK:
-                    break
+            of.close(tag)
             continue
-        if tag in SAME:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in SAME[tag]:
-                    del stack[k:]
-                    break
-                if stack[k][0] in INSIDE[tag]:
-                    break
-        elif tag in BLOCK:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCK:
-                    break
-        if tag not in VOID and not (m["with"] or "").rstrip().endswith("/"):
-            names, hidden = [], False
-            if m["with"] and not m["with"].isspace():
-                for k, a, b, c in ATTRIBUTE.findall(m["with"]):
-                    k, v = k.lower(), a or b or c
-                    if k not in NAMED:
-                        continue
-                    if k in ("class", "id", "role"):
-                        names.append(v)
-                    else:
-                        hidden = hidden or k == "hidden" or k == "style" and bool(HIDDEN.search(v)) or k == "aria-hidden" and v == "true"
-            stack.append((tag, " ".join(names).lower() if names else "", hidden))
+        of.before(tag)
+        attributes = m["with"] or ""
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
+            of.push(tag, _named(attributes) if attributes and not attributes.isspace() else "")
     say(html[at:])
     flush()
     return out

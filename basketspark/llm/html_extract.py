@@ -11,7 +11,6 @@ carried; pages of any length are read whole; an empty table gives no rows. Only
 
 from __future__ import annotations
 
-import random
 import re
 from functools import cache, lru_cache
 from zlib import crc32
@@ -20,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .html_blocks import Block, blocks
+from .common import release
+from .html_blocks import Block, Element, blocks
 from .html_training import labelled_pages
 
 #: Inputs: elements of the path, names of the innermost named element, names of those around it, words, figures.
@@ -29,27 +29,53 @@ PATH = TAGS + NAMES + AROUND
 WIDTH = PATH + WORDS + FIGURES
 HIDDEN = 24
 NEAR = 12
-#: Share of training pages that are nested deeper, and by how many plain elements.
-DEEP, DEEPER = 0.15, (4, 24)
 PAGES, ROUNDS, BATCH, SEED = 2400, 15, 32, 7
 #: Blocks of pages that are labelled side by side, padding included.
 TOGETHER = 60_000
 SPLIT = re.compile(r"[^a-z]+")
 
 
+def _add(out: np.ndarray, tag: str, names: str, weight: float, first: int, size: int) -> None:
+    h = crc32(tag.encode())
+    out[h % TAGS] += (1 if h >> 16 & 1 else -1) * weight
+    for n in filter(None, SPLIT.split(names)):
+        h = crc32(n.encode())
+        out[first + h % size] += 1 if h >> 16 & 1 else -1
+
+
 @lru_cache(maxsize=20_000)
-def _path_vector(path: tuple) -> np.ndarray:
-    """Of the whole path; elements outside the ``NEAR`` innermost count once each, so that depth doesn't drown names."""
+def _inner(path: tuple) -> np.ndarray:
+    """Of the innermost elements, the innermost first; the names of the first that has some are told from the others."""
     out, inner = np.zeros(PATH, np.float32), True
-    outer = dict.fromkeys((t, n) for t, names in path[:-NEAR] for n in (names or "").split() or [""])
-    for depth, (tag, names) in enumerate([*reversed(path[-NEAR:]), *reversed(outer)]):
-        h = crc32(tag.encode())
-        out[h % TAGS] += (1 if h >> 16 & 1 else -1) * (1.0 if depth < 2 else 0.6)
-        for n in filter(None, SPLIT.split(names)):
-            h = crc32(n.encode())
-            out[TAGS + (h % NAMES if inner else NAMES + h % AROUND)] += 1 if h >> 16 & 1 else -1
+    for depth, (tag, names) in enumerate(path):
+        _add(out, tag, names, 1.0 if depth < 2 else 0.6, *((TAGS, NAMES) if inner else (TAGS + NAMES, AROUND)))
         inner = inner and not names
-    return np.clip(out, -3, 3)
+    return out
+
+
+def _outer(element: Element | None) -> np.ndarray:
+    """Of an element and all around it: each different one counts once, so that depth doesn't drown names."""
+    chain = []
+    while element is not None and element.pooled is None:
+        chain.append(element)
+        element = element.outer
+    out = np.zeros(PATH, np.float32) if element is None else element.pooled
+    for e in reversed(chain):
+        if e.fresh:
+            out = out.copy()
+            _add(out, e.tag, e.names, 0.6, TAGS + NAMES, AROUND)
+        e.pooled = out
+    return out
+
+
+def _path_vector(element: Element | None) -> np.ndarray:
+    """Of the whole path: its ``NEAR`` innermost elements by depth, those outside pooled."""
+    near = []
+    while element is not None and len(near) < NEAR:
+        near.append((element.tag, element.names))
+        element = element.outer
+    inner = _inner(tuple(near))
+    return np.clip(inner if element is None else inner + _outer(element), -3, 3)
 
 
 def _heading(tag: str) -> int:
@@ -80,13 +106,13 @@ def vectors(page: list[Block]) -> np.ndarray:
     for i, b in enumerate(page):
         words = b.text.lower().split()
         k = len(words)
-        path = b.path
+        path, data = b.path, b.text.encode()
         row = out[i]
         row[:PATH] = _path_vector(path)
         row[PATH:at] = np.bincount(_words_at(words), minlength=WORDS) / np.sqrt(k)
         last = b.text[-1]
-        row[at : at + 9] = 1, np.log1p(k) / 4, b.linked, last in ".!?…", last in ":,;", i / n, np.log1p(n) / 4, min(len(b.path), 24) / 8, sum(map(str.isdigit, b.text[:64])) / 16
-        if h := _heading(path[-1][0] if path else ""):
+        row[at : at + 9] = 1, np.log1p(k) / 4, b.linked, last in ".!?…", last in ":,;", i / n, np.log1p(n) / 4, min(path.depth if path else 0, 24) / 8, 4 * (1 - len(data.translate(None, b"0123456789")) / len(data))
+        if h := _heading(path.tag if path else ""):
             row[at + 8 + h] = 1
         row[at + 13] = k <= 3
     return out
@@ -155,6 +181,17 @@ class BlockLabeller:
         flat = dz.reshape(-1, 4 * HIDDEN)
         g[f"u{d}"], g[f"w{d}"], g[f"b{d}"] = du, x.reshape(-1, WIDTH).T @ flat, flat.sum(0)
 
+    def gradients(self, x: np.ndarray, there: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log-loss of the blocks, by parameter."""
+        f, kf = self._run(x, there, "f")
+        b, kb = self._run(x, there, "b")
+        s = f @ self.p["o"][:HIDDEN] + b @ self.p["o"][HIDDEN:] + x @ self.p["x"] + self.p["c"]
+        ds = np.where(there[..., 0], 1 / (1 + np.exp(-s)) - y, 0) / there.sum()
+        g = {"o": np.concatenate([np.einsum("tn,tnh->h", ds, f), np.einsum("tn,tnh->h", ds, b)]), "x": np.einsum("tn,tnw->w", ds, x), "c": ds.sum(keepdims=True).ravel()}
+        self._back(ds[..., None] * self.p["o"][:HIDDEN], x, there, kf, "f", g)
+        self._back(ds[..., None] * self.p["o"][HIDDEN:], x, there, kb, "b", g)
+        return g
+
     def train(self, pages: list[tuple[np.ndarray, list[int]]], rounds: int = ROUNDS, rate: float = 8e-3, seed: int = SEED) -> BlockLabeller:
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -173,13 +210,7 @@ class BlockLabeller:
                 x = x * (r.random((1, x.shape[1], WIDTH)) > 0.1)
                 x[:, r.random(x.shape[1]) < 0.06, TAGS:PATH] = 0
                 x = x.astype(np.float32)
-                f, kf = self._run(x, there, "f")
-                b, kb = self._run(x, there, "b")
-                s = f @ self.p["o"][:HIDDEN] + b @ self.p["o"][HIDDEN:] + x @ self.p["x"] + self.p["c"]
-                ds = np.where(there[..., 0], 1 / (1 + np.exp(-s)) - y, 0) / there.sum()
-                g = {"o": np.concatenate([np.einsum("tn,tnh->h", ds, f), np.einsum("tn,tnh->h", ds, b)]), "x": np.einsum("tn,tnw->w", ds, x), "c": ds.sum(keepdims=True).ravel()}
-                self._back(ds[..., None] * self.p["o"][:HIDDEN], x, there, kf, "f", g)
-                self._back(ds[..., None] * self.p["o"][HIDDEN:], x, there, kb, "b", g)
+                g = self.gradients(x, there, y)
                 norm = float(np.sqrt(sum((a * a).sum() for a in g.values())))
                 t += 1
                 step = rate * (1 - k / rounds) / max(1.0, norm)
@@ -215,16 +246,9 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, there
 
 
-def deeper(page: list[Block], r: random.Random) -> list[Block]:
-    """The page with plain elements put into its paths at one depth."""
-    at, more = r.randint(1, 6), (("div", ""),) * r.randint(*DEEPER)
-    return [b._replace(path=b.path[:at] + more + b.path[at:]) if len(b.path) > at else b for b in page]
-
-
 @cache
 def trained(pages: int = PAGES, seed: int = SEED) -> BlockLabeller:
-    r = random.Random(seed)
-    return BlockLabeller.fresh(seed).train([(vectors(deeper(b, r) if r.random() < DEEP else b), y) for b, y in labelled_pages(pages, seed)])
+    return BlockLabeller.fresh(seed).train([(vectors(b), y) for b, y in labelled_pages(pages, seed)])
 
 
 def main_texts(htmls: list[str | None], labeller: BlockLabeller) -> list[str]:
@@ -239,6 +263,7 @@ def extract(pages: DataFrame, labeller: BlockLabeller | None = None, id_col: str
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        release()
         labeller = BlockLabeller(p)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

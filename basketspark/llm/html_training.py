@@ -15,8 +15,12 @@ CHROME = {
     "side": "Popular posts|Most read|Recent articles|Trending|Categories|Tags|Archives|Related articles|You may also like|More from this author|Meistgelesen|Les plus lus|Lo más leído|Follow us|Recommended".split("|"),
     "comments": "Comments|3 comments|Reply|Report|Like|2 hours ago|Posted by|says:|Kommentare|Antworten|Commentaires|Répondre|Comentarios|Responder|Anonymous|January 5, 2024 at 10:12|Log in to reply|Guest wrote".split("|"),
 }
-#: Lines of their own kind that stand in main texts.
-ODD = ("Licensed under CC BY 4.0.", "This work is licensed under a public license, version 3.", "password=0a1b2c3d4e5f", 'token = "9f8e7d6c5b4a39281706"', "Contact: anna@example.org, +1 555 0100", "Tel. 030 123456", "Figure 1.", "Note:", "Copyright notice kept by the author.", "See also the next part.", "1.", "http://example.org/a/b?c=1")
+#: Lines of their own kind that stand in main texts, as those of licences, code, addresses and captions: not prose, but not chrome.
+ODD = ("Licensed under CC BY 4.0.", "This work is licensed under a public license, version 3.", "if x == 0: return None", 'name = "value-17"', "Contact: anna@example.org, +1 555 0100", "Tel. 030 123456", "Figure 1.", "Note:", "Copyright notice kept by the author.", "See also the next part.", "1.", "http://example.org/a/b?c=1")
+#: Share of pages that are nested deeper, and by how many plain elements at most.
+DEEP, DEEPER = 0.1, 40
+#: Share of sections beside the main text that are not shown. Parts of the main text may be hidden too: they are text nonetheless.
+UNSEEN = 0.04
 NAMES = {
     "nav": "nav navbar menu main-menu site-nav navigation top-nav topbar breadcrumb breadcrumbs pagination pager submenu toc-nav skip-links".split(),
     "header": "header site-header masthead page-header top branding banner logo".split(),
@@ -103,13 +107,24 @@ class PageMaker:
         if not told and not any(w in body for w in CHROME[kind]):
             cue = r.choice(("b", "h4", "p", "span", "div"))
             body = f"<{cue}>{say(kind)}</{cue}>{body}"
-        return f"<{tag}{named}>{body}</{tag}>"
+        unseen = r.choice((" hidden", ' style="display:none"', ' aria-hidden="true"')) if r.random() < UNSEEN else ""
+        body = f"<noscript>{body}</noscript>" if kind in ("notice", "ad") and r.random() < 0.1 else body
+        return f"<{tag}{named}{unseen}>{body}</{tag}>"
+
+    def deeper(self, html: str) -> str:
+        """The part within plain elements."""
+        if self.r.random() >= DEEP:
+            return html
+        name = f' class="{self.r.choice(NAMES["none"])}"' if self.r.random() < 0.6 else ""
+        n, tag = self.r.randint(1, DEEPER), self.r.choice(("div", "div", "div", "section", "span"))
+        return f"<{tag}{name}>" * n + html + f"</{tag}>" * n
 
     def article(self) -> str:
         r, html = self.r, []
 
         def keep(tag: str, inner: str, close: bool = True) -> None:
-            html.append(f"<{tag}>{MARK}{inner}{f'</{tag}>' if close else ''}")
+            unseen = " hidden" if r.random() < 0.01 else ""
+            html.append(f"<{tag}{unseen}>{MARK}{inner}{f'</{tag}>' if close else ''}")
 
         if r.random() < 0.07:  # tiny ones
             keep(r.choice(("p", "p", "h1", "div")), self.passage(r.randint(1, 6)), r.random() < 0.8)
@@ -149,6 +164,7 @@ class PageMaker:
         body = body if r.random() < 0.05 else f"<{tag}{'' if tag in ('article', 'main') and r.random() < 0.6 else self.names('main')}>{body}</{tag}>"
         if tag == "div" and r.random() < 0.4:
             body = f"<main>{body}</main>"
+        body = self.deeper(body)
         before, after = [], []
         if r.random() < 0.6:
             before.append(f"<header{self.names('header') if r.random() < 0.5 else ''}>{self.words(r.randint(1, 3))}{f'<p>{self.words(r.randint(2, 9))}</p>' if r.random() < 0.5 else ''}{self.section('nav') if r.random() < 0.4 else ''}</header>")
@@ -159,7 +175,11 @@ class PageMaker:
         r.shuffle(after)
         if r.random() < 0.85:
             after.append(self.section("footer"))
-        inner = "".join(before) + body + "".join(after)
+        if r.random() < 0.5:  # beside the article within the same wrappers
+            k, n = r.randint(0, len(before)), r.randint(0, len(after))
+            body = self.deeper("".join(before[k:]) + body + "".join(after[:n]))
+            before, after = before[:k], after[n:]
+        inner = self.deeper("".join(before) + body + "".join(after))
         if r.random() < 0.4:
             inner = f"<div class='{r.choice(NAMES['none'])}'>{inner}</div>"
         return f"<!doctype html><html><head><title>x</title></head><body>{inner}</body></html>"

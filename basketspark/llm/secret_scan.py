@@ -22,7 +22,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROWS, map_rows, release
+from .common import ROWS, map_rows, release, trim
 
 KINDS = ("assign", "access", "hex", "novel")
 #: Fixed patterns; letters of the words in either case.
@@ -158,6 +158,7 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             k = batch.schema.get_field_index(text_col)
             yield batch.set_column(k, batch.schema.field(k), pa.array(map(redact, batch.column(k).to_pylist()), batch.schema.field(k).type))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 
