@@ -84,6 +84,11 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
     return df.select(*columns).mapInArrow(run, out)
 
 
+def few(df: DataFrame, most: int) -> DataFrame:
+    """df, to be broadcast if it has at most ``most`` rows. df is a table or a checkpoint, as it is counted first."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def fold(column: str, parts: int) -> F.Column:
     """crc32 of the id as text, modulo parts; an unknown id is in no fold (null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
@@ -108,4 +113,15 @@ def stored(df: DataFrame) -> DataFrame:
 
     path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Remove the table behind a frame of stored(), which nothing may need any more."""
+    path = getattr(df, "stored_path", None)
+    if path:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed
+from .common import checkpointed, few
 
 WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)
@@ -43,10 +43,6 @@ def seeded(id_col: str, text_col: str, seed: int = SEED) -> F.Column:
     return F.md5(F.concat(own, F.lit(f":{seed}")).cast("binary"))
 
 
-def few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_PATTERNS else df
-
-
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: tuple = SHARE, most: int = COPIES) -> DataFrame:
     """(source, n, target) of (source, n): share[0]/share[1] of all words, by weights in code point order (null last); a target
     stops at ``most`` times its source's size and what it can't hold goes to the others by weight.
@@ -152,10 +148,10 @@ def plan(sized: DataFrame, source: str = "source", size: str = "size", member_of
     if not member_of:
         return goals, goals.select(F.col("source").alias("pattern"), F.posexplode(_quotas(goals, most)).alias("level", "flow"))
     tangled = checkpointed(patterns.filter(F.size("pattern") > 1).select(F.explode("pattern").alias("t")).distinct())
-    alone = goals.join(few(tangled), F.expr("source <=> t"), "left_anti")
-    others = patterns.select("pattern", "n", F.explode("pattern").alias("source")).join(few(tangled), F.expr("source <=> t"), "left_semi").select("pattern", "n").distinct()
+    alone = goals.join(few(tangled, BROADCAST_PATTERNS), F.expr("source <=> t"), "left_anti")
+    others = patterns.select("pattern", "n", F.explode("pattern").alias("source")).join(few(tangled, BROADCAST_PATTERNS), F.expr("source <=> t"), "left_semi").select("pattern", "n").distinct()
     capacity = {frozenset(p): n for p, n in others.collect()}
-    quota = {s: int(t + 0.5) for s, t in goals.join(few(tangled), F.expr("source <=> t"), "left_semi").select("source", "target").collect()}
+    quota = {s: int(t + 0.5) for s, t in goals.join(few(tangled, BROADCAST_PATTERNS), F.expr("source <=> t"), "left_semi").select("source", "target").collect()}
     flow = min_cost_flow(capacity, quota, most)
     rows = [(sorted(p, key=lambda s: (s is None, s or "")), k, n) for p, ns in flow.items() for k, n in enumerate(ns)]
     single = alone.select(F.array("source").alias("pattern"), F.posexplode(_quotas(goals, most)).alias("level", "flow"))
@@ -176,7 +172,7 @@ def with_copies(docs: DataFrame, edges: DataFrame, source: str, key: str, size:
     """``out`` columns and ``copies`` of each document. edges has a row for each pattern at most; it is broadcast if they are few."""
     pattern = _pattern(source, docs.schema[source].dataType.simpleString(), member_of)
     marked = docs.withColumns({"_pattern": pattern, "_bucket": F.substring(key, 1, BUCKET_DIGITS)})
-    marked = marked.join(few(edges.withColumnsRenamed({"pattern": "_of", "levels": "_levels"})), F.expr("_pattern <=> _of"), "left")
+    marked = marked.join(few(edges.withColumnsRenamed({"pattern": "_of", "levels": "_levels"}), BROADCAST_PATTERNS), F.expr("_pattern <=> _of"), "left")
     is_edge = F.coalesce(F.exists("_levels", lambda x: x.bucket == F.col("_bucket")), F.lit(False))
     whole = F.coalesce(F.aggregate("_levels", F.lit(0), lambda n, x: n + (F.col("_bucket") < x.bucket).cast("int")), F.lit(0))
     inside = marked.filter(is_edge).withColumn("_size", size)
@@ -200,7 +196,7 @@ def query(docs: DataFrame) -> DataFrame:
     edges = checkpointed(edges_of(sized, levels, "source", "size", "key"))
     taken = with_copies(sized, edges, "source", "key", F.col("size"), ["doc_id"], ["doc_id", "source", "size"])
     goals = goals.select(F.col("source").alias("of"), F.col("n").alias("source_size"), "target")
-    return taken.join(few(goals), F.expr("source <=> of")).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return taken.join(few(goals, BROADCAST_PATTERNS), F.expr("source <=> of")).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 ORACLE_SQL = r"""

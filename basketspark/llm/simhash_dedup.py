@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_rows, stored
+from .common import checkpointed, drop, map_rows, release, stored
 
 SEGMENTS = 7
 PAIR_BUCKET = 64
@@ -31,6 +31,8 @@ MAX_BITS = 2
 BLOCK = 1 << 15
 #: Ids of documents to drop are broadcast up to this checked number.
 BROADCAST_IDS = 1_000_000
+#: Edges that one task joins.
+TASK_EDGES = 100_000
 
 
 def simhash(text: str | None, words: int = 3) -> int:
@@ -104,11 +106,43 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int | None = None,
         length += 1
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """(node, root) for each node of edges (a > b), by alternating large and small stars; root is the smallest node."""
-    e = stored(edges)
+def _contracted(batches):
+    """(a, b) of each node of a task's edges but the smallest of its group there, and that one."""
+    import pyarrow as pa
+
+    release()
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    for at in range(0, len(nodes), 10_000):
+        part = nodes[at : at + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(map(find, part), pa.int64())], names=["a", "b"])
+
+
+def components(edges: DataFrame, most: int = 60, task: int = TASK_EDGES) -> DataFrame:
+    """(node, root) for each node of edges (a > b) but the smallest of its group, which is the root.
+
+    Edges are dealt to tasks of ``task`` at most, each of which joins what its own edges do; between tasks, alternating large and
+    small stars do so.
+    """
+    e = stored(edges.select("a", "b"))
+    n = e.count()
+    parts = max(1, -(-n // task))
+    e, old = stored(e.repartition(parts).mapInArrow(_contracted, "a long, b long")), e
+    drop(old)
     seen = None
-    for _ in range(most):
+    for _ in range(most * (parts > 1)):
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen or not now[0]:
             break
@@ -118,9 +152,11 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        e = stored(small.select(F.col("a"), F.col("m").alias("b")).union(small.filter("b != m").select(F.col("b"), F.col("m"))).distinct())
+        e, old = stored(small.select(F.col("a"), F.col("m").alias("b")).union(small.filter("b != m").select(F.col("b"), F.col("m"))).distinct()), e
+        drop(old)
     else:
-        raise RuntimeError(f"components did not settle in {most} rounds")
+        if parts > 1:
+            raise RuntimeError(f"components did not settle in {most} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

@@ -127,6 +127,25 @@ def test_links_of_one_large_bucket(spark):
     assert {(e.a, e.b) for e in got.collect()} == want
 
 
+@pytest.mark.parametrize("task", [3, 40, 100_000])
+def test_components_of_chains_stars_and_chance(spark, task):
+    r = random.Random(task)
+    edges = [(i + 1, i) for i in range(60)] + [(1000 + i, 1000) for i in range(1, 50)] + [(max(x), min(x)) for x in (r.sample(range(2000, 2100), 2) for _ in range(70))]
+    root = {n: n for e in edges for n in e}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = simhash_dedup.components(spark.createDataFrame(edges, "a long, b long"), task=task).collect()
+    assert sorted((x.node, x.root) for x in got) == sorted((n, find(n)) for n in root if find(n) != n)
+    assert simhash_dedup.components(spark.createDataFrame([], "a long, b long"), task=task).count() == 0
+
+
 def test_near_duplicate_rows(spark, odd):
     got = simhash_dedup.query(odd.select("doc_id", "text", "fp")).collect()
     assert len(got) == len(ODD_DOCS)
