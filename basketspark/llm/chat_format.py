@@ -3,7 +3,7 @@ r"""Chat formatting by schema fingerprints, in DataFrame expressions only.
 A record's layout is the set of nested field paths that hold a value in it. The paths that any layout uses are hashed in a fixed
 order; the hash picks a declarative mapping from ``LAYOUTS``, whose expression makes the record's canonical turns (place, role,
 text). Layouts may be mixed row by row in one wide table. Fields that no layout names are left out of the fingerprint, so extra
-columns change nothing; a record whose fingerprint is unknown gets no turns and is marked by a null layout.
+columns change nothing; a record whose fingerprint is unknown gets no turns, an empty text and a null layout.
 
 The template writes each turn as ``<|turn|>role\ntext<|end|>``. Control strings inside roles and texts (``<|``, ``<s>``,
 ``</s>``, ``[INST]``, ``<<SYS>>`` and the like) get a backslash after their first character, one more if they have some
@@ -110,7 +110,7 @@ def written(turn: Column) -> Column:
 def formatted(df: DataFrame, id_col: str = "conv_id", loss_role: str = "assistant") -> DataFrame:
     """(id, formatted, loss): a conversation's text, and for each of its turns the characters of the text that are learnt
     (start in code points within the turn's piece, length; null for turns that aren't)."""
-    turns = canonical(df).select(id_col, F.explode("turns").alias("t"))
+    turns = canonical(df).select(id_col, F.explode_outer("turns").alias("t"))
     whole = turns.groupBy(id_col).agg(F.sort_array(F.collect_list("t")).alias("t"))
     learnt = lambda x: F.when(x.role == loss_role, F.struct((F.length(F.lit(START)) + F.length(F.replace(escape(x.role), F.lit("\n"), F.lit(BREAK))) + 1).alias("start"), F.length(escape(x.text)).alias("length")))
     return whole.select(id_col, F.array_join(F.transform("t", written), "").alias("formatted"), F.transform("t", learnt).alias("loss"))
