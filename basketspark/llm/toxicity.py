@@ -32,10 +32,10 @@ TRAIN_ROWS, TRAIN_CHARS = 6000, 20_000
 FOLDS, HELD_OUT = 5, 0
 BEGINNINGS = (4, 5, 6, 7, 8)
 CHANCE = 1e-5
-KNOWN = 60_000
+KNOWN = 150_000
 MOST = 50.0
 #: Different tokens that a task counts before it cuts them into trigrams.
-WORDS = 100_000
+WORDS = 200_000
 
 #: Letters that signs stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l"}
