@@ -62,6 +62,7 @@ def held(key, make: Callable):
     if key not in _HELD:
         release()
         _HELD[key] = make()
+        trim()
     return _HELD[key]
 
 

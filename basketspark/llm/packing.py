@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, held
+from .common import checkpointed, held, trim
 
 LENGTH = 4096
 END = 1
@@ -159,6 +159,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                 turned = list(zip(*rows, strict=True))
                 types = [to_arrow_type(kind), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(turned, types, strict=True)], names=[id_col, "piece", "start", "length", "ids_crc32"])
+        trim()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
