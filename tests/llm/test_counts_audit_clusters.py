@@ -1,0 +1,284 @@
+"""Token counts against the library, the filter audit against counting and DuckDB, centroid clustering against plain rounds."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+from itertools import permutations
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from basketspark.llm import centroids, filter_audit, token_counts
+from basketspark.llm.queries import ORACLE_SQL, QUERIES
+
+DATA = "/root/testdata/sf0.001"
+
+
+# Token counts
+
+
+@pytest.fixture(scope="module", params=["word_bpe_49k.json", "byte_bpe_50k.json"])
+def vocabulary(request):
+    from tokenizers import Tokenizer
+
+    path = token_counts.tokenizer_path(request.param)
+    of = Tokenizer.from_file(path)
+    return token_counts.Counts(path), lambda t: len(of.encode(t, add_special_tokens=False).ids)
+
+
+PARTS = ["a", "the", "ing", "THE", "Σ", "İ", "é", "é", "́", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "　", "​", "<|endoftext|>", "<|startoftext|>", "<|", "'s", "'LL", "9", "½", "漢", "🤦🏼‍♂️", "ﬁ", "ß", "\x00", "</w>", "!", "...", "#$%", "가", "𝔘"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=14).map("".join) | st.text(max_size=40))
+def test_counts_as_the_library_does(vocabulary, text):
+    known, plain = vocabulary
+    assert known.count(text) == plain(text)
+
+
+def test_very_long_texts(vocabulary, monkeypatch):
+    known, plain = vocabulary
+    r = random.Random(3)
+    for t in ("a" * 200_000, "".join(r.choice("etaoin") for _ in range(100_000)), "one two\n" * 60_000, "x " * 3 + "ab" * 50_000):
+        assert known.count(t) == plain(t)
+    words = "".join(r.choice(["so ", "much\t", "text\n", "unbroken"]) for _ in range(4000))
+    monkeypatch.setattr(token_counts, "BLOCK", 50)
+    assert "".join(token_counts.blocks(words)) == words.replace(" ", "").replace("\t", "").replace("\n", "") or len(list(token_counts.blocks(words))) > 100
+    assert known.count(words) == plain(words)
+
+
+def test_merges_against_rescans():
+    r = random.Random(5)
+    for _ in range(200):
+        rules = {(r.randrange(6), r.randrange(6)): (rank, r.randrange(6, 9)) for rank in range(12)} | {(r.randrange(9), r.randrange(9)): (20 + rank, 9 + rank) for rank in range(9)}
+        symbols = [r.randrange(6) for _ in range(r.randint(0, 30))]
+        # Plainly: search all pairs again after each merge.
+        left, n = list(symbols), 0
+        while found := [(rules[p], i) for i, p in enumerate(zip(left, left[1:], strict=False)) if p in rules]:
+            (_, to), i = min(found, key=lambda f: (f[0][0], f[1]))
+            left[i : i + 2] = [to]
+            n += 1
+        assert token_counts.n_merges(symbols, rules) == n
+
+
+def test_memory_of_chunks_is_bounded(monkeypatch):
+    monkeypatch.setattr(token_counts, "KNOWN", 50)
+    monkeypatch.setattr(token_counts, "STAYING", 20)
+    known = token_counts.Counts(token_counts.tokenizer_path())
+    words = [f"word{i}" for i in range(300)]
+    first = [known.count(w) for w in words]
+    assert len(known) <= 50 and len(known.pieces) <= 50 and "word0" in known and [known.count(w) for w in words] == first
+    known.count("y" * 100)
+    assert "y" * 100 not in known
+
+
+def test_token_rows(spark):
+    from tokenizers import Tokenizer
+
+    some = len(Tokenizer.from_file(token_counts.tokenizer_path()).encode("Ünï <|endoftext|>", add_special_tokens=False).ids)
+    rows = [(1, "one two"), (1, "one two"), (None, "Ünï <|endoftext|>"), (2, None), (3, ""), (4, "word " * 3000)]
+    df = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, n_tokens int, over_limit string")
+    got = [tuple(r) for r in token_counts.query(df).collect()]
+    assert sorted(got, key=str) == sorted([(1, 7, 2, False), (1, 7, 2, False), (None, 19, some, False), (2, 0, 0, False), (3, 0, 0, False), (4, 15000, 3000, True)], key=str)
+    assert token_counts.query(df.limit(0)).collect() == [] and token_counts.query(df).columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert {r.over_limit for r in token_counts.counted(df, limit=1).collect()} == {True, False}
+    with pytest.raises(ValueError):
+        token_counts.Counts(token_counts.tokenizer_path("piece_bpe_32k.model"))
+
+
+def test_whole_table_against_the_library(spark):
+    from tokenizers import Tokenizer
+
+    of = Tokenizer.from_file(token_counts.tokenizer_path())
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    got = QUERIES["op11_token_counts"](spark, DATA).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in got} == {i: (len(t.encode()), n := len(of.encode(t, add_special_tokens=False).ids), n > 2048) for i, t in docs.items()}
+
+
+# Filter interaction audit
+
+
+def failing(docs) -> list[set]:
+    least: dict = {}
+    for i, t, _ in docs:
+        if i is not None:
+            least[t or ""] = min(i, least.get(t or "", i))
+    out = []
+    for i, t, _ in docs:
+        t = t or ""
+        words = [w for w in "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in t).split(" ") if w]
+        tests = {"A": len(words) < 50, "B": 100 * len(set(words)) < 65 * len(words), "C": 100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t), "D": any(c in "#$%&*|" for c in t), "E": i is not None and i > least[t]}
+        out.append({f for f, yes in tests.items() if yes})
+    return out
+
+
+def plain_audit(docs, labels) -> dict:
+    """Every order gone through document by document."""
+    good, toxic = ({i for i, *q in labels if i is not None and q[k] == 1} for k in (0, 1))
+    fails, out = failing(docs), {}
+    for part in {s or "" for *_, s in docs}:
+        own = [(i, f) for (i, _, s), f in zip(docs, fails, strict=True) if (s or "") == part]
+        shapley: Counter = Counter()
+        for order in map("".join, permutations("ABCDE")):
+            left = own
+            for k, f in enumerate(order):
+                gone = [(i, x) for i, x in left if f in x]
+                left = [(i, x) for i, x in left if f not in x]
+                shapley[f] += len(gone)
+                out[part, order, k + 1] = [len(left), len(gone), sum(f in x for _, x in own) - len(gone), sum(x == {f} for _, x in own), sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone)]
+        for (p, order, k), row in out.items():
+            if p == part:
+                row.append(shapley[order[k - 1]])
+    return out
+
+
+def audited(df) -> dict:
+    return {(r.part, r.filter_order, r.step): [r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley] for r in df.collect()}
+
+
+def random_docs(r, n):
+    words = ["alpha", "Beta", "GAMMA", "delta#", "été", "　wide", "x"]
+    texts = [None, "", " \t\n", "a\x0bb\x0cc", "# only", "ABCDEF"] + [" ".join(r.choice(words[: r.randint(1, 7)]) + str(r.randrange(r.choice([1, 200])) or "") for _ in range(r.choice([3, 49, 50, 51, 120]))) for _ in range(12)]
+    return [(r.choice([None, *range(30)]), r.choice(texts), r.choice([None, "", "a", "b", "only"])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_audit_against_counting(spark, seed):
+    r = random.Random(seed)
+    docs = random_docs(r, 90)
+    docs += docs[:10]  # repeated rows
+    labels = [(r.choice([None, *range(30)]), r.choice([None, 0, 1]), r.choice([None, 0, 1])) for _ in range(40)]
+    a = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, source string, toxic int, failed string")
+    b = spark.createDataFrame([(*x, "c") for x in labels], "doc_id long, quality int, toxic int, text string")
+    got = audited(filter_audit.query(a, b))
+    assert got == plain_audit(docs, labels) and len(got) == 600 * len({s or "" for *_, s in docs})
+
+
+def test_audit_hot_groups_and_empty_tables(spark):
+    docs = [(i, "the same text " * 20, f"s{i % 3}") for i in range(300)] + [(None, f"nameless {i}", "s0") for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = audited(filter_audit.query(df, none))
+    assert got == plain_audit(docs, [])
+    assert got["s0", "EABCD", 1][1] == 99 and got["s1", "EABCD", 1][1] == 100
+    assert filter_audit.query(df.limit(0), none).count() == 0
+
+
+def test_potentials_are_shapley_values(spark):
+    """The potential's differences against the average marginal contribution of a random game."""
+    r = random.Random(2)
+    v = [0, *(r.randrange(1000) for _ in range(15))]
+    df = spark.createDataFrame([(v,)], "v array<long>").select(filter_audit.potentials("v", 4).alias("p"))
+    p = df.first().p
+    for i in range(4):
+        gained = 0
+        for order in permutations(range(4)):
+            before = sum(1 << j for j in order[: order.index(i)])
+            gained += v[before | 1 << i] - v[before]
+        assert p[15] - p[15 ^ 1 << i] == gained
+    assert math.factorial(4) * v[15] == sum(p[15] - p[15 ^ 1 << i] for i in range(4))
+
+
+# Centroids
+
+
+def plain_clusters(rows, k=16, rounds=3):
+    """Plain rounds over Python's whole numbers."""
+    kept = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    hashed = sorted((x for x in kept if x[0] is not None), key=lambda x: (hashlib.sha256(f"1:{x[0]}".encode()).hexdigest(), x[1])) + sorted((x for x in kept if x[0] is None), key=lambda x: x[1])
+    cs = [list(x) for _, x in hashed[:k]]
+    distance = lambda x, c: sum((a - b) ** 2 for a, b in zip(x, c, strict=True))
+    nearest = lambda x: min((distance(x, c), j) for j, c in enumerate(cs))
+    for _ in range(rounds):
+        of = [nearest(x)[1] for _, x in kept]
+        for j in range(len(cs)):
+            if own := [x for (_, x), c in zip(kept, of, strict=True) if c == j]:
+                cs[j] = [sum(col) // len(own) for col in zip(*own, strict=True)]
+    last = [(i, *nearest(x)) for i, x in kept]
+    by = Counter()
+    for _, n, j in last:
+        by[j] += n
+    return sorted(((i, j, n, by[j], sum(by.values()), hashlib.sha256(",".join(map(str, cs[j])).encode()).hexdigest()) for i, n, j in last), key=str)
+
+
+def vectors(r, n, spread, kinds=5):
+    middles = [[r.uniform(-1, 1) for _ in range(64)] for _ in range(kinds)]
+    return [[m + r.gauss(0, spread) for m in r.choice(middles)] for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed, n, spread", [(1, 300, 0.05), (2, 300, 0.6), (3, 10, 0.3), (4, 120, 0.0), (5, 150, 40.0)])
+def test_clusters_against_plain_rounds(spark, seed, n, spread):
+    r = random.Random(seed)
+    rows = [(r.choice([None, *range(n)]) if i % 9 == 0 else i, v) for i, v in enumerate(vectors(r, n, spread))]
+    rows += rows[:20] + [(901, None), (902, [1.0] * 63), (903, [1.0] * 65), (904, [None] + [0.0] * 63), (905, [math.nan] + [0.0] * 63), (906, [math.inf] * 64), (907, []), (908, [-math.inf] + [0.0] * 63)]
+    df = spark.createDataFrame([(*x, 1, "a") for x in rows], "vec_id long, embedding array<double>, cluster int, id string")
+    got = centroids.query(df)
+    assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == plain_clusters(rows)
+
+
+def test_ties_and_empty_clusters(spark):
+    """Equal starting vectors: the smaller number has all, the others stay empty and where they are."""
+    rows = [(i, [0.5] * 64) for i in range(20)] + [(i, [-0.5] * 64) for i in range(20, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, centroids.query(df).collect()), key=str)
+    assert got == plain_clusters(rows) and len({c for _, c, *_ in got}) == 2
+
+
+def test_no_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>")
+    assert centroids.query(df).collect() == [] and centroids.query(df.limit(0)).count() == 0
+    with pytest.raises(Exception, match="fit a long"):
+        centroids.query(spark.createDataFrame([(1, [1e12] * 64)], "vec_id long, embedding array<double>")).count()
+
+
+def test_bounds_spare_work_and_hold():
+    """Rounds in numpy: fewer distances than all are measured once centroids settle, and each bound is a bound."""
+    r = random.Random(11)
+    x = centroids.whole(np.array(vectors(r, 600, 0.2, 12)), 64)
+    history = [x[:8].copy()]
+    s = centroids.States.first(x, history[0])
+    work = []
+    for _ in range(12):
+        history.append(np.array([x[s.own == c].sum(0) // max(1, (s.own == c).sum()) if (s.own == c).any() else history[-1][c] for c in range(8)]))
+        s, n = centroids.reassign(s, np.array(history))
+        work.append(n)
+        exact = np.sqrt(centroids.squared(x, history[-1]).astype(float))
+        assert (s.own == centroids.squared(x, history[-1]).argmin(1)).all()
+        drift = centroids.displacements(np.array(history))
+        assert (s.low - drift[s.times, np.arange(8)] <= exact + 1e-6).all()
+        assert (s.high + drift[s.since, s.own] >= exact[np.arange(len(x)), s.own] - 1e-6).all()
+    assert work[-1] < 0.2 * 8 * len(x)
+
+
+def test_total_displacement_not_the_sum_of_drifts():
+    """A centroid that went and came back loosens nothing."""
+    history = np.array([[[0, 0]], [[30, 40]], [[0, 0]]])
+    assert centroids.displacements(history)[:, 0] == pytest.approx([0, 50, 0])
+
+
+def test_widths_of_stored_numbers():
+    import pyarrow as pa
+
+    x = [np.array([[1, -2], [100, 5]]), np.array([[300, -2]]), np.array([[70_000, -(1 << 27)]])]
+    column = pa.chunked_array([centroids._bytes(centroids._smallest(a)) for a in x]).combine_chunks()
+    assert centroids._wide(column, 2).tolist() == np.concatenate(x).tolist()
+    big = np.array([[1 << 27, 5]])
+    assert centroids.squared(big, np.array([[-(1 << 27), 6]])).tolist() == [[(1 << 56) + 1]]
+
+
+# SQL
+
+
+@pytest.mark.parametrize("name", ["op12_filter_audit", "op13_centroids"])
+def test_against_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "labels", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    want, got = con.sql(ORACLE_SQL[name]), QUERIES[name](spark, DATA)
+    assert sorted(want.columns) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
