@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import sequences as s
 from ..operators import baskets, history, sampling, text, training
 from ..quality import contracts, gate, keys, metrics, rules
-from ..sources import files
+from ..quality.errors import DataValidationError
+from ..sources import files, versions
 from ..sources.schema import spark_schema
 from ..sources.scratch import scratch_path
 from ..sources.star import DUCKDB, basket_tables
@@ -78,6 +79,24 @@ def gated_ingest(spark, d):
     return files.read_parquet(spark, out)
 
 
+_ORDERS_TABLE = {"name": "star_orders", "grain": ["o_orderkey"], "schema": [contracts.column("o_orderkey", "long"), contracts.column("o_custkey", "long", minimum=0), contracts.column("o_orderstatus", "string")], "rules": [{"name": "known_status", "expression": "o_orderstatus IN ('O', 'F', 'P')"}]}
+
+
+@query("""SELECT 1 AS version, o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT 2, o_orderkey, o_custkey, o_orderstatus FROM orders""", star=False)
+def versioned_table(spark, d):
+    """Two commits of a table, and a third write that its contract refuses; both versions read again."""
+    path, orders = scratch_path(spark, "versions"), _table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    gate.gated_write(orders.filter("o_orderkey % 3 = 0"), _ORDERS_TABLE, path)
+    gate.gated_write(orders, _ORDERS_TABLE, path)
+    try:
+        gate.gated_write(orders.withColumn("o_orderstatus", F.lit("?")), _ORDERS_TABLE, path)
+    except DataValidationError:
+        pass
+    of = lambda v: files.read_parquet(spark, path, v).select(F.lit(v).alias("version"), "*")
+    return reduce(DataFrame.unionByName, map(of, versions.versions(spark, path)))
+
+
 # Projections and filters
 
 
@@ -381,6 +400,16 @@ def dq_uniqueness(spark, d):
     return keys.uniqueness(_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+_KEYS = [["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"], ["l_orderkey"], ["l_partkey", "l_suppkey", "l_shipdate"]]
+
+
+@query(" UNION ALL ".join(f"SELECT '{','.join(k)}' AS columns, coalesce(sum(n), 0)::BIGINT AS duplicate_rows, count(*) AS duplicate_keys FROM (SELECT count(*) AS n FROM lineitem GROUP BY {','.join(k)} HAVING count(*) > 1)" for k in _KEYS), star=False)
+def dq_uniqueness_all(spark, d):
+    """Four keys in one pass over the lines."""
+    found = keys.uniqueness_of(_table(spark, d, "lineitem"), _KEYS)
+    return spark.createDataFrame([(",".join(k), *n) for k, n in zip(_KEYS, found, strict=True)], "columns string, duplicate_rows long, duplicate_keys long")
+
+
 @query("SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem WHERE (l_orderkey, l_partkey) IN (SELECT (l_orderkey, l_partkey) FROM lineitem GROUP BY ALL HAVING count(*) > 1)", star=False)
 def dq_duplicate_rows(spark, d):
     return keys.duplicate_rows(_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"), ["l_orderkey", "l_partkey"])
@@ -392,6 +421,18 @@ def dq_foreign_key(spark, d):
     return keys.orphans(_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), parents, ["l_partkey"], ["p_partkey"])
 
 
+_PARENTS = {"part": "p_partkey % 10 <> 0", "supplier": "s_suppkey % 4 <> 1", "orders": "o_orderkey % 100 <> 7"}
+_FOREIGN = [{"name": f"{p}_fk", "child_columns": [c], "dataset": p, "parent_columns": [k]} for p, c, k in (("part", "l_partkey", "p_partkey"), ("supplier", "l_suppkey", "s_suppkey"), ("orders", "l_orderkey", "o_orderkey"))]
+
+
+@query(" UNION ALL ".join(f"SELECT '{fk['name']}' AS rule_name, {fk['child_columns'][0]}::BIGINT AS key, count(*) AS n FROM lineitem WHERE {fk['child_columns'][0]} NOT IN (SELECT {fk['parent_columns'][0]} FROM {fk['dataset']} WHERE {_PARENTS[fk['dataset']]}) GROUP BY ALL" for fk in _FOREIGN), star=False)
+def dq_foreign_keys_all(spark, d):
+    """Keys without a parent, of three foreign keys in one pass over the lines."""
+    parents = {p: _table(spark, d, p).filter(test) for p, test in _PARENTS.items()}
+    lost = keys.orphan_keys(_table(spark, d, "lineitem"), parents, _FOREIGN)
+    return lost.select(F.element_at(F.array(*(F.lit(fk["name"]) for fk in _FOREIGN)), F.col("fk") + 1).alias("rule_name"), F.coalesce("k0_0", "k1_0", "k2_0").cast("long").alias("key"), "n")
+
+
 _FIELDS = [
     {"name": "first_line", "aggregation": "min", "column": "l_linenumber", "partition_by": ["order_key"]},
     {"name": "last_line", "aggregation": "max", "column": "l_linenumber", "partition_by": ["order_key"]},
@@ -420,7 +461,27 @@ def dq_derived_fields(spark, d):
 
 @query("WITH" + _FIELD_SQL + " SELECT order_key, l_linenumber, l_partkey FROM r WHERE NOT gapless", star=False)
 def dq_partition_rules(spark, d):
-    return rules.violations(dq_derived_fields(spark, d), {"expression": "gapless"}).select("order_key", "l_linenumber", "l_partkey")
+    rule = {"name": "gapless", "expression": "gapless"}
+    return rules.Judged(_lines_with_gaps(spark, d), _FIELDS, [rule]).violations(rule).select("order_key", "l_linenumber", "l_partkey")
+
+
+_GROUP_RULES = {"gapless": "gapless", "starts_at_one": "first_line = 1", "few_returned": "returned * 2 <= lines", "known_group": "last_line IS NOT NULL"}
+_MIXED_RULES = {"last_line_kept": "l_linenumber <> last_line OR l_returnflag <> 'R'"}
+
+
+@query("WITH" + _FIELD_SQL + " SELECT " + ", ".join(f"count_if(NOT ({e}))::BIGINT AS {n}" for n, e in _GROUP_RULES.items()) + " FROM r", star=False)
+def dq_group_rules(spark, d):
+    """Rules on groups, counted from the groups alone: the plan has no join."""
+    judged = rules.Judged(_lines_with_gaps(spark, d), _FIELDS, [{"name": n, "expression": e} for n, e in _GROUP_RULES.items()])
+    (counts,) = judged.group_counts()
+    return counts
+
+
+@query("WITH" + _FIELD_SQL + ", t AS (" + " UNION ALL ".join(f"SELECT '{n}' AS rule_name, row_number() OVER (ORDER BY order_key NULLS FIRST, l_linenumber, l_partkey)::INT AS place, order_key, l_linenumber, l_partkey FROM r WHERE NOT ({e})" for n, e in (_GROUP_RULES | _MIXED_RULES).items()) + ") SELECT * FROM t WHERE place <= 20", star=False)
+def dq_violation_samples(spark, d):
+    """The first rows that break each rule, of all rules at once."""
+    contract = {"grain": ["order_key", "l_linenumber", "l_partkey"], "schema": [], "derived_fields": _FIELDS, "rules": [{"name": n, "expression": e} for n, e in (_GROUP_RULES | _MIXED_RULES).items()]}
+    return gate.violation_rows(_lines_with_gaps(spark, d), contract).drop("l_returnflag")
 
 
 _RULES = {"cheap_when_many": "l_quantity < 40 OR l_discount >= 0.03", "no_tax_on_returns": "l_returnflag <> 'R' OR l_tax < 0.05", "second_line_is_unknown": "nullif(l_linenumber, 2) <> 1"}
@@ -447,8 +508,7 @@ _KEYED = {
 UNION ALL (SELECT 'part_fk', NULL, l_partkey, count(*) AS n FROM lineitem WHERE l_partkey % 10 = 0 GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 20)""", star=False)
 def dq_key_samples(spark, d):
     lines, parents = _table(spark, d, "lineitem"), {"part": _table(spark, d, "part").filter("p_partkey % 10 <> 0")}
-    found = gate.key_samples(lines, _KEYED) | gate.orphan_samples(lines, _KEYED, parents)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.select(F.lit(name).alias("rule_name"), "*") for name, df in found.items()))
+    return gate.repeated_rows(lines, _KEYED).unionByName(gate.orphan_rows(lines, _KEYED, parents), allowMissingColumns=True).drop("place")
 
 
 def _report_sql() -> str:

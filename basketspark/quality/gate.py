@@ -1,16 +1,23 @@
-"""The gate: columns, types, column constraints, keys, foreign keys and rules; a report; and writing only what passed."""
+"""The gate: columns, types, column constraints, keys, foreign keys and rules; a report; and writing only what passed.
+
+A table is read as seldom as can be. What needs rows alone (constraints, rules on a row's own columns) is one aggregate, which a
+gated write gets as it writes; all keys are one pass, all foreign keys one, the rules on one partitioning one over its groups, and rules
+that need rows and groups one. Samples of what failed are one pass for rules, one for keys and one for foreign keys.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..sources.files import drop_path, read_parquet, replace_path, staging_path, write_parquet
+from ..sources import versions
+from ..sources.files import write_parquet
 from ..sources.schema import accepts
 from . import keys, metrics, rules
-from .errors import DataValidationError, InvalidConstraintError
+from .errors import DataValidationError, EmptyDatasetError, InvalidConstraintError
 from .wellformed import check_contract
 
 SEVERITIES = ("info", "warning", "error", "critical")
@@ -26,6 +33,8 @@ class Report:
     dataset: str
     rows: list[tuple] = field(default_factory=list)
     duplicate_keys: dict[str, int] = field(default_factory=dict)
+    #: Of a write that failed: some offending rows or keys by rule.
+    samples: dict[str, list[Row]] = field(default_factory=dict)
 
     @property
     def has_errors(self) -> bool:
@@ -99,34 +108,34 @@ def unique_keys(contract: dict) -> list[list[str]]:
     return [k for i, k in enumerate(every) if k not in every[:i]]
 
 
-def findings(df: DataFrame, contract: dict, references: dict[str, DataFrame] | None = None) -> Report:
-    """The report on a table whose columns are as the contract says; raises for unusable contracts and empty tables."""
+def findings(df: DataFrame, contract: dict, references: dict[str, DataFrame] | None = None, counted: dict[str, int] | None = None) -> Report:
+    """The report on a table whose columns are as the contract says; raises for unusable contracts and empty tables. ``counted`` has
+    what a pass over the rows counts (``row_counts``) if that is known already."""
     check_contract(contract)
     name, report = contract.get("name", ""), Report(contract.get("name", ""))
-    derived = contract.get("derived_fields") or []
-    own = metrics.column_metrics(contract)
-    checks = rules.rule_metrics(contract.get("rules"))
-    # Without partition aggregates the rules are counted in the same pass over the table as the constraints.
-    apart = any("aggregation" in f for f in derived)
-    got = metrics.counts(df if apart else rules.with_derived_fields(df, derived), own + ([] if apart else checks), name)
-    total = got["total"]
+    own, judged_rules = metrics.column_metrics(contract), rules.Judged(df, contract.get("derived_fields"), contract.get("rules"))
+    foreign = keys.foreign_keys(contract)
+    for fk in foreign:
+        if fk["dataset"] not in (references or {}):
+            raise ValueError(f"{name}: the parent dataset {fk['dataset']} of {fk['name']} is not given")
+    got = metrics.counts(judged_rules.rows, own + judged_rules.row_metrics(), name) if counted is None else counted
+    if not got["total"]:
+        raise EmptyDatasetError(f"dataset {name} has no rows")
 
     def say(rule: str, category: str, columns, failed: int, most: float = 0.0, severity: str = "critical") -> None:
-        report.rows.append((name, rule, category, ",".join(columns), failed, total, *judged(failed, total, most, severity)))
+        report.rows.append((name, rule, category, ",".join(columns), failed, got["total"], *judged(failed, got["total"], most, severity)))
 
     for m in own:
         say(m.rule, m.category, m.columns, got[m.rule], *threshold(contract, m.columns[0], m.category))
-    for key in unique_keys(contract):
-        rule, found = f"{'_'.join(key)}_uniqueness", keys.uniqueness(df, key).first()
-        report.duplicate_keys[rule] = found["duplicate_keys"]
-        say(rule, "uniqueness", key, found["duplicate_rows"])
-    for fk in keys.foreign_keys(contract):
-        if fk["dataset"] not in (references or {}):
-            raise ValueError(f"{name}: the parent dataset {fk['dataset']} of {fk['name']} is not given")
-        say(fk["name"], "foreign_key", fk["child_columns"], keys.orphans(df, references[fk["dataset"]], fk["child_columns"], fk["parent_columns"]).count())
-    if apart and checks:
-        got = metrics.counts(rules.with_derived_fields(df, derived), checks, name)
-    for m in checks:
+    every = unique_keys(contract)
+    for key, (rows, again) in zip(every, keys.uniqueness_of(df, every), strict=True):
+        rule = f"{'_'.join(key)}_uniqueness"
+        report.duplicate_keys[rule] = again
+        say(rule, "uniqueness", key, rows)
+    for fk, lost in zip(foreign, keys.orphan_counts(df, references or {}, foreign), strict=True):
+        say(fk["name"], "foreign_key", fk["child_columns"], lost)
+    got = got | judged_rules.counts()
+    for m in rules.rule_metrics(contract.get("rules")):
         say(m.rule, m.category, (), got[m.rule])
     return report
 
@@ -143,40 +152,90 @@ def validate(df: DataFrame, contract: dict, references: dict[str, DataFrame] | N
     return report
 
 
-def gated_write(df: DataFrame, contract: dict, path: str, references: dict[str, DataFrame] | None = None) -> Report:
-    """Write beside the target, validate what was written, then put it in the target's place.
+def gated_write(df: DataFrame, contract: dict, path: str, references: dict[str, DataFrame] | None = None, keep: int = versions.KEEP) -> Report:
+    """Write a new version of the table, counting as it is written, and commit it if it meets its contract.
 
-    The table is computed once, by a write that survives lost executors, and a failed contract or write leaves the target as it
-    was. Columns and types are tested before anything is written.
+    The table is computed once, by a write that survives lost executors; constraints and rules on rows are counted by that write, and
+    only columns that keys, foreign keys and rules on groups need are read again. A failed contract or write leaves the target at the
+    version it had; the error's report then has samples of what failed. Columns and types are tested before anything is written. The
+    ``keep`` newest versions stay readable.
     """
     check_contract(contract)
     if wrong := check_columns(df, contract) or check_types(df, contract):
         raise DataValidationError(Report(contract.get("name", "")), "; ".join(wrong))
-    spark, staged = df.sparkSession, staging_path(path)
+    spark, folder = df.sparkSession, versions.new_folder()
+    at, committed = f"{path.rstrip('/')}/{folder}", False
+    for m in metrics.column_metrics(contract):
+        threshold(contract, m.columns[0], m.category)  # an unusable one is an error before the table is written
+    on_rows = rules.Judged(df, contract.get("derived_fields"), contract.get("rules"))
     try:
-        write_parquet(df, staged)
-        report = validate(read_parquet(spark, staged), contract, references)
-        replace_path(spark, staged, path)
+        seen = Observation()
+        wanted = metrics.column_metrics(contract) + on_rows.row_metrics()
+        write_parquet(on_rows.rows.observe(seen, *metrics.counting(wanted)).select(df.columns), at)
+        written = spark.read.parquet(at)
+        report = findings(written, contract, references, seen.get)
+        if report.has_errors:
+            report.samples = samples(written, contract, references, [r[1] for r in report.rows if r[7] == "failed"])
+            raise DataValidationError(report, ", ".join(r[1] for r in report.rows if r[7] == "failed"))
+        versions.commit(spark, path, folder, report.rows[0][5] if report.rows else None, written.schema.json())
+        committed = True
+        versions.retire(spark, path, keep)
         return report
     finally:
-        drop_path(spark, staged)
+        if not committed:
+            versions.discard(spark, path, folder)
+
+
+def violation_rows(df: DataFrame, contract: dict, only: list[str] | None = None) -> DataFrame:
+    """(rule_name, place, the table's columns): of each rule some rows that break it, smallest grain first, all in one pass."""
+    chosen = [r for r in contract.get("rules") or [] if only is None or r["name"] in only]
+    made, by = rules.Judged(df, contract.get("derived_fields"), contract.get("rules")).joined(chosen), contract.get("grain") or df.columns
+    broken = F.array_compact(F.array(*(F.when(~F.expr(r["expression"]), F.lit(r["name"])) for r in chosen))) if chosen else F.array().cast("array<string>")
+    first = F.row_number().over(Window.partitionBy("_rule").orderBy(*by))
+    found = made.select(*df.columns, F.explode(broken).alias("_rule")).withColumn("_place", first).filter(F.col("_place") <= SAMPLES["row_logic"])
+    return found.select(F.col("_rule").alias("rule_name"), F.col("_place").alias("place"), *df.columns)
+
+
+def repeated_rows(df: DataFrame, contract: dict) -> DataFrame:
+    """(rule_name, place, columns of the keys, n): some keys that occur more than once, the most frequent first, then the smallest."""
+    every = unique_keys(contract)
+    return keys.repeated_samples(df, every, [f"{'_'.join(k)}_uniqueness" for k in every], SAMPLES["uniqueness"])
+
+
+def orphan_rows(df: DataFrame, contract: dict, references: dict[str, DataFrame]) -> DataFrame:
+    """(rule_name, place, child columns, n): some keys without a parent and the rows that have them, the most frequent first."""
+    return keys.orphan_samples(df, references, keys.foreign_keys(contract), SAMPLES["foreign_key"])
+
+
+def samples(df: DataFrame, contract: dict, references: dict[str, DataFrame] | None, failed: list[str]) -> dict[str, list[Row]]:
+    """Samples of the failed rules, keys and foreign keys by name, in order; a bounded number of rows each."""
+    names = [f"{'_'.join(k)}_uniqueness" for k in unique_keys(contract)]
+    found = []
+    if any(r["name"] in failed for r in contract.get("rules") or []):
+        found.append(violation_rows(df, contract, failed))
+    if any(n in failed for n in names):
+        found.append(repeated_rows(df, contract))
+    if any(fk["name"] in failed for fk in keys.foreign_keys(contract)):
+        found.append(orphan_rows(df, contract, references or {}))
+    out: dict[str, list[Row]] = {}
+    for row in (r for f in found for r in sorted(f.collect(), key=lambda r: (r.rule_name, r.place))):
+        out.setdefault(row.rule_name, []).append(row)
+    return out
 
 
 def violation_samples(df: DataFrame, contract: dict) -> dict[str, DataFrame]:
-    """Some rows that break each rule, smallest grain first."""
-    made, by = rules.with_derived_fields(df, contract.get("derived_fields")), contract.get("grain") or df.columns
-    return {r["name"]: rules.violations(made, r).orderBy(*by).limit(SAMPLES["row_logic"]) for r in contract.get("rules") or []}
+    """The rows of ``violation_rows`` by rule."""
+    found = violation_rows(df, contract)
+    return {r["name"]: found.filter(F.col("rule_name") == r["name"]).orderBy("place").select(df.columns) for r in contract.get("rules") or []}
 
 
 def key_samples(df: DataFrame, contract: dict) -> dict[str, DataFrame]:
-    """Some keys that occur more than once, with how often (``n``), by rule: the most frequent first, then the smallest."""
-    return {f"{'_'.join(k)}_uniqueness": keys.repeated_keys(df, k).orderBy(F.desc("n"), *k).limit(SAMPLES["uniqueness"]) for k in unique_keys(contract)}
+    """The rows of ``repeated_rows`` by rule: the key's columns and ``n``."""
+    found, every = repeated_rows(df, contract), {f"{'_'.join(k)}_uniqueness": k for k in unique_keys(contract)}
+    return {rule: found.filter(F.col("rule_name") == rule).orderBy("place").select(*k, "n") for rule, k in every.items()}
 
 
 def orphan_samples(df: DataFrame, contract: dict, references: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Some keys without a parent, with the rows that have them (``n``), by foreign key: the most frequent first."""
-    out = {}
-    for fk in keys.foreign_keys(contract):
-        lost = keys.orphans(df, references[fk["dataset"]], fk["child_columns"], fk["parent_columns"])
-        out[fk["name"]] = lost.groupBy(*fk["child_columns"]).agg(F.count("*").alias("n")).orderBy(F.desc("n"), *fk["child_columns"]).limit(SAMPLES["foreign_key"])
-    return out
+    """The rows of ``orphan_rows`` by foreign key: its child columns and ``n``."""
+    found = orphan_rows(df, contract, references)
+    return {fk["name"]: found.filter(F.col("rule_name") == fk["name"]).orderBy("place").select(*fk["child_columns"], "n") for fk in keys.foreign_keys(contract)}

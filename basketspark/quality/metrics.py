@@ -97,9 +97,14 @@ def column_metrics(contract: dict) -> list[Metric]:
     return [Metric(f"{c['name']}_{kind}", kind, (c["name"],), failed) for c, kind, failed in found if failed is not None]
 
 
+def counting(metrics: list[Metric]) -> list[Column]:
+    """``total`` and a count of failures for each metric, named by its rule."""
+    return [F.count("*").alias("total"), *(F.count_if(m.failed).alias(m.rule) for m in metrics)]
+
+
 def counted(df: DataFrame, metrics: list[Metric]) -> DataFrame:
-    """One row: ``total`` and a count of failures for each metric, named by its rule."""
-    return df.agg(F.count("*").alias("total"), *(F.count_if(m.failed).alias(m.rule) for m in metrics))
+    """One row of these counts."""
+    return df.agg(*counting(metrics))
 
 
 def counts(df: DataFrame, metrics: list[Metric], dataset: str = "") -> dict[str, int]:

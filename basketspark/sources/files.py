@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from . import versions
+
 #: How the raw files are quoted.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": "\\", "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE"}
 
@@ -17,45 +17,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A table of versions as its newest (or the named) commit says, or a folder or file of plain Parquet."""
+    return spark.read.parquet(versions.data_path(spark, path, version))
 
 
 def read_tables(spark: SparkSession, folder: str, names: list[str], suffix: str = "") -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}{suffix}") for n in names}
+    return {n: read_parquet(spark, f"{folder.rstrip('/')}/{n}{suffix}") for n in names}
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
-
-
-def staging_path(path: str) -> str:
-    """A fresh path beside another, in the same store. Its name is one that readers of the folder above leave out."""
-    above, _, name = path.rstrip("/").rpartition("/")
-    return f"{above}{'/' if '/' in path.rstrip('/') else ''}_staged-{name}-{uuid4().hex}"
-
-
-def _store(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def replace_path(spark: SparkSession, staged: str, path: str) -> None:
-    """Rename a written table to its place; one that stands there is set aside first and put back if that fails."""
-    store, new = _store(spark, staged)
-    (_, at), (_, old) = _store(spark, path), _store(spark, staging_path(path))
-    there = store.exists(at)
-    if there and not store.rename(at, old):
-        raise OSError(f"{path} can't be set aside")
-    store.mkdirs(at.getParent()) if at.getParent() is not None else None
-    if not store.rename(new, at):
-        if there:
-            store.rename(old, at)
-        raise OSError(f"{staged} can't be renamed to {path}")
-    if there:
-        store.delete(old, True)
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    store, at = _store(spark, path)
-    store.delete(at, True)

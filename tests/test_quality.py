@@ -10,6 +10,7 @@ from basketspark.quality.contracts import column, contract
 from basketspark.quality.errors import DataValidationError, EmptyDatasetError, InvalidConstraintError, InvalidContractError
 from basketspark.quality.wellformed import check_contract
 from basketspark.sources import schema
+from basketspark.sources.files import read_parquet
 
 ORDER_SCHEMA = "order_id int, user_id int, eval_set string, order_number int, order_dow int, order_hour_of_day int, days_since_prior_order double"
 ORDERS = [(1, 1, "prior", 1, 0, 9, None), (2, 1, "prior", 2, 1, 9, 5.0), (3, 1, "train", 3, 2, 9, 7.0), (4, 2, "prior", 1, 3, 9, None), (5, 2, "test", 2, 4, 9, 10.0)]
@@ -156,13 +157,13 @@ def test_nothing_is_written_on_failure(spark, tmp_path):
         gate.gated_write(orders(spark, {(0, 0): 2}), contracts.ORDERS, out)
     assert not os.path.exists(out) and os.listdir(tmp_path) == []
     gate.gated_write(orders(spark), contracts.ORDERS, out)
-    assert spark.read.parquet(out).count() == 5
+    assert read_parquet(spark, out).count() == 5
     with pytest.raises(DataValidationError):
         gate.gated_write(orders(spark, {(0, 1): 0}), contracts.ORDERS, out)
-    assert spark.read.parquet(out).count() == 5 and os.listdir(tmp_path) == ["out"]
+    assert read_parquet(spark, out).count() == 5 and os.listdir(tmp_path) == ["out"]
     gate.gated_write(orders(spark).filter("user_id = 1"), contracts.ORDERS, out)
-    gate.gated_write(spark.read.parquet(out), contracts.ORDERS, out)  # a table may replace itself
-    assert spark.read.parquet(out).count() == 3 and os.listdir(tmp_path) == ["out"]
+    gate.gated_write(read_parquet(spark, out), contracts.ORDERS, out)  # a table may replace itself
+    assert read_parquet(spark, out).count() == 3 and os.listdir(tmp_path) == ["out"]
     assert gate.violation_samples(orders(spark, {(2, 3): 4}), contracts.ORDERS)["contiguous_order_numbers"].count() == 3
 
 

@@ -8,7 +8,7 @@ import pytest
 from basketspark import registry
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "customer orders lineitem part events documents".split()
+TABLES = "customer orders lineitem part supplier events documents".split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
