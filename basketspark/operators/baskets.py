@@ -48,9 +48,13 @@ def user_split(last: Column) -> Column:
 def order_sequences(lines: DataFrame) -> DataFrame:
     """One row for each order: its facts, and its lines in cart order as ``_``-joined texts."""
     items = F.sort_array(F.collect_list(F.struct("add_to_cart_order", "product_id", "reordered", "aisle_id", "department_id")))
-    grouped = lines.groupBy("user_id", "order_id").agg(*(F.min(c).alias(c) for c in ORDER_FACTS), items.alias("i"))
-    text = lambda field: joined(F.col(f"i.{field}"), "_")
-    return grouped.select("user_id", "order_id", *ORDER_FACTS, text("product_id").alias("product_ids"), text("reordered").alias("reorders"), text("department_id").alias("department_ids"), text("aisle_id").alias("aisle_ids"))
+    return sequences_of(lines.groupBy("user_id", "order_id").agg(*(F.min(c).alias(c) for c in ORDER_FACTS), items.alias("items")))
+
+
+def sequences_of(baskets: DataFrame) -> DataFrame:
+    """The same of staged baskets."""
+    text = lambda field: joined(F.col(f"items.{field}"), "_")
+    return baskets.select("user_id", "order_id", *ORDER_FACTS, text("product_id").alias("product_ids"), text("reordered").alias("reorders"), text("department_id").alias("department_ids"), text("aisle_id").alias("aisle_ids"))
 
 
 def user_sequences(orders: DataFrame) -> DataFrame:
@@ -65,5 +69,11 @@ def user_product_count(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("eval_set") == "prior").groupBy("user_id", "product_id").agg(F.count("*").cast("int").alias("count"))
 
 
+def counts_of(baskets: DataFrame) -> DataFrame:
+    """The same of staged baskets."""
+    bought = baskets.filter(F.col("eval_set") == "prior").select("user_id", F.explode("items.product_id").alias("product_id"))
+    return bought.groupBy("user_id", "product_id").agg(F.count("*").cast("int").alias("count"))
+
+
 def aisle_departments(products: DataFrame) -> DataFrame:
     return products.select("aisle_id", "department_id").distinct()

@@ -2,8 +2,10 @@
 
 Lines are dealt by user and order once, so that a user with very many lines is no task of its own; a basket's lines become one
 sorted array, from which both its figures and its candidates are taken. Candidates are gathered by (user, product), baskets by user,
-and the two meet last: which order is the target is only known then. A candidate's values by step are looked up in a map of the
-steps that it is in, instead of searching every basket for every candidate.
+and the two meet last: which order is the target is only known then. A candidate's entry is one number (its order's in the upper half, its
+place in the lower), so that both uses of the entries, a candidate's list and its first order, share one exchange, and sums of firsts
+alone go on to the baskets. A candidate's texts are written from entry to entry, with the zeros between them repeated, instead of going
+through every basket for every candidate; texts that all candidates of a user share are made once a user.
 
 A user's last order is the target, all before it history; a single order is history. The orders' times also cover the target.
 """
@@ -29,6 +31,18 @@ def _baskets(lines: DataFrame, columns: list[str]) -> DataFrame:
     return lines.groupBy("user_id", "order_id", "order_number").agg(items.alias("items"))
 
 
+#: What a staged basket keeps of its lines, in the order that sorts them, and of its order.
+ITEMS = ["add_to_cart_order", "product_id", "reordered", "aisle_id", "department_id"]
+FACTS = ["order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set"]
+
+
+def staged_baskets(lines: DataFrame) -> DataFrame:
+    """(user_id, order_id, order_number, facts, items): all that sequences, histories, sizes and counts need of the lines. Written once,
+    it spares each of them the shuffle of the lines; ``*_of`` functions and those of ``baskets`` read it, each only its columns."""
+    items = F.sort_array(F.collect_list(F.struct(*ITEMS)))
+    return lines.groupBy("user_id", "order_id", "order_number").agg(*(F.min(c).alias(c) for c in FACTS), items.alias("items"))
+
+
 def _users(baskets: DataFrame, facts: list[str]) -> DataFrame:
     """A row for each user: ``h`` the history's baskets, ``t`` the target's (null without one), its number (null without one), times
     as texts, eval_set if the baskets have it."""
@@ -42,8 +56,9 @@ def _users(baskets: DataFrame, facts: list[str]) -> DataFrame:
     return grouped.select("user_id", "target", history.alias("h"), target.alias("t"), *[user_split(F.element_at("o", -1)["eval_set"]).alias("eval_set")] * split, *(joined(F.col(f"o.{f}")).alias(name) for name, f in TIMES.items()))
 
 
-def _times(items: str = "items", *more: str) -> dict[str, Column]:
-    return {c: F.array_min(F.col(f"{items}.{c}")) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", *more)}
+def _times(baskets: DataFrame, *more: str) -> dict[str, Column]:
+    """An order's facts, from its lines unless the basket has them."""
+    return {c: F.array_min(F.col(f"items.{c}")) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", *more) if c not in baskets.columns}
 
 
 def _in_history(entries: str = "entries") -> Column:
@@ -55,36 +70,77 @@ def _by_step(value) -> Column:
     return joined(F.transform("h", value))
 
 
+def _order(entry: Column | str) -> Column:
+    return F.shiftright(entry, 32).cast("int")
+
+
+def _place(entry: Column) -> Column:
+    return entry.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _written() -> Column:
+    """(flags, places): the texts of a candidate by step, from its entries ``before`` the target and the numbers of the ``steps``."""
+    zeros = lambda n: F.repeat(F.lit("0 "), n)
+
+    def add(done: Column, e: Column) -> Column:
+        at = F.array_position("steps", _order(e)).cast("int")
+        gap = zeros(at - done.at - 1)
+        return F.struct(at.alias("at"), F.concat(done.flags, gap, F.lit("1 ")).alias("flags"), F.concat(done.places, gap, _place(e).cast("string"), F.lit(" ")).alias("places"))
+
+    def end(done: Column) -> Column:
+        rest = zeros(F.size("steps") - done.at)
+        return F.struct(*(F.rtrim(F.concat(done[c], rest)).alias(c) for c in ("flags", "places")))
+
+    return F.aggregate("before", F.struct(F.lit(0).alias("at"), F.lit("").alias("flags"), F.lit("").alias("places")), add, end)
+
+
+def _entries(baskets: DataFrame, kind, with_none: bool) -> DataFrame:
+    """(user_id, product_id, none, entry): a row for each basket and different product in it, its first place counting; and of product
+    0, at place 0 with ``none``, for each basket if asked for."""
+    entry = lambda place: F.shiftleft(F.col("order_number").cast("long"), 32).bitwiseOR(place.cast("long"))
+    own = F.transform("items", lambda x, i: F.struct(x.product_id.alias("product_id"), (i + 1).alias("place"), F.lit(False).alias("none")))
+    none = F.array(F.struct(F.lit(0).cast(kind).alias("product_id"), F.lit(0).alias("place"), F.lit(True).alias("none")))
+    every = baskets.select("user_id", "order_number", F.explode(F.concat(own, none) if with_none else own).alias("x"))
+    every = every.select("user_id", "x.product_id", *["x.none"] * with_none, entry(F.col("x.place")).alias("entry")).repartition("user_id", "product_id")
+    return every.groupBy("user_id", "product_id", *["none"] * with_none, F.shiftright("entry", 32).alias("_order")).agg(F.min("entry").alias("entry")).drop("_order")
+
+
 def _histories(lines: DataFrame, targets: DataFrame, products: DataFrame, with_none: bool) -> DataFrame:
-    """Histories of products and, if asked for, of product 0 for each user, from one exchange of the lines."""
-    baskets = _baskets(lines, ["reordered", "order_dow", "order_hour_of_day", "days_since_prior_order"])
-    placed = F.transform("items", lambda x, i: F.struct(x.product_id.alias("product_id"), (i + 1).alias("place"), F.lit(False).alias("none")))
-    none = F.array(F.struct(F.lit(0).cast(lines.schema["product_id"].dataType).alias("product_id"), F.lit(0).alias("place"), F.lit(True).alias("none")))
-    own = baskets.select("user_id", "order_number", F.explode(F.concat(placed, none) if with_none else placed).alias("x")).select("user_id", "order_number", "x.*").repartition("user_id", "product_id")
-    own = own.groupBy("user_id", "product_id", "none", "order_number").agg(F.min("place").alias("place"))
-    candidates = own.groupBy("user_id", "product_id", "none").agg(F.sort_array(F.collect_list(F.struct("order_number", "place"))).alias("entries"))
-    again = candidates.filter(~F.col("none")).select("user_id", F.explode(F.slice("entries", 2, 1 << 30)).alias("e")).groupBy("user_id", "e.order_number").agg(F.count("*").alias("again"))
-    figures = baskets.withColumns({**_times(), "size": F.size("items"), "reorders": F.aggregate("items", F.lit(0), lambda n, x: n + F.coalesce(x.reordered, F.lit(0)).cast("int")), "any": F.array_max("items.reordered")}).drop("items")
-    figures = figures.join(again, ["user_id", "order_number"], "left").withColumn("again", F.coalesce("again", F.lit(0)))
+    """Histories of products and, if asked for, of product 0 for each user, from one exchange of the baskets' lines."""
+    return histories_of(_baskets(lines, ["reordered", "order_dow", "order_hour_of_day", "days_since_prior_order"]), targets, products, with_none)
+
+
+def histories_of(baskets: DataFrame, targets: DataFrame, products: DataFrame, with_none: bool) -> DataFrame:
+    """The same of baskets: (user_id, order_id, order_number, items)."""
+    entries = _entries(baskets, products.schema["product_id"].dataType, with_none)
+    by, none = ["user_id", "product_id", *["none"] * with_none], F.col("none") if with_none else F.lit(False)
+    candidates = entries.groupBy(*by).agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    # What a basket has of products bought before: its different products without those that are in it for the first time.
+    firsts = (entries.filter(~none) if with_none else entries).groupBy("user_id", "product_id").agg(F.min("entry").alias("first")).groupBy("user_id", _order("first").alias("order_number")).agg(F.count("*").cast("int").alias("new"))
+    figures = baskets.withColumns({**_times(baskets), "size": F.size("items"), "different": F.size(F.array_distinct("items.product_id")), "reorders": F.aggregate("items", F.lit(0), lambda n, x: n + F.coalesce(x.reordered, F.lit(0)).cast("int")), "any": F.array_max("items.reordered")}).drop("items")
+    figures = figures.join(firsts, ["user_id", "order_number"], "left").withColumn("again", F.col("different") - F.coalesce("new", F.lit(0)))
+    users = _users(figures, ["size", "again", "reorders", "any"])
+    texts = {"history_order_size": _by_step(lambda x: x.size), "_again": _by_step(lambda x: x.again), "_reorders": _by_step(lambda x: x.reorders), "_nothing": _by_step(lambda x: (x["any"] == 0).cast("int"))}
+    users = users.withColumns(texts).select("user_id", "target", F.col("h.order_number").alias("steps"), F.col("t.any").alias("_any"), *texts, *TIMES)
     zero = F.lit(0).cast("int")
-    step = lambda of, none: _by_step(lambda x: F.when(F.col("none"), none(x)).otherwise(of(x)))
+    before = F.filter("entries", lambda e: F.col("target").isNull() | (_order(e) < F.col("target")))
+    of = lambda yes, no: F.when(none, yes).otherwise(no) if with_none else no
     return (
-        candidates.join(_users(figures, ["size", "again", "reorders", "any"]), "user_id")
-        .withColumn("at", _in_history())
-        .filter(F.col("none") | (F.size("at") > 0))
-        .withColumn("places", F.transform("h", lambda x: F.coalesce(F.try_element_at("at", x.order_number), F.lit(0))))
+        candidates.join(users, "user_id")
+        .withColumn("before", before)
+        .filter(none | (F.size("before") > 0))
+        .withColumn("written", _written())
         .join(targets, "user_id", "left")
         .join(products, "product_id", "left")
         .withColumns(
             {
-                "aisle_id": F.when(F.col("none"), zero).otherwise(F.col("aisle_id")),
-                "department_id": F.when(F.col("none"), zero).otherwise(F.col("department_id")),
-                "product_name": F.when(F.col("none"), "").otherwise(F.col("product_name")),
-                "label": F.when(F.col("train_eval_set") == "train", F.when(F.col("none"), (F.col("t.any") == 0).cast("int")).otherwise(F.coalesce(F.exists("entries", lambda e: e.order_number == F.col("target")), F.lit(False)).cast("int"))).otherwise(-1),
-                "is_ordered_history": F.when(F.col("none"), _by_step(lambda x: (x["any"] == 0).cast("int"))).otherwise(joined(F.transform("places", lambda p: (p > 0).cast("int")))),
-                "position_in_order_history": joined(F.col("places")),
-                "history_order_size": _by_step(lambda x: x.size),
-                "history_reorder_size": step(lambda x: x.again, lambda x: x.reorders),
+                "aisle_id": of(zero, F.col("aisle_id")),
+                "department_id": of(zero, F.col("department_id")),
+                "product_name": of(F.lit(""), F.col("product_name")),
+                "label": F.when(F.col("train_eval_set") == "train", of((F.col("_any") == 0).cast("int"), F.coalesce(F.exists("entries", lambda e: _order(e) == F.col("target")), F.lit(False)).cast("int"))).otherwise(-1),
+                "is_ordered_history": of(F.col("_nothing"), F.col("written.flags")),
+                "position_in_order_history": F.col("written.places"),
+                "history_reorder_size": of(F.col("_reorders"), F.col("_again")),
             }
         )
         .select(PRODUCT_COLUMNS)
@@ -126,9 +182,13 @@ def product_history_all(lines: DataFrame, targets: DataFrame, products: DataFram
 
 def aisle_history(lines: DataFrame, departments: DataFrame) -> DataFrame:
     """A row for each user and aisle of the history; an aisle's position is among the basket's different aisles."""
-    baskets = _baskets(lines, ["aisle_id", "order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set"])
+    return aisles_of(_baskets(lines, ["aisle_id", "order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set"]), departments)
+
+
+def aisles_of(baskets: DataFrame, departments: DataFrame) -> DataFrame:
+    """The same of baskets: (user_id, order_id, order_number, items)."""
     baskets = baskets.withColumn("aisles", F.array_distinct("items.aisle_id"))
-    users = _users(baskets.withColumns({**_times("items", "eval_set"), "size": F.size(F.array_compact("aisles"))}).drop("items", "aisles"), ["size"])
+    users = _users(baskets.withColumns({**_times(baskets, "eval_set"), "size": F.size(F.array_compact("aisles"))}).drop("items", "aisles"), ["size"]).withColumn("aisle_history_size", _by_step(lambda x: x.size))
     own = baskets.select("user_id", "order_number", F.col("items.aisle_id").alias("every"), F.posexplode("aisles").alias("place", "aisle_id"))
     own = own.select("user_id", "order_number", "aisle_id", (F.col("place") + 1).alias("place"), F.size(F.filter("every", lambda x: x.eqNullSafe(F.col("aisle_id")))).alias("n")).repartition("user_id", "aisle_id")
     own = own.groupBy("user_id", "aisle_id", "order_number").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
@@ -145,7 +205,6 @@ def aisle_history(lines: DataFrame, departments: DataFrame) -> DataFrame:
                 "is_ordered_history": joined(F.transform("found", lambda v: v.isNotNull().cast("int"))),
                 "position_in_order": found("place"),
                 "num_products_from_aisle": found("n"),
-                "aisle_history_size": _by_step(lambda x: x.size),
             }
         )
         .select(AISLE_COLUMNS)
@@ -161,5 +220,16 @@ def _figures(lines: DataFrame, facts: list[Column]) -> DataFrame:
 def reorder_size(lines: DataFrame) -> DataFrame:
     """A row for each user: sizes and reorders of the history's baskets; ``label`` is the target's reorders, 0 without one."""
     facts = [F.count("*").cast("int").alias("size"), F.sum("reordered").cast("int").alias("again"), F.min("eval_set").alias("eval_set")]
-    users = _users(_figures(lines, facts), ["size", "again"])
+    return _sizes(_figures(lines, facts))
+
+
+def sizes_of(baskets: DataFrame) -> DataFrame:
+    """The same of staged baskets. A basket whose lines have no value for ``reordered`` has no sum."""
+    known = F.exists("items.reordered", lambda x: x.isNotNull())
+    again = F.when(known, F.aggregate("items.reordered", F.lit(0), lambda n, x: n + F.coalesce(x, F.lit(0)).cast("int")))
+    return _sizes(baskets.select("user_id", "order_number", *FACTS, F.size("items").alias("size"), again.alias("again")))
+
+
+def _sizes(figures: DataFrame) -> DataFrame:
+    users = _users(figures, ["size", "again"])
     return users.withColumns({"order_sizes": F.col("h.size"), "reorder_sizes": F.col("h.again"), "label": F.coalesce("t.again", F.lit(0))}).select(REORDER_COLUMNS)

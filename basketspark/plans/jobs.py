@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import baskets, history, sampling, text, training
 from ..quality import contracts
 from ..quality.gate import Report, gated_write
-from ..sources.files import read_csv, read_parquet, read_tables, write_parquet
+from ..sources.files import drop_path, read_csv, read_parquet, read_tables, write_bucketed, write_parquet
 from ..sources.schema import spark_schema
+from ..sources.scratch import scratch_path
 
 #: Raw table: its contract, and its parents.
 RAW = {
@@ -77,6 +79,36 @@ def user_product_count(spark: SparkSession, silver_path: str, out: str) -> Repor
     return gated_write(baskets.user_product_count(read_parquet(spark, silver_path)), contracts.USER_PRODUCT_COUNT, out)
 
 
+def gold(spark: SparkSession, silver_path: str, bronze_path: str, out: str, pad_length: int = training.PAD_LENGTH) -> dict[str, Report]:
+    """All tables that come from the lines (users, product_history, aisle_history, reorder_size_training, user_product_count, by these
+    names below ``out``) with one shuffle of the lines: they are staged as baskets first, which each table then reads."""
+    t, staged = read_tables(spark, bronze_path, ["orders", "products"]), scratch_path(spark, "baskets")
+    try:
+        write_parquet(history.staged_baskets(read_parquet(spark, silver_path)), staged)
+        all_baskets = spark.read.parquet(staged)
+        made = {
+            "users": (baskets.user_sequences(baskets.sequences_of(all_baskets)), contracts.USER_DATA),
+            "product_history": (history.histories_of(all_baskets, baskets.target_orders(t["orders"]), t["products"], True), contracts.PRODUCT_HISTORY),
+            "aisle_history": (history.aisles_of(all_baskets, baskets.aisle_departments(t["products"])), contracts.AISLE_HISTORY),
+            "reorder_size_training": (training.reorder_size_training(history.sizes_of(all_baskets), pad_length), contracts.reorder_size_training(pad_length)),
+            "user_product_count": (baskets.counts_of(all_baskets), contracts.USER_PRODUCT_COUNT),
+        }
+        return {name: gated_write(df, contract, f"{out}/{name}") for name, (df, contract) in made.items()}
+    finally:
+        drop_path(spark, staged)
+
+
+def bucketed_lines(spark: SparkSession, silver_path: str, table: str, buckets: int, path: str | None = None, most_of_one: float = 0.05) -> bool:
+    """The lines as a table bucketed by user, on which orders, counts and sequences by user need no shuffle. Whether it was made: not if
+    one user has more than ``most_of_one`` of all lines, as one bucket would then hold them; the lines are to be read as they are."""
+    lines = read_parquet(spark, silver_path)
+    sizes = lines.groupBy("user_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("every")).first()
+    if not sizes["every"] or sizes["most"] > max(most_of_one, 1 / buckets) * sizes["every"]:
+        return False
+    write_bucketed(lines, table, ["user_id"], buckets, path)
+    return True
+
+
 def sample(spark: SparkSession, source: str, out: str, n: int, seed: int = sampling.SEED) -> None:
     """A consistent part of the raw CSV tables as CSV: n users, their orders and lines, and all look-up tables."""
     read = lambda name: read_csv(spark, f"{source}/{name}.csv", spark_schema(contracts.CONTRACTS[RAW[name][0]]))

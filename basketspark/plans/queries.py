@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from collections.abc import Callable
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +140,22 @@ def user_product_count(spark, d):
     return baskets.user_product_count(_silver(spark, d)[0])
 
 
+@query("""SELECT user_id, order_id, order_number, min(order_dow) AS order_dow, min(order_hour_of_day) AS order_hour_of_day, min(days_since_prior_order) AS days_since_prior_order, min(eval_set) AS eval_set,
+  string_agg(add_to_cart_order || ':' || product_id || ':' || reordered || ':' || aisle_id || ':' || department_id, ' ' ORDER BY add_to_cart_order) AS items FROM b_silver GROUP BY user_id, order_id, order_number""")
+def staged_baskets(spark, d):
+    items = F.transform("items", lambda x: F.concat_ws(":", *(x[c] for c in history.ITEMS)))
+    return history.staged_baskets(_silver(spark, d)[0]).withColumn("items", s.joined(items))
+
+
+@query("SELECT user_id, product_id, count(*)::INT AS count FROM b_silver WHERE eval_set = 'prior' GROUP BY ALL")
+def user_product_count_bucketed(spark, d):
+    """From lines bucketed by user: no exchange but that which writes the buckets."""
+    name, path = f"lines_{uuid4().hex}", scratch_path(spark, "silver")
+    files.write_parquet(_silver(spark, d)[0], path)
+    made = jobs.bucketed_lines(spark, path, name, 8, f"{path}-by-user")
+    return baskets.user_product_count(spark.table(name) if made else files.read_parquet(spark, path))
+
+
 @query("SELECT DISTINCT aisle_id, department_id FROM b_products")
 def aisle_departments(spark, d):
     return baskets.aisle_departments(basket_tables(spark, d)["products"])

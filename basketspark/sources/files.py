@@ -28,3 +28,14 @@ def read_tables(spark: SparkSession, folder: str, names: list[str], suffix: str
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, by: list[str], buckets: int, path: str | None = None) -> None:
+    """A Parquet table of the catalog, one file a bucket: rows are dealt by the bucketing before they are written. Aggregates and joins by
+    these columns (and more) need no exchange then."""
+    writer = df.repartition(buckets, *by).write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    versions.Store(spark, path).delete()

@@ -2,7 +2,7 @@
 
 import pytest
 
-from basketspark.operators import baskets
+from basketspark.operators import baskets, history
 from basketspark.plans import jobs
 from basketspark.quality import contracts
 from basketspark.quality.errors import DataValidationError
@@ -59,6 +59,43 @@ def test_tables(spark, built):
     assert {r.user_id: r.label for r in read("sizes").collect()} == {1: 2, 2: 1}
 
 
+def test_gold_from_staged_baskets(spark, built, tmp_path):
+    """One job for all tables gives what each job gives."""
+    out, _ = built
+    reports = jobs.gold(spark, f"{out}/silver", out, str(tmp_path), 8)
+    single = {"users": "users", "product_history": "history", "aisle_history": "aisle_history", "reorder_size_training": "sizes", "user_product_count": "counts"}
+    assert list(reports) == list(single) and all(r.can_continue for r in reports.values())
+    for made, name in single.items():
+        got, want = read_parquet(spark, str(tmp_path / made)), read_parquet(spark, f"{out}/{name}")
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())), made
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_shuffled_once_for_staged_tables(spark, built, tmp_path):
+    out, _ = built
+    made = history.staged_baskets(read_parquet(spark, f"{out}/silver"))
+    assert plan(made).count("Exchange hashpartitioning") == 1
+    made.write.parquet(str(tmp_path / "b"))
+    staged = spark.read.parquet(str(tmp_path / "b"))
+    assert "items:array<struct<product_id:int>>" in plan(baskets.counts_of(staged))  # only what is needed is read
+    assert "items" not in plan(staged.select("user_id", "order_dow"))
+
+
+def test_bucketed_lines_need_no_exchange(spark, built, tmp_path):
+    out, _ = built
+    assert jobs.bucketed_lines(spark, f"{out}/silver", "lines_by_user", 2, str(tmp_path / "t"), most_of_one=0.9)
+    lines, plain = spark.table("lines_by_user"), read_parquet(spark, f"{out}/silver")
+    for make in (baskets.user_product_count, baskets.order_sequences, lambda x: baskets.user_sequences(baskets.order_sequences(x))):
+        assert "Exchange" not in plan(make(lines)) and "Exchange" in plan(make(plain))
+        assert sorted(map(str, make(lines).collect())) == sorted(map(str, make(plain).collect()))
+    spark.sql("DROP TABLE lines_by_user")
+    assert not jobs.bucketed_lines(spark, f"{out}/silver", "hot", 2, str(tmp_path / "h"), most_of_one=0.3)  # one user has most lines
+    assert not spark.catalog.tableExists("hot")
+
+
 def test_unknown_product_stops_the_silver_job(spark, built, tmp_path):
     out, _ = built
     for n in ("orders", "products", "order_products__prior", "order_products__train"):
