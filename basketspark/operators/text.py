@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from .ranks import ranked
 
 MIN_WORD_FREQ = 5
-#: Characters of a word's beginning by which words of equal count are grouped.
-HEAD = 2
 
 
 def _words(text: str) -> F.Column:
@@ -22,17 +21,10 @@ def word_count(texts: DataFrame, text: str = "product_name") -> DataFrame:
 def word_index(texts: DataFrame, text: str = "product_name", min_word_freq: int = MIN_WORD_FREQ) -> DataFrame:
     """(word, word_idx): 1 and up by count and word for frequent words, 0 for rare ones.
 
-    Words are ranked within groups of equal count and beginning, and the groups' sizes are summed up in order: no task has to
-    sort the whole vocabulary, only the groups' sizes go through one.
-    """
-    counts = word_count(texts, text).withColumn("head", F.substring("word", 1, HEAD))
-    frequent = counts.filter(F.col("word_count") >= min_word_freq)
-    sizes = frequent.groupBy("word_count", "head").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy(F.desc("word_count"), "head").rowsBetween(Window.unboundedPreceding, -1))
-    places = sizes.select("word_count", "head", F.coalesce(before, F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("word_count", "head").orderBy("word"))
-    ranked = frequent.join(places, ["word_count", "head"]).select("word", (F.col("before") + within).cast("int").alias("word_idx"))
-    return ranked.unionByName(counts.filter(F.col("word_count") < min_word_freq).select("word", F.lit(0).cast("int").alias("word_idx")))
+    Frequent words come first in the order by count, so their places among all words are theirs; the texts are read once. Places are
+    two-level sums over ranges of the order (``ranks``): no task has to see the whole vocabulary."""
+    placed = ranked(word_count(texts, text), [F.desc("word_count"), "word"], "place")
+    return placed.select("word", F.when(F.col("word_count") >= min_word_freq, F.col("place")).otherwise(0).cast("int").alias("word_idx"))
 
 
 def encoded_names(texts: DataFrame, index: DataFrame, key: str = "product_id", text: str = "product_name") -> DataFrame:

@@ -1,10 +1,13 @@
 """Golden rows of the basket operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from basketspark.functions import sequences as s
 from basketspark.operators import baskets, history, sampling, text, training
+from basketspark.operators.ranks import ranked
 
 LINES = "user_id int, order_id int, order_number int, eval_set string, product_id int, aisle_id int, department_id int, add_to_cart_order int, reordered int, order_dow int, order_hour_of_day int, days_since_prior_order double"
 
@@ -139,3 +142,21 @@ def test_samples_belong_together(spark):
     assert some.count() == 8 and some.select("user_id").distinct().count() == 2
     with pytest.raises(ValueError):
         sampling.sample_users(orders, 6)
+
+
+@pytest.mark.parametrize("n, spread", [(0, 1), (1, 1), (500, 40), (500, 2)])
+def test_ranks_are_places_in_the_order(spark, n, spread):
+    r = random.Random(n + spread)
+    rows = [(i, r.choice([None, *range(spread)]), r.choice("abc") + str(i % 7), r.choice([None, *range(9)])) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, a int, b string, v int").repartition(5)
+    got = {x.id: (x.place, x.before) for x in ranked(df, [F.desc("a"), "b", "id"], "place", {"before": "v"}).collect()}
+    want, total = {}, 0
+    for place, (i, _, _, v) in enumerate(sorted(rows, key=lambda x: (x[1] is None, -(x[1] or 0), x[2], x[0])), 1):
+        want[i] = (place, total)
+        total += v or 0
+    assert got == want
+
+
+def test_ranks_need_no_single_partition(spark):
+    df = ranked(spark.range(1000).withColumn("v", F.lit(1)), [F.desc("id")], "place", {"before": "v"})
+    assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
