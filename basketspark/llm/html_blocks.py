@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
 
@@ -17,8 +18,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SAME = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 INSIDE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
-WITH = r"""(?:"[^"]*"|'[^']*'|[^'">])*+"""
-TOKEN = re.compile(rf"""<!--(?:.*?-->|.*)|<(?P<raw>{RAW})(?=[\s/>]){WITH}>(?:.*?</(?P=raw)\s*>|.*)|<(?P<closed>{CLOSED})(?=[\s/>]){WITH}>.*?</(?P=closed)\s*>|<svg(?=[\s/>]){WITH}(?<!/)>.*?</svg\s*>|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<with>{WITH})>|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
+HEAD = re.compile(r"<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)", re.I)
+#: Elements whose content is left out, with how their end tags look.
+ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in (*RAW.split("|"), *CLOSED.split("|"), "svg")}
+RAWS = frozenset(RAW.split("|"))
+QUOTES = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAMED = frozenset(("class", "id", "role", "hidden", "style", "aria-hidden"))
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -35,6 +39,81 @@ class Element:
         self.pooled = None  # what a reader of paths makes of the element and all around it
 
 
+class Token(NamedTuple):
+    """Markup from a place to another: a start or end tag, or (without a tag) what is neither tag nor text."""
+
+    start: int
+    stop: int
+    tag: str = ""
+    end: bool = False
+    attributes: str = ""
+
+
+class Scanner:
+    """One way through a page. What a search to the page's end has not found is remembered, so that no later tag searches for it again:
+    the time is linear in the page's length whatever stands in it."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in ("'", '"', ">")}
+        self.unclosed: set[int] = set()
+        self.without_end: set[str] = set()
+
+    def tag_stop(self, at: int) -> int:
+        """Behind the first > from a place that is in no quotes; -1 if there is none."""
+        html, passed = self.html, []
+        while at <= self.last[">"]:
+            m = QUOTES.search(html, at)
+            if m[0] == ">":
+                return m.end()
+            if m.start() in self.unclosed or m.start() >= self.last[m[0]]:
+                break
+            passed.append(m.start())
+            at = html.find(m[0], m.end()) + 1
+        self.unclosed.update(passed)
+        return -1
+
+    def behind(self, tag: str, at: int) -> int:
+        """Behind the element's end tag; -1 if there is none from here on."""
+        if tag in self.without_end:
+            return -1
+        if m := ENDS[tag].search(self.html, at):
+            return m.end()
+        self.without_end.add(tag)
+        return -1
+
+    def token(self, at: int) -> Token | None:
+        """The markup that begins at a place, if it does."""
+        html = self.html
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 4)
+            return Token(at, stop + 3 if stop >= 0 else len(html))
+        if at > self.last[">"]:
+            return None
+        m = HEAD.match(html, at)
+        if not m:
+            return Token(at, html.index(">", at + 2) + 1) if html[at + 1 : at + 2] in ("!", "?", "/") and self.last[">"] >= at + 2 else None
+        tag, end, name = m["tag"].lower(), bool(m["end"]), m.end()
+        if name > self.last[">"]:
+            return None
+        stop = self.tag_stop(name)
+        if stop >= 0 and not end and tag in ENDS and not (tag == "svg" and html[stop - 2] == "/"):
+            close = self.behind(tag, stop)
+            if close >= 0 or tag in RAWS:
+                return Token(at, close if close >= 0 else len(html))
+        if stop >= 0:
+            return Token(at, stop, tag, end, html[name : stop - 1])
+        return Token(at, html.index(">", name) + 1, tag, end)
+
+    def tokens(self) -> Iterator[Token]:
+        at = self.html.find("<")
+        while at >= 0:
+            found = self.token(at)
+            if found:
+                yield found
+            at = self.html.find("<", found.stop if found else at + 1)
+
+
 class Block(NamedTuple):
     text: str
     path: Element | None
@@ -128,21 +207,20 @@ def blocks(html: str | None) -> list[Block]:
                 linked += len(text.strip())
 
     html, at = html or "", 0
-    for m in TOKEN.finditer(html):
-        say(html[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or m["tag2"] or "").lower()
+    for t in Scanner(html).tokens():
+        say(html[at : t.start])
+        at, tag = t.stop, t.tag
         if not tag:
             continue
         if tag in BLOCK:
             flush()
         elif tag in ("br", "input", "button", "select", "img"):
             parts.append(" ")
-        if m["end"] or m["end2"]:
+        if t.end:
             of.close(tag)
             continue
         of.before(tag)
-        attributes = m["with"] or ""
+        attributes = t.attributes
         if tag not in VOID and not attributes.rstrip().endswith("/"):
             of.push(tag, _named(attributes) if attributes and not attributes.isspace() else "")
     say(html[at:])

@@ -5,7 +5,7 @@ figures; a bidirectional LSTM reads the page's sequence of blocks both ways, so
 the whole page. Blocks labelled as main text are joined by line ends. The network is written in numpy and trained here, on
 synthetic pages with many layouts (``PAGES`` of them), once in a driver process.
 
-Edge cases: a null or empty page has an empty text; pages without markup are one block; repeated rows, null ids and null urls are
+Edge cases: a null or empty page has an empty text; pages without markup are one block, kept whole; repeated rows, null ids and null urls are
 carried; pages of any length are read whole; an empty table gives no rows. Only the named columns are read.
 """
 
@@ -254,6 +254,8 @@ def trained(pages: int = PAGES, seed: int = SEED) -> BlockLabeller:
 def main_texts(htmls: list[str | None], labeller: BlockLabeller) -> list[str]:
     found = [blocks(h) for h in htmls]
     marks = labeller.labels([vectors(b) for b in found])
+    # Where there is no element there is nothing but text.
+    marks = [[True] * len(page) if all(b.path is None for b in page) else own for page, own in zip(found, marks, strict=True)]
     return ["\n".join(b.text for b, m in zip(page, own, strict=True) if m) for page, own in zip(found, marks, strict=True)]
 
 

@@ -153,3 +153,34 @@ def test_deep_markup_is_linear(html):
 def test_vectors_of_deep_markup():
     found = html_blocks.blocks("<div>x " * 30_000)
     assert len(html_extract.vectors(found)) == 30_000
+
+
+@pytest.mark.parametrize("part", ["<a ", "<template>", "<svg>", "<annotation>x", "<div '", "<a \"'>", "<a<", "</a ", "<!x", "<b '\"", "<title", "<svg '>", "<div>x ", "<!--", "<script"])
+def test_time_is_linear_in_broken_pages(part):
+    """Each search to the page's end is made once: 100,000 repeats take seconds, where one search a repeat would take hours."""
+    began = time.process_time()
+    html_blocks.blocks(part * 100_000)
+    assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize(
+    "html, texts",
+    [
+        ("<p title='a > b'>x</p>", ["x"]),
+        ('<p title="a \' > b">x</p>', ["x"]),
+        ("<p '>x</p> y", ["x", "y"]),
+        ("a <template>b<p>c</template> d <template>e", ["a d e"]),
+        ("a <svg/>b <svg x='>'>c</svg> d <svg>e", ["a b d e"]),
+        ("a <script>b</script > c <STYLE>d</style>e <script>f", ["a c e"]),
+        ("a <!-- b > --> c <!-- d", ["a c"]),
+        ("a < b > c <", ["a < b > c <"]),
+        ("<!doctype html><?x y?></ z>a", ["a"]),
+    ],
+)
+def test_scanner(html, texts):
+    assert [b.text for b in html_blocks.blocks(html)] == texts
+
+
+def test_a_page_without_markup_is_kept():
+    labeller = html_extract.BlockLabeller.fresh(1)
+    assert html_extract.main_texts(["just text &amp; more", "", None, "5 < 6"], labeller) == ["just text & more", "", "", "5 < 6"]
