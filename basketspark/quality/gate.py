@@ -7,6 +7,7 @@ that need rows and groups one. Samples of what failed are one pass for rules, on
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -20,7 +21,9 @@ from . import keys, metrics, rules
 from .errors import DataValidationError, EmptyDatasetError, InvalidConstraintError
 from .wellformed import check_contract
 
+LOG = logging.getLogger(__name__)
 SEVERITIES = ("info", "warning", "error", "critical")
+LEVELS = {"info": logging.INFO, "warning": logging.WARNING, "error": logging.ERROR, "critical": logging.CRITICAL}
 #: Offending rows that are shown: by duplicate keys, by foreign key, by rule.
 SAMPLES = {"uniqueness": 30, "foreign_key": 20, "row_logic": 20}
 REPORT = "dataset string, rule_name string, category string, columns string, failed_count long, total long, failed_percent double, status string, severity string, passed boolean"
@@ -60,6 +63,15 @@ class Report:
             out[rule] = f"{status}: {failed} of {total} {what}{more}, {percent:.2f} %"
         return out
 
+    def log(self) -> None:
+        """What didn't pass, each at its severity's level; or that all did."""
+        said = self.messages()
+        for r in self.rows:
+            if r[7] != "passed":
+                LOG.log(LEVELS[r[8]], "%s, %s: %s", self.dataset, r[1], said[r[1]])
+        if not self.has_errors:
+            LOG.info("dataset %s passed its contract", self.dataset)
+
     def details(self, spark: SparkSession) -> DataFrame:
         said = self.messages()
         return spark.createDataFrame([(self.dataset, r, self.duplicate_keys.get(r), m) for r, m in said.items()], DETAIL)
@@ -147,6 +159,7 @@ def validate(df: DataFrame, contract: dict, references: dict[str, DataFrame] | N
         if wrong := check_types(df, contract) if wrong is None else wrong:
             raise DataValidationError(Report(contract.get("name", "")), "; ".join(wrong))
     report = findings(df, contract, references)
+    report.log()
     if report.has_errors:
         raise DataValidationError(report, ", ".join(r[1] for r in report.rows if r[7] == "failed"))
     return report
@@ -174,6 +187,7 @@ def gated_write(df: DataFrame, contract: dict, path: str, references: dict[str,
         write_parquet(on_rows.rows.observe(seen, *metrics.counting(wanted)).select(df.columns), at)
         written = spark.read.parquet(at)
         report = findings(written, contract, references, seen.get)
+        report.log()
         if report.has_errors:
             report.samples = samples(written, contract, references, [r[1] for r in report.rows if r[7] == "failed"])
             raise DataValidationError(report, ", ".join(r[1] for r in report.rows if r[7] == "failed"))

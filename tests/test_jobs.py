@@ -2,6 +2,7 @@
 
 import pytest
 
+from basketspark import __main__ as cli
 from basketspark.operators import baskets, history
 from basketspark.plans import jobs
 from basketspark.quality import contracts
@@ -115,3 +116,15 @@ def test_sample(spark, raw, tmp_path):
     assert read_csv(spark, str(tmp_path / "aisles.csv")).count() == 3
     with pytest.raises(ValueError):
         jobs.sample(spark, raw, str(tmp_path / "more"), 9)
+
+
+def test_command_line(spark, raw, tmp_path, caplog):
+    assert cli.main(["bronze", "--csv-path", raw, "--out", str(tmp_path / "b")]) == 0
+    assert cli.main(["order-products", "--bronze-path", str(tmp_path / "b"), "--out", str(tmp_path / "s")]) == 0
+    assert cli.main(["gold", "--silver-path", str(tmp_path / "s"), "--bronze-path", str(tmp_path / "b"), "--out", str(tmp_path / "g"), "--pad-length", "8"]) == 0
+    assert read_parquet(spark, str(tmp_path / "g" / "reorder_size_training")).first().order_sizes.__len__() == 8
+    assert "dataset products passed its contract" in caplog.text or not caplog.records
+    with pytest.raises(SystemExit):
+        cli.main(["bronze", "--out", "x"])
+    with pytest.raises(Exception):
+        cli.main(["user-data", "--silver-path", str(tmp_path / "nowhere"), "--out", str(tmp_path / "u")])

@@ -1,5 +1,7 @@
 """Contracts: exact counts, null handling, thresholds, malformed contracts, and the gate."""
 
+import json
+import logging
 import os
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import types as T
 from basketspark.quality import contracts, gate, keys, metrics, rules
 from basketspark.quality.contracts import column, contract
 from basketspark.quality.errors import DataValidationError, EmptyDatasetError, InvalidConstraintError, InvalidContractError
+from basketspark.quality.loader import load_contract
 from basketspark.quality.wellformed import check_contract
 from basketspark.sources import schema
 from basketspark.sources.files import read_parquet
@@ -218,3 +221,51 @@ def test_samples_and_messages_of_keys(spark):
     report = gate.findings(df, c, parent)
     assert report.duplicate_keys == {"a_uniqueness": 40} and "40 keys" in report.messages()["a_uniqueness"]
     assert {r.rule_name: r.duplicate_keys for r in report.details(spark).collect()} == {"a_uniqueness": 40, "b_fk": None}
+
+
+YAML = """
+dataset:
+  name: orders
+  allow_extra_columns: false
+  grain: [order_id, user_id]
+schema:
+  - {name: order_id, type: integer, nullable: false, constraints: {minimum: 1, unique: true}, thresholds: {range: {max_failed_percent: 2.5, severity: critical}}}
+  - {name: user_id, type: integer, nullable: true}
+derived_fields:
+  - {name: orders, aggregation: count, column: order_id, partition_by: [user_id]}
+rules:
+  - name: few
+    expression: >
+      orders <= 3
+      AND order_id > 0
+"""
+
+
+def test_contract_files(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text(YAML)
+    c = load_contract(tmp_path / "c.yaml")
+    assert (c["name"], c["grain"], c["allow_extra_columns"], len(c["schema"]), len(c["rules"])) == ("orders", ["order_id", "user_id"], False, 2, 1)
+    assert load_contract(str(tmp_path / "c.yaml"), spark) == c
+    (tmp_path / "c.json").write_text(json.dumps(c))
+    assert load_contract(tmp_path / "c.json") == c
+    df = spark.createDataFrame([(i, i // 4) for i in range(1, 10)], "order_id int, user_id int")
+    report = gate.findings(df, c)
+    assert {r[1]: r[4] for r in report.rows if r[4]} == {"few": 4} and report.has_errors
+    for name, text in (("a.yaml", ""), ("b.yaml", "- 1"), ("c.yaml", "a: [1"), ("d.yaml", "dataset: 3"), ("e.yaml", "dataset: {name: x}"), ("f.json", "{"), ("g.json", "")):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(InvalidContractError):
+            load_contract(tmp_path / name)
+    for more in ({}, {"spark": spark}):
+        with pytest.raises(FileNotFoundError):
+            load_contract(tmp_path / "none.yaml", **more)
+
+
+def test_findings_are_logged_at_their_level(spark, caplog):
+    c = contract("t", [], [column("n", thresholds={"range": {"max_failed_percent": 50.0}}, minimum=1), column("m", minimum=1)], {"r": "n < 3"})
+    with caplog.at_level(logging.INFO, "basketspark"), pytest.raises(DataValidationError):
+        gate.validate(spark.createDataFrame([(0, 0), (1, 1), (3, 1)], "n int, m int"), c)
+    assert [(r.levelname, r.args[1]) for r in caplog.records if r.name == gate.LOG.name] == [("WARNING", "n_range"), ("ERROR", "m_range"), ("CRITICAL", "r")]
+    caplog.clear()
+    with caplog.at_level(logging.INFO, "basketspark"):
+        gate.validate(spark.createDataFrame([(1, 1)], "n int, m int"), c)
+    assert [r.message for r in caplog.records if r.name == gate.LOG.name] == ["dataset t passed its contract"]
