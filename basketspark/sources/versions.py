@@ -159,8 +159,8 @@ def retire(spark: SparkSession, path: str, keep: int = KEEP, orphan_hours: float
         gone.append(folder)
     named = {commit_of(spark, path, v).folder for v in stay}
     for name in store.names():
-        # Plain files are what the table was before its first commit.
-        plain = (not name.startswith(("_", ".")) or name == "_SUCCESS") and len(known) >= keep
+        # Spark's own files are what the table was before its first commit; anything else isn't this table's.
+        plain = (name.startswith("part-") or "=" in name or name == "_SUCCESS") and len(known) >= keep
         orphan = orphan_hours is not None and name.startswith(DATA) and name not in gone and store.age_hours(name) >= orphan_hours
         if plain or orphan:
             gone.append(name)

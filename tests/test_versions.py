@@ -102,12 +102,14 @@ def test_refused_write_leaves_nothing(spark, tmp_path):
 def test_a_plain_folder_becomes_a_table_of_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     files.write_parquet(spark.range(9), path)
+    files.write_parquet(spark.range(4), f"{path}/other_table")
     assert rows(spark, path) == 9 and versions.versions(spark, path) == []
     write(spark, path, 2)
     assert rows(spark, path) == 2 and any(n.startswith("part-") for n in os.listdir(path))  # a reader may still be in it
     write(spark, path, 3)
     assert rows(spark, path) == 3 and not any(n.startswith("part-") for n in os.listdir(path))
     assert rows(spark, os.path.join(path, versions.commit_of(spark, path).folder)) == 3
+    assert rows(spark, f"{path}/other_table") == 4  # what isn't the table's stays
     plain = next(str(p) for p in (tmp_path / "t").rglob("part-*.parquet"))
     assert files.read_parquet(spark, plain).columns == ["n"]  # a file is no table of versions
 
