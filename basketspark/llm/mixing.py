@@ -5,9 +5,11 @@ capacity to source quotas; the n-th repetition of a pattern's words costs (n-1)^
 ones run out. Each pattern and repetition then takes its flow from its documents in a seeded order: running sums over 4096 hash
 buckets find the bucket in which the flow ends, and only the documents of that bucket are ranked.
 
-Targets are worked out in Spark over a table with a row for each source, and so is the flow of sources that share no document with
-others: it is their quota, fresh words first. Patterns of sources that do overlap, and no document, reach the driver for the flow
-(50,000 of them take about two seconds there).
+Targets are worked out over a table with a row for each source, by two-level sums over ranges of the order in which sources stop.
+Patterns and the sources they tie together fall into components, found in Spark; a component is a flow network of its own and is
+solved in a task of its own, a source that shares no document with others being a network of one pattern. Neither patterns nor
+documents reach the driver. A component is solved whole in its task, which holds a few hundred bytes a pattern: 50,000 random
+patterns that all hang together take some 17 seconds.
 
 Edge cases: a null text has size 0; null is a source of its own, last in order; a document of size 0 takes nothing; repeated rows
 are rows of their own; a document without an id is seeded by its text; equal seeded keys are ordered by id and size; an empty table gives no rows. Column names of the input don't
@@ -18,11 +20,16 @@ from __future__ import annotations
 
 from collections import deque
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
+from ..operators.ranks import ranked
 from .common import checkpointed, few
+from .simhash_dedup import components
 
 WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)
@@ -44,21 +51,21 @@ def seeded(id_col: str, text_col: str, seed: int = SEED) -> F.Column:
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: tuple = SHARE, most: int = COPIES) -> DataFrame:
-    """(source, n, target) of (source, n): share[0]/share[1] of all words, by weights in code point order (null last); a target
-    stops at ``most`` times its source's size and what it can't hold goes to the others by weight.
-
-    Sources are filled in the order in which they stop; the first that doesn't stop has the level of all that follow. The windows
-    sort the sources, a row each.
+    """(source, n, target, place) of (source, n): share[0]/share[1] of all words, by weights in code point order (null last); a
+    target stops at ``most`` times its source's size and what it can't hold goes to the others by weight. ``place`` numbers the
+    sources in the order in which they stop, in which they are filled; the first that doesn't stop has the level of all that follow.
     """
-    by_name, every = Window.orderBy(F.col("source").asc_nulls_last()), Window.partitionBy(F.lit(0))
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(by_name) - 1) % len(weights) + 1)
-    order = [most * F.col("n") / F.col("w"), F.col("source").asc_nulls_last()]
-    before, after = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    ranked = sizes.withColumn("w", weight).withColumns({"total": F.sum("n").over(every), "held": F.coalesce(F.sum("n").over(before), F.lit(0)), "open": F.sum("w").over(after), "place": F.row_number().over(Window.orderBy(*order))})
-    level = (share[0] * F.col("total") - share[1] * most * F.col("held")).cast("double") / (share[1] * F.col("open")).cast("double")
-    levels = ranked.withColumn("level", level).withColumn("stop", F.min(F.when(F.col("level") * F.col("w") <= most * F.col("n"), F.struct("place", "level"))).over(every))
-    full = F.col("stop").isNull() | (F.col("place") < F.col("stop.place"))
-    return levels.select("source", "n", F.when(full, (most * F.col("n")).cast("double")).otherwise(F.col("stop.level") * F.col("w")).alias("target"))
+    named = ranked(sizes.select("source", "n"), [F.col("source").asc_nulls_last()], "by_name")
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("by_name") - 1) % len(weights) + 1).cast("int"))
+    weighted = named.select("source", "n", weight.alias("w"))
+    placed = ranked(weighted, [most * F.col("n") / F.col("w"), F.col("source").asc_nulls_last()], "place", {"held": "n", "shut": "w"})
+    total, open_ = placed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    room = (F.lit(share[0] * total).cast("long") - share[1] * most * F.col("held")).cast("double")
+    levels = placed.withColumn("level", room / (share[1] * (F.lit(open_).cast("long") - F.col("shut"))).cast("double"))
+    stop = levels.filter(F.col("level") * F.col("w") <= most * F.col("n")).agg(F.min(F.struct("place", "level")).alias("stop")).first().stop
+    full = (most * F.col("n")).cast("double")
+    target = full if stop is None else F.when(F.col("place") < stop.place, full).otherwise(F.lit(stop.level) * F.col("w"))
+    return levels.select("source", "n", target.alias("target"), "place")
 
 
 def min_cost_flow(capacity: dict, quota: dict, copies: int = COPIES) -> dict:
@@ -133,29 +140,54 @@ def _pattern(source: str, kind: str, member_of: bool) -> F.Column:
     return F.array_sort(F.array_distinct(some))
 
 
-def _quotas(goals: DataFrame, most: int) -> F.Column:
-    """Words of each copy of a source that overlaps with no other."""
-    goal = F.floor(F.col("target") + 0.5).cast("long")
-    return F.array(*(F.greatest(F.lit(0), F.least("n", goal - k * F.col("n"))).cast("long") for k in range(most)))
+def _rows(kind: DataType, rows: list[tuple]) -> pa.RecordBatch:
+    pattern, level, flow = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(pattern, to_arrow_type(kind)), pa.array(level, pa.int32()), pa.array(flow, pa.int64())], names=["pattern", "level", "flow"])
+
+
+def flows(nets: DataFrame, most: int = COPIES) -> DataFrame:
+    """(pattern, level, flow) of nets (net, pattern, n, members): what ``min_cost_flow`` takes of each copy of a pattern's n words.
+
+    members are (place, quota) of the pattern's sources. Patterns of one net are solved together, in one task; a row without a net is
+    a network of its own and is solved where it stands. Rows of a net are sorted first, so that reruns agree."""
+    kind = nets.schema["pattern"].dataType
+    out = StructType([StructField("pattern", kind), StructField("level", IntegerType()), StructField("flow", LongType())])
+
+    def solve(rows: list[tuple]) -> list[tuple]:
+        places = [tuple(m["place"] for m in members) for _, _, members in rows]
+        quota = {m["place"]: m["quota"] for _, _, members in rows for m in members}
+        taken = min_cost_flow({p: n for p, (_, n, _) in zip(places, rows, strict=True)}, quota, most)
+        return [(pattern, k, x) for p, (pattern, _, _) in zip(places, rows, strict=True) for k, x in enumerate(taken[p])]
+
+    def alone(batches):
+        for batch in batches:
+            yield _rows(kind, [x for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) for x in solve([row])])
+
+    def together(table: pa.Table) -> pa.Table:
+        rows = list(zip(*(table[c].to_pylist() for c in ("pattern", "n", "members")), strict=True))
+        return pa.Table.from_batches([_rows(kind, solve(sorted(rows, key=lambda r: [m["place"] for m in r[2]])))])
+
+    own = nets.filter("net IS NULL").select("pattern", "n", "members").mapInArrow(alone, out)
+    return own.unionByName(nets.filter("net IS NOT NULL").groupBy("net").applyInArrow(together, out))
 
 
 def plan(sized: DataFrame, source: str = "source", size: str = "size", member_of: bool = False, **rules) -> tuple[DataFrame, DataFrame]:
-    """(source, n, target) and (pattern, level, flow): the words of each copy. member_of: ``source`` is an array of sources."""
-    spark, most, kind = sized.sparkSession, rules.get("most", COPIES), sized.schema[source].dataType.simpleString()
+    """(source, n, target, place) and (pattern, level, flow): the words of each copy. member_of: ``source`` is an array of sources."""
+    most, kind = rules.get("most", COPIES), sized.schema[source].dataType.simpleString()
     patterns = checkpointed(sized.groupBy(_pattern(source, kind, member_of).alias("pattern")).agg(F.sum(size).alias("n")))
     sizes = patterns.select(F.explode("pattern").alias("source"), "n").groupBy("source").agg(F.sum("n").alias("n")) if member_of else patterns.withColumnRenamed("pattern", "source")
     goals = checkpointed(targets(sizes, **rules))
+    member = F.struct("place", F.floor(F.col("target") + 0.5).cast("long").alias("quota"))
     if not member_of:
-        return goals, goals.select(F.col("source").alias("pattern"), F.posexplode(_quotas(goals, most)).alias("level", "flow"))
-    tangled = checkpointed(patterns.filter(F.size("pattern") > 1).select(F.explode("pattern").alias("t")).distinct())
-    alone = goals.join(few(tangled, BROADCAST_PATTERNS), F.expr("source <=> t"), "left_anti")
-    others = patterns.select("pattern", "n", F.explode("pattern").alias("source")).join(few(tangled, BROADCAST_PATTERNS), F.expr("source <=> t"), "left_semi").select("pattern", "n").distinct()
-    capacity = {frozenset(p): n for p, n in others.collect()}
-    quota = {s: int(t + 0.5) for s, t in goals.join(few(tangled, BROADCAST_PATTERNS), F.expr("source <=> t"), "left_semi").select("source", "target").collect()}
-    flow = min_cost_flow(capacity, quota, most)
-    rows = [(sorted(p, key=lambda s: (s is None, s or "")), k, n) for p, ns in flow.items() for k, n in enumerate(ns)]
-    single = alone.select(F.array("source").alias("pattern"), F.posexplode(_quotas(goals, most)).alias("level", "flow"))
-    return goals, single.unionByName(spark.createDataFrame(rows, f"pattern {kind}, level int, flow long"))
+        return goals, flows(goals.select(F.lit(None).cast("long").alias("net"), F.col("source").alias("pattern"), "n", F.array(member).alias("members")), most)
+    of = few(goals.select(F.col("source").alias("_of"), member.alias("member")), BROADCAST_PATTERNS)
+    members = patterns.select("pattern", "n", F.explode("pattern").alias("_source")).join(of, F.expr("_source <=> _of"))
+    nets = checkpointed(members.groupBy("pattern").agg(F.first("n").alias("n"), F.sort_array(F.collect_list("member")).alias("members")))
+    first = F.col("members")[0]["place"]
+    ties = nets.select(first.alias("b"), F.explode(F.slice("members", 2, F.greatest(F.size("members") - 1, F.lit(0)))).alias("m"))
+    roots = components(ties.select(F.col("m.place").alias("a"), "b").distinct())
+    tied = checkpointed(roots.union(roots.select("root", "root")).toDF("_place", "net").distinct())
+    return goals, flows(checkpointed(nets.join(few(tied, BROADCAST_PATTERNS), first == F.col("_place"), "left").select("net", "pattern", "n", "members")), most)
 
 
 def edges_of(sized: DataFrame, levels: DataFrame, source: str, size: str, key: str, member_of: bool = False) -> DataFrame:
