@@ -197,7 +197,11 @@ def pack(lengths: list[int], size: int = LENGTH) -> list[list[int]]:
             gap -= n
         if gap:
             least = held[-1][0]  # pieces were taken from the largest down
-            for total in range(gap + least, least, -1):
+            # The two smallest free pieces have the least sum of all; where that is too much, no pair fits.
+            small = (have & -have).bit_length() - 1
+            rest = have & (have - 1)
+            lowest = small + (small if len(free[small]) > 1 else (rest & -rest).bit_length() - 1 if rest else size) if have else 2 * size
+            for total in range(gap + least, max(least, lowest - 1), -1):
                 pairs = have & (mirror >> (size - total)) & ((2 << total // 2) - 1)  # a is free, and so is total - a
                 a = pairs.bit_length() - 1
                 if pairs and 2 * a == total and len(free[a]) < 2:
