@@ -3,6 +3,8 @@
 Writers hide words by look-alike signs, by blanks or dots between letters, and by repeating letters. A token (or a run of single
 letters) that shows such noise becomes a lattice: each sign may stand for the letters it resembles, a run of a letter for one or
 two of it, a separator for nothing or a word's end. Viterbi decoding under a character trigram model of all documents' words restores it.
+The model's alphabet has ``ALPHABET`` letters: those that signs stand for, those of weighted words, then the corpus's most frequent.
+All other letters are one symbol, so at most (ALPHABET + 2) ** 3 trigrams reach the driver whatever scripts the corpus is written in.
 Tokens without noise have a lattice of one path and are taken as they are.
 
 Words, restored ones too, and their beginnings carry weights: those that labelled toxic texts have far more often than chance
@@ -19,6 +21,7 @@ import pickle
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 from hashlib import sha256
 from math import comb, exp, log
 
@@ -26,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROWS, fold, held, labelled_sample, map_rows, release, trim
+from .common import ROWS, checkpointed, fold, held, labelled_sample, map_rows, release, trim
 
 TRAIN_ROWS, TRAIN_CHARS = 6000, 20_000
 FOLDS, HELD_OUT = 5, 0
@@ -34,8 +37,10 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 CHANCE = 1e-5
 KNOWN = 150_000
 MOST = 50.0
-#: Different tokens that a task counts before it cuts them into trigrams.
+#: Different tokens that a task counts before it cuts them into trigrams, and different trigrams before it hands them on.
 WORDS = 200_000
+#: Letters that the character model tells apart, and the symbol of all others.
+ALPHABET, OTHER = 128, "\ufffd"
 
 #: Letters that signs stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l"}
@@ -62,13 +67,17 @@ class CharModel:
             self.of_one[gram[1]] += n
             self.one[gram[2]] += n
         self.total = sum(self.one.values()) + 1
+        self.letters = {" ", *self.of_one, *self.one}
         self.known: dict[str, float] = {}
 
     def cost(self, a: str, b: str, c: str) -> float:
         gram = a + b + c
         got = self.known.get(gram)
         if got is None:
-            p = 0.7 * self.three.get(gram, 0) / (self.of_two[a + b] or 1) + 0.24 * self.two[b + c] / (self.of_one[b] or 1) + 0.05 * self.one[c] / self.total + 1e-5
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            a, b, c = (x if x in self.letters else OTHER for x in gram)
+            p = 0.7 * self.three.get(a + b + c, 0) / (self.of_two[a + b] or 1) + 0.24 * self.two[b + c] / (self.of_one[b] or 1) + 0.05 * self.one[c] / self.total + 1e-5
             got = self.known[gram] = -log(p)
         return got
 
@@ -203,24 +212,38 @@ def _grams(batches):
                     grams[w[i : i + 3]] += n
         words.clear()
 
+    def handed():
+        found = list(grams.items())
+        grams.clear()
+        for at in range(0, len(found), 10_000):
+            part = found[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["gram", "n"])
+
     for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
         for text in batch.column(0).to_pylist():
             words.update((text or "").lower().split())
             if len(words) > WORDS:
                 cut()
+            if len(grams) > WORDS:
+                yield from handed()
     cut()
-    found = list(grams.items())
-    for at in range(0, len(found), 10_000):
-        part = found[at : at + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["gram", "n"])
-    del words, grams, found
+    yield from handed()
+    del words, grams
     trim()
 
 
-def trigrams(docs: DataFrame, text_col: str = "text") -> tuple[tuple[str, int], ...]:
-    """(trigram, count) over all words of letters of all documents, two blanks before and one after each; the alphabets bound it."""
-    grams = docs.select(text_col).mapInArrow(_grams, "gram string, n long")
-    return tuple(sorted(map(tuple, grams.groupBy("gram").agg(F.sum("n").alias("n")).collect())))
+def trigrams(docs: DataFrame, text_col: str = "text", first: Iterable[str] = ()) -> tuple[tuple[str, int], ...]:
+    """(trigram, count) over all words of letters of all documents, two blanks before and one after each.
+
+    Trigrams are counted in full in Spark; letters out of the alphabet are then one symbol. ``first`` are letters that come into the
+    alphabet after those of LOOKS and before the corpus's most frequent (ties by code point)."""
+    grams = checkpointed(docs.select(text_col).mapInArrow(_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    chosen = list(dict.fromkeys([*"".join(LOOKS.values()), *first]))[:ALPHABET]
+    seen = grams.groupBy(F.substring("gram", 2, 1).alias("letter")).agg(F.sum("n").alias("n")).filter(~F.col("letter").isin(" ", *chosen))
+    chosen += [r.letter for r in seen.orderBy(F.desc("n"), "letter").limit(ALPHABET - len(chosen)).collect()]
+    at = [F.substring("gram", k, 1) for k in (1, 2, 3)]
+    gram = F.concat(*(F.when(c.isin(" ", *chosen), c).otherwise(OTHER) for c in at))
+    return tuple(sorted(map(tuple, grams.groupBy(gram.alias("gram")).agg(F.sum("n").alias("n")).collect())))
 
 
 def fitted(rows: list[tuple[str, int]]) -> tuple[dict, tuple]:
@@ -277,7 +300,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple:
     """A learnt scorer as plain tuples: weights of the labelled sample, the whole corpus's trigrams, the logistic's figures."""
     learn = labels.filter(F.col("toxic").isin(0, 1) & (fold("doc_id", FOLDS) != HELD_OUT))
     weights, figures = fitted(labelled_sample(docs, learn, "toxic", TRAIN_ROWS, TRAIN_CHARS))
-    return tuple(sorted(weights.items())), trigrams(docs) if weights else (), figures
+    often = Counter(c for f in weights for c in set(f) if c.isalpha())
+    first = sorted(often, key=lambda c: (-often[c], c))
+    return tuple(sorted(weights.items())), trigrams(docs, first=first) if weights else (), figures
 
 
 def score(docs: DataFrame, learnt: tuple, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -350,3 +350,42 @@ def test_pieces_and_places(spark, odd):
     assert six[0] == (0, 0, 4096) and [s for _, s, _ in six] == [4096 * i for i in range(len(six))] and sum(n for *_, n in six) == 30_001
     assert [(r.length, r.ids_crc32) for r in got if r.doc_id == 2] == [(1, zlib.crc32(np.array([1], "<u4").tobytes()))]
     assert len([r for r in got if r.doc_id == 1]) == 2
+
+
+def test_flow_by_components(spark):
+    """Two tangles and sources of their own, each solved in a task, against one flow over all; plans and actions tell where."""
+    r, names = random.Random(8), [[f"a{i}" for i in range(6)], [f"b{i}" for i in range(5)], ["c"], [None]]
+    rows = [(i, sorted(r.sample(of, min(len(of), r.randint(1, 3))), key=str), r.randint(0, 40)) for i in range(600) for of in [r.choice(names)]]
+    df = spark.createDataFrame([(i, "w " * n, s) for i, s, n in rows], "doc_id long, text string, sources array<string>").select("doc_id", "sources", mixing.n_words("text").alias("size"))
+    goals, levels = mixing.plan(df, "sources", "size", member_of=True)
+    assert "FlatMapGroupsInArrow" in (plan := levels._jdf.queryExecution().toString()) and "MapInArrow" in plan
+    capacity = defaultdict(int)
+    for _, s, n in rows:
+        capacity[frozenset(s)] += n
+    quota = {g.source: int(g.target + 0.5) for g in goals.collect()}
+    whole, parts = mixing.min_cost_flow(dict(capacity), quota), defaultdict(list)
+    for x in levels.orderBy("level").collect():
+        parts[frozenset(x.pattern)].append(x.flow)
+    assert set(parts) == set(capacity)
+    assert [sum(f[k] for f in parts.values()) for k in (0, 1)] == [sum(f[k] for f in whole.values()) for k in (0, 1)]
+    again = mixing.plan(df.repartition(7), "sources", "size", member_of=True)[1]
+    assert sorted(map(repr, levels.collect())) == sorted(map(repr, again.collect()))
+
+
+def test_query_runs_the_flow(spark):
+    df = docs(spark, [(i, "w " * (i % 9), "en", "abc"[i % 3], 0) for i in range(90)])
+    sized = df.select("source", mixing.n_words("text").alias("size"))
+    goals, levels = mixing.plan(sized)
+    assert "MapInArrow" in levels._jdf.queryExecution().toString()
+    want = {g.source: [min(g.n, int(g.target + 0.5)), min(g.n, int(g.target + 0.5) - min(g.n, int(g.target + 0.5)))] for g in goals.collect()}
+    got = defaultdict(list)
+    for x in levels.orderBy("level").collect():
+        got[x.pattern].append(x.flow)
+    assert got == want
+
+
+def test_pack_where_no_two_pieces_fit():
+    began = time.process_time()
+    bins = packing.pack([2049] * 20_000)
+    assert len(bins) == 20_000 and time.process_time() - began < 2
+    assert sorted(map(len, packing.pack([2049] * 10 + [2047, 1, 1]))) == [1] * 9 + [2, 2]

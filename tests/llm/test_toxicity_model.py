@@ -85,3 +85,28 @@ def test_held_out_recall_of_clear_and_disguised_words():
         recall[name] = np.mean([scorer.score(f"{t} {hide(w)} and {hide(v)}.") >= 0.5 for t, w, v in zip(short, words * 20, words[3:] * 30, strict=False)])
     print(len(toxic), len(clean), found, recall)
     assert found[0] > 0.9 and found[1] > 0.97 and all(x >= 0.8 for x in recall.values())
+
+
+def test_alphabet_is_bounded(spark):
+    """20,000 different letters: those of other words are one symbol, and nothing is left out of the counts."""
+    letters = [chr(0x4E00 + i) for i in range(20_000)]
+    rows = [(i, "".join(letters[i * 10 : i * 10 + 10]) + " idiot fool") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    grams = dict(toxicity.trigrams(df, first=["ž"]))
+    known = set("".join(grams))
+    assert len(known - {" ", toxicity.OTHER}) <= toxicity.ALPHABET and set("idtfl") <= known
+    assert grams["idi"] == 2000 and sum(grams.values()) == sum(plain(t for _, t in rows).values())
+    model = toxicity.CharModel(grams)
+    assert model.cost("龥", "一", "丁") == model.cost(toxicity.OTHER, toxicity.OTHER, toxicity.OTHER) and toxicity.decode("1d10t", model) == "idiot"
+
+
+def test_tasks_hand_trigrams_on(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(toxicity, "WORDS", 5)
+    texts = ["one two three four five six seven", None, "eight nine ten one two"] * 3
+    got = Counter()
+    for b in toxicity._grams([pa.RecordBatch.from_arrays([pa.array(texts[:4])], names=["t"]), pa.RecordBatch.from_arrays([pa.array(texts[4:])], names=["t"])]):
+        for g, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            got[g] += n
+    assert got == plain(texts)
