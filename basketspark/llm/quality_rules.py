@@ -100,10 +100,11 @@ class LineField:
         if len({k for _, y in samples for k in y.tolist()}) < 2:
             return cls(np.array([[0.0] * N_FEATURES, [1.0] + [0.0] * (N_FEATURES - 1)]), np.zeros((2, 2)))
         batch = _batch(samples)
+        known = told(*batch)
         p = np.zeros(2 * N_FEATURES + 4)
         m, v = np.zeros_like(p), np.zeros_like(p)
         for t in range(1, rounds + 1):
-            g = likelihood(p, *batch)[1] - decay * p
+            g = likelihood(p, *batch, known)[1] - decay * p
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             p = p + rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         return cls(p[:-4].reshape(2, -1), p[-4:].reshape(2, 2))
@@ -137,26 +138,35 @@ def _batch(samples: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return x, there, gold, (gold @ each).sum(1) / there.sum(1)
 
 
-def likelihood(p: np.ndarray, x: np.ndarray, there: np.ndarray, gold: np.ndarray, weigh: np.ndarray) -> tuple[float, np.ndarray]:
-    """Weighted log-likelihood of the gold labels and its gradient, by the forward-backward sums. p: emissions, then moves."""
+def told(x: np.ndarray, there: np.ndarray, gold: np.ndarray, weigh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the gold labels say of figures and of moves, which no parameter changes."""
+    by_line = (gold * weigh[:, None, None]).reshape(-1, 2)
+    steps = np.stack([[(gold[:, :-1, a] * gold[:, 1:, b]).sum(1) @ weigh for b in (0, 1)] for a in (0, 1)])
+    return by_line.T @ x.reshape(len(by_line), -1), steps
+
+
+def likelihood(p: np.ndarray, x: np.ndarray, there: np.ndarray, gold: np.ndarray, weigh: np.ndarray, known: tuple | None = None) -> tuple[float, np.ndarray]:
+    """Weighted log-likelihood of the gold labels and its gradient, by the forward-backward sums. p: emissions, then moves; known: what
+    told() returns. The sums are kept as shares; ``scale`` is what a place multiplies them by."""
     emit, move, longest = p[:-4].reshape(2, -1), p[-4:].reshape(2, 2), x.shape[1]
-    score = x @ emit.T
-    alpha, beta = np.zeros_like(score), np.zeros_like(score)
-    alpha[:, 0] = score[:, 0]
-    for k in range(1, longest):
-        new = score[:, k] + np.logaddexp(alpha[:, k - 1, :1] + move[0], alpha[:, k - 1, 1:] + move[1])
-        alpha[:, k] = np.where(there[:, k, None] > 0, new, alpha[:, k - 1])
+    figures, steps = known or told(x, there, gold, weigh)
+    score = (emit @ x.reshape(-1, x.shape[2]).T).reshape(2, len(x), longest).transpose(2, 0, 1)  # by place, label and run
+    most, here = np.maximum(score[:, 0], score[:, 1]), there.T > 0
+    e, step = np.exp(score - most[:, None]), np.exp(move - move.max())
+    alpha, scale, beta = np.empty_like(e), np.ones((longest, len(x))), np.ones_like(e)
+    for k in range(longest):
+        new = e[k] if not k else (step.T @ alpha[k - 1]) * e[k]
+        total = new[0] + new[1]
+        scale[k] = np.where(here[k], total, 1)
+        alpha[k] = np.where(here[k], new / total, alpha[k - 1] if k else new)
     for k in range(longest - 2, -1, -1):
-        after = score[:, k + 1] + beta[:, k + 1]
-        new = np.logaddexp(move[:, 0] + after[:, :1], move[:, 1] + after[:, 1:])
-        beta[:, k] = np.where(there[:, k + 1, None] > 0, new, 0)
-    total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-    one = np.exp(np.minimum(alpha + beta - total[:, None, None], 0)) * there[:, :, None]
-    both = np.exp(np.minimum(alpha[:, :-1, :, None] + move + (score + beta)[:, 1:, None, :] - total[:, None, None, None], 0)) * there[:, 1:, None, None]
-    steps = gold[:, :-1, :, None] * gold[:, 1:, None, :]
-    value = (weigh * ((gold * score).sum((1, 2)) + (steps * move).sum((1, 2, 3)) - total)).sum()
-    pull = np.einsum("nab,n->ab", (steps - both).sum(1), weigh)
-    return float(value), np.concatenate([np.einsum("nkl,nkf,n->lf", gold - one, x, weigh).ravel(), pull.ravel()])
+        beta[k] = np.where(here[k + 1], step @ (e[k + 1] * beta[k + 1]) / scale[k + 1], 1)
+    after = e[1:] * beta[1:] * (here[1:] * weigh / scale[1:])[:, None]
+    both = step * np.array([[np.vdot(alpha[:-1, a], after[:, b]) for b in (0, 1)] for a in (0, 1)])
+    one = (alpha * beta * (here * weigh)[:, None]).transpose(1, 2, 0).reshape(2, -1)
+    total = (np.log(scale) + np.where(here, most, 0)).sum(0) @ weigh + move.max() * (here[1:].sum(0) @ weigh)
+    value = (emit * figures).sum() + (move * steps).sum() - total
+    return float(value), np.concatenate([(figures - one @ x.reshape(-1, x.shape[2])).ravel(), (steps - both).ravel()])
 
 
 def content_share(field: LineField, text: str | None) -> float:
