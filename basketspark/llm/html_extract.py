@@ -135,61 +135,75 @@ class BlockLabeller:
         p["o"], p["x"], p["c"] = r.normal(0, 0.1, 2 * HIDDEN), np.zeros(WIDTH), np.zeros(1)
         return cls({k: v.astype(np.float32) for k, v in p.items()})
 
-    def _run(self, x: np.ndarray, there: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-        """x: (steps, pages, WIDTH); there: (steps, pages, 1). States past a page's end stay as they were."""
+    def _run(self, x: np.ndarray, there: np.ndarray, keep: bool) -> tuple[np.ndarray, tuple | None]:
+        """Both directions side by side. x: (steps, pages, WIDTH); there: (steps, pages, 1). States past a page's end stay as they
+        were. The result is (steps, 2, pages, HIDDEN), by each direction's own steps; what ``_back`` needs is kept if asked for."""
         steps, n, _ = x.shape
-        z = (x.reshape(-1, WIDTH) @ self.p[f"w{d}"] + self.p[f"b{d}"]).reshape(steps, n, -1)
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
-        out, kept, u = np.zeros((steps, n, HIDDEN), np.float32), [None] * steps, self.p[f"u{d}"]
-        for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            a = z[t] + h @ u
-            gates = 1 / (1 + np.exp(-a[:, : 3 * HIDDEN]))
-            i, f, o, g = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :], np.tanh(a[:, 3 * HIDDEN :])
-            new = f * c + i * g
-            tanh = np.tanh(new)
-            kept[t] = (h, c, i, f, o, g, tanh)
-            m = there[t]
-            c = np.where(m, new, c)
-            h = np.where(m, o * tanh, h)
+        flat, kind = x.reshape(-1, WIDTH), x.dtype
+        z = np.empty((steps, 2, n, 4 * HIDDEN), kind)
+        z[:, 0] = (flat @ self.p["wf"] + self.p["bf"]).reshape(steps, n, -1)
+        z[:, 1] = (flat @ self.p["wb"] + self.p["bb"]).reshape(steps, n, -1)[::-1]
+        mask, full, u = np.stack([there, there[::-1]], 1), there.all((1, 2)) & there[::-1].all((1, 2)), np.stack([self.p["uf"], self.p["ub"]])
+        z[..., : 3 * HIDDEN] *= 0.5  # the logistic function by the hyperbolic tangent of a half
+        u[..., : 3 * HIDDEN] *= 0.5
+        h, c = np.zeros((2, n, HIDDEN), kind), np.zeros((2, n, HIDDEN), kind)
+        out = np.empty((steps, 2, n, HIDDEN), kind)
+        tanh, before = (np.empty_like(out), np.empty_like(out)) if keep else (None, None)
+        for t in range(steps):
+            a = np.tanh(z[t] + h @ u)
+            gates = a[..., : 3 * HIDDEN]
+            gates *= 0.5
+            gates += 0.5
+            new = a[..., HIDDEN : 2 * HIDDEN] * c + a[..., :HIDDEN] * a[..., 3 * HIDDEN :]
+            s = np.tanh(new)
+            if keep:
+                z[t], tanh[t], before[t] = a, s, c
+            o = a[..., 2 * HIDDEN : 3 * HIDDEN] * s
+            c, h = (new, o) if full[t] else (np.where(mask[t], new, c), np.where(mask[t], o, h))
             out[t] = h
-        return out, kept
+        return out, (z, tanh, before, mask) if keep else None
 
-    def scores(self, x: np.ndarray, there: np.ndarray) -> np.ndarray:
-        f, b = self._run(x, there, "f")[0], self._run(x, there, "b")[0]
-        return f @ self.p["o"][:HIDDEN] + b @ self.p["o"][HIDDEN:] + x @ self.p["x"] + self.p["c"]
+    def _scores(self, out: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return out[:, 0] @ self.p["o"][:HIDDEN] + out[::-1, 1] @ self.p["o"][HIDDEN:] + x @ self.p["x"] + self.p["c"]
 
-    def _back(self, grad: np.ndarray, x: np.ndarray, there: np.ndarray, kept: list, d: str, g: dict) -> None:
-        steps, n, _ = x.shape
-        dz = np.zeros((steps, n, 4 * HIDDEN), np.float32)
-        dh, dc = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
-        u = self.p[f"u{d}"]
-        du = np.zeros_like(u)
-        for t in range(steps - 1, -1, -1) if d == "f" else range(steps):
-            h, c, i, f, o, gg, tanh = kept[t]
-            m = there[t]
+    def scores(self, x: np.ndarray, there: np.ndarray) -> np.ndarray:
+        return self._scores(self._run(x, there, False)[0], x)
+
+    def _back(self, grad: np.ndarray, x: np.ndarray, out: np.ndarray, kept: tuple, g: dict) -> None:
+        """grad: of the states, by each direction's own steps."""
+        gates, tanh, before, mask = kept
+        steps, _, n, _ = grad.shape
+        i, f, o, new = (gates[..., k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        # What each gate's input takes of its state's and its cell's gradient; nothing past a page's end.
+        own = np.where(mask, o * (1 - tanh * tanh), 0)
+        take = np.where(mask[..., None], np.stack([new * i * (1 - i), before * f * (1 - f), tanh * o * (1 - o), i * (1 - new * new)], 3), 0)
+        back = np.stack([self.p["uf"].T, self.p["ub"].T])
+        dz = np.empty((steps, 2, n, 4, HIDDEN), gates.dtype)
+        dh, dc = np.zeros_like(grad[0]), np.zeros_like(grad[0])
+        for t in range(steps - 1, -1, -1):
             dh = dh + grad[t]
-            own = np.where(m, dh, 0)
-            cell = np.where(m, dc, 0) + own * o * (1 - tanh * tanh)
+            cell = dc + dh * own[t]
             a = dz[t]
-            a[:, :HIDDEN] = cell * gg * i * (1 - i)
-            a[:, HIDDEN : 2 * HIDDEN] = cell * c * f * (1 - f)
-            a[:, 2 * HIDDEN : 3 * HIDDEN] = own * tanh * o * (1 - o)
-            a[:, 3 * HIDDEN :] = cell * i * (1 - gg * gg)
-            du += h.T @ a
-            dh = np.where(m, a @ u.T, dh)
-            dc = np.where(m, cell * f, dc)
-        flat = dz.reshape(-1, 4 * HIDDEN)
-        g[f"u{d}"], g[f"w{d}"], g[f"b{d}"] = du, x.reshape(-1, WIDTH).T @ flat, flat.sum(0)
+            np.multiply(take[t], cell[:, :, None], out=a)
+            a[:, :, 2] = take[t, :, :, 2] * dh
+            there = mask[t]
+            dh = np.where(there, a.reshape(2, n, -1) @ back, dh)
+            dc = np.where(there, cell * f[t], dc)
+        flat = dz.reshape(steps, 2, n, -1)
+        for k, d in enumerate("fb"):
+            of = flat[:, k]
+            g[f"u{d}"] = out[:-1, k].reshape(-1, HIDDEN).T @ of[1:].reshape(-1, 4 * HIDDEN)
+            of = (of if d == "f" else of[::-1]).reshape(-1, 4 * HIDDEN)
+            g[f"w{d}"], g[f"b{d}"] = x.reshape(-1, WIDTH).T @ of, of.sum(0)
 
     def gradients(self, x: np.ndarray, there: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean log-loss of the blocks, by parameter."""
-        f, kf = self._run(x, there, "f")
-        b, kb = self._run(x, there, "b")
-        s = f @ self.p["o"][:HIDDEN] + b @ self.p["o"][HIDDEN:] + x @ self.p["x"] + self.p["c"]
-        ds = np.where(there[..., 0], 1 / (1 + np.exp(-s)) - y, 0) / there.sum()
-        g = {"o": np.concatenate([np.einsum("tn,tnh->h", ds, f), np.einsum("tn,tnh->h", ds, b)]), "x": np.einsum("tn,tnw->w", ds, x), "c": ds.sum(keepdims=True).ravel()}
-        self._back(ds[..., None] * self.p["o"][:HIDDEN], x, there, kf, "f", g)
-        self._back(ds[..., None] * self.p["o"][HIDDEN:], x, there, kb, "b", g)
+        out, kept = self._run(x, there, True)
+        s = self._scores(out, x)
+        ds = (np.where(there[..., 0], 1 / (1 + np.exp(-s)) - y, 0) / there.sum()).astype(x.dtype)
+        flat, o = ds.ravel(), self.p["o"].reshape(2, HIDDEN)
+        g = {"o": np.concatenate([flat @ out[:, 0].reshape(-1, HIDDEN), flat @ out[::-1, 1].reshape(-1, HIDDEN)]), "x": flat @ x.reshape(-1, WIDTH), "c": flat.sum(keepdims=True)}
+        self._back(np.stack([ds[..., None] * o[0], ds[::-1, :, None] * o[1]], 1), x, out, kept, g)
         return g
 
     def train(self, pages: list[tuple[np.ndarray, list[int]]], rounds: int = ROUNDS, rate: float = 8e-3, seed: int = SEED) -> BlockLabeller:
@@ -239,6 +253,8 @@ class BlockLabeller:
 
 
 def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if len(pages) == 1:
+        return pages[0][:, None], np.ones((len(pages[0]), 1, 1), bool)
     x = np.zeros((max(map(len, pages)), len(pages), WIDTH), np.float32)
     there = np.zeros((*x.shape[:2], 1), bool)
     for i, p in enumerate(pages):

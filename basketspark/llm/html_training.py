@@ -33,6 +33,8 @@ NAMES = {
     "main": "content main main-content article post entry entry-content post-content article-body article-content story story-body body-text text page-content blog-post single post-body prose hentry".split(),
     "none": "row col col-md-8 container wrapper inner box x1 css-1a2b3c section block group grid flex w-full layout page-wrap outer clearfix".split(),
 }
+#: Different words of a page, some of them alike.
+POOL = 400
 MARK = "\ue000"
 KINDS = ("nav", "footer", "notice", "ad", "form", "side", "comments")
 
@@ -43,11 +45,16 @@ class PageMaker:
     def __init__(self, seed: int):
         self.r = Random(seed)
 
+    def spoken(self) -> list[str]:
+        """A page's words, of which its texts are made."""
+        syllables = self.r.choice(SYLLABLES).split()
+        return ["".join(self.r.choices(syllables, k=n)) for n in self.r.choices((1, 1, 2, 2, 3, 4), k=POOL)]
+
     def word(self) -> str:
-        return "".join(self.r.choice(self.syllables) for _ in range(self.r.choice((1, 1, 2, 2, 3, 4))))
+        return self.r.choice(self.pool)
 
     def words(self, n: int) -> str:
-        out = " ".join(self.word() for _ in range(n)).capitalize()
+        out = " ".join(self.r.choices(self.pool, k=n)).capitalize()
         return out + self.r.choice((".", ".", ".", "", "!", ",", " &amp;")) if n > 3 else out
 
     def passage(self, n: int) -> str:
@@ -155,7 +162,7 @@ class PageMaker:
 
     def page(self) -> str:
         r = self.r
-        self.syllables = r.choice(SYLLABLES).split()
+        self.pool = self.spoken()
         self.bare = r.random() < 0.2
         body = self.article()
         tag = r.choice(("article", "article", "main", "div", "div", "section"))
