@@ -12,7 +12,8 @@ its own: those that most often occur have a column in a table of states, others
 
 Whole texts are parsed, in pieces of ``PIECE`` characters side by side, each as if a phrase began with it. Then each piece is gone
 through again from the state in which the one before it ended, until a phrase begins at the same place in both parses; from there
-on they are the same, so the phrases are those of the whole text.
+on they are the same, so the phrases are those of the whole text. Pieces without such a place, as in long runs of one letter, are gone
+through once more, one after the other.
 
 Edge cases: ``und`` with score 0 if a text is null or has no letter, or nothing could be learnt; equal figures go to the first
 language by name; a document without id or language is not learnt from; repeated rows and null ids are carried; an empty table
@@ -21,6 +22,7 @@ gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import cache
 from zlib import crc32
 
@@ -118,6 +120,7 @@ class CrossParser:
         rare = np.array(sorted(rare), np.int64).reshape(-1, 2)
         self.keys, self.goes = np.append(rare[:, 0], np.iinfo(np.int64).max), np.append(rare[:, 1], 0).astype(np.int32)
         self.table = np.concatenate(tables).ravel()
+        self.table_view, self.key_view = memoryview(self.table), memoryview(self.keys)
         self.weight = np.array([np.log2(max(2, len(t))) for t in texts])
 
     def _find(self, states: np.ndarray, letters: np.ndarray) -> np.ndarray:
@@ -136,9 +139,33 @@ class CrossParser:
         go[rare] = np.where((there > 0) & (states[rare] != root), there, -np.where(anew > 0, anew, root))
         return go
 
-    def _parsed(self, side: np.ndarray, active: np.ndarray, owner: np.ndarray, follows: np.ndarray, root: int, n: int) -> np.ndarray:
-        """Phrases of each text. side: letters of pieces in columns, ``active`` of them at each place; ``follows``: the column of
-        the piece before a piece, or -1."""
+    def _one(self, state: int, letter: int, root: int) -> int:
+        """``_go`` of one rare letter."""
+        for of in (state, root):
+            key = of // self.width * self.size + letter
+            at = bisect_left(self.key_view, key)
+            if self.key_view[at] == key:
+                return int(self.goes[at]) if of != root else -int(self.goes[at])
+        return -root
+
+    def _again(self, letters: list[int], old: list[bool], state: int, root: int) -> tuple[list[bool], int, int | None]:
+        """A piece from a state on, up to a phrase that the old parse has too: where phrases begin so far, how many more they are,
+        and the last state if there was no such phrase."""
+        table, width, new = self.table_view, self.width, []
+        for c, was in zip(letters, old, strict=True):
+            state = table[state + c] if c < width else self._one(state, c, root)
+            new.append(state < 0)
+            if state < 0:
+                state = -state
+                if was:
+                    break
+        else:
+            return new, sum(new) - sum(old), state
+        return new, sum(new) - sum(old[: len(new)]), None
+
+    def _parsed(self, side: np.ndarray, active: np.ndarray, owner: np.ndarray, place: np.ndarray, follows: np.ndarray, root: int, n: int) -> np.ndarray:
+        """Phrases of each text. side: letters of pieces in columns, ``active`` of them at each place; ``place``: of a piece in its
+        text; ``follows``: the column of the piece before a piece, or -1."""
         longest, pieces = side.shape
         rare = side.max(1) >= self.width
         begins, state, ends = np.zeros(side.shape, bool), np.full(pieces, root, np.int32), np.zeros(pieces, np.int32)
@@ -149,31 +176,35 @@ class CrossParser:
             np.abs(go, out=state[:k])
         phrases, ends = begins.sum(0), state
         begun = np.where(follows >= 0, ends[follows], -1).astype(np.int32)  # the state in which each piece has to begin
-        todo = np.flatnonzero(begun >= 0)
-        while len(todo):
-            at, state, change, t = todo, begun[todo], np.zeros(pieces, np.int64), 0
-            again = []
-            while len(at):
-                stay = active[t] > at if t < longest else np.zeros(len(at), bool)
-                if not stay.all():  # to a piece's end without a common phrase: the next piece has to begin in another state
-                    over, last = at[~stay], state[~stay]
-                    ends[over] = last
-                    again.append(over)
-                    at, state = at[stay], state[stay]
-                    if not len(at):
-                        break
-                go = self._go(state, side[t, at], rare[t], root)
-                new, old = go < 0, begins[t, at]
-                change[at] += new.astype(np.int64) - old
-                begins[t, at] = new
-                state = np.abs(go)
-                differ = ~(new & old)
-                at, state, t = at[differ], state[differ], t + 1
-            phrases = phrases + change
-            again = np.concatenate(again) if again else np.zeros(0, np.int64)
-            todo = np.flatnonzero(np.isin(follows, again)) if len(again) else again
-            todo = todo[ends[follows[todo]] != begun[todo]] if len(todo) else todo
-            begun[todo] = ends[follows[todo]]
+        at = np.flatnonzero(begun >= 0)
+        state, change, t = begun[at], np.zeros(pieces, np.int64), 0
+        while len(at):
+            stay = active[t] > at if t < longest else np.zeros(len(at), bool)
+            if not stay.all():  # to a piece's end without a common phrase: the next piece has to begin in another state
+                ends[at[~stay]] = state[~stay]
+                at, state = at[stay], state[stay]
+                if not len(at):
+                    break
+            go = self._go(state, side[t, at], rare[t], root)
+            new, old = go < 0, begins[t, at]
+            change[at] += new.astype(np.int64) - old
+            begins[t, at] = new
+            state = np.abs(go)
+            differ = ~(new & old)
+            at, state, t = at[differ], state[differ], t + 1
+        after = np.full(pieces, -1)
+        after[follows[follows >= 0]] = np.flatnonzero(follows >= 0)
+        todo = np.flatnonzero((follows >= 0) & (ends[follows] != begun))
+        for k in todo[np.argsort(place[todo], kind="stable")].tolist():  # runs: one piece after the other, each once
+            while k >= 0 and ends[follows[k]] != begun[k]:
+                begun[k] = ends[follows[k]]
+                size = int(np.searchsorted(-active, -k, side="left"))
+                marks, more, end = self._again(side[:size, k].tolist(), begins[:size, k].tolist(), int(begun[k]), root)
+                begins[: len(marks), k] = marks
+                change[k] += more
+                ends[k] = ends[k] if end is None else end
+                k = int(after[k])
+        phrases = phrases + change
         count = np.zeros(n, np.int64)
         np.add.at(count, owner, phrases)
         return count
@@ -196,10 +227,10 @@ class CrossParser:
             for c, i in enumerate(order):
                 side[: len(cut[i][2]), c] = cut[i][2]
             active = np.searchsorted(-sizes, -np.arange(len(side)), side="left")
-            owner = np.array([cut[i][0] for i in order])
+            owner, place = (np.array([cut[i][k] for i in order]) for k in (0, 1))
             follows = np.array([column.get((cut[i][0], cut[i][1] - 1), -1) for i in order])
             for lang, root in enumerate(self.roots):
-                count[first:last, lang] = self._parsed(side, active, owner, follows, root, last - first)
+                count[first:last, lang] = self._parsed(side, active, owner, place, follows, root, last - first)
             first = last
         return count * self.weight / np.maximum(1, [len(s) for s in every])[:, None]
 

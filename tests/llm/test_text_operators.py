@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -227,6 +228,19 @@ def test_pieces_change_nothing(monkeypatch, piece, together):
     assert np.allclose(language_id.CrossParser(learnt).figures(texts), plain_figures(learnt, texts))
 
 
+def test_long_runs():
+    """Phrases as long as pieces, which begin nowhere else in two parses: plain figures, and time that is linear and short."""
+    r = random.Random(9)
+    learnt = {"a": "the cat sat " * 20 + "a" * 700 + " dog", "b": "ababab" * 150 + "der hund", "c": "".join(chr(0x4E00 + r.randrange(300)) for _ in range(400)) + "\u4e00" * 900}
+    parts = ["a" * 900, "ab" * 300, "\u4e00" * 500, "the cat", "b"]
+    texts = ["a" * 4000, "ab" * 1500, "\u4e00" * 3000, "a" * 3000 + "the cat " * 9, "".join(r.choice(parts) for _ in range(9))]
+    parser = language_id.CrossParser(learnt)
+    assert np.allclose(parser.figures(texts), plain_figures(learnt, texts))
+    began = time.process_time()
+    parser.figures(["a" * 400_000, "\u4e00" * 400_000])
+    assert time.process_time() - began < 5
+
+
 def test_large_alphabets():
     """Thousands of letters, each its own; some are in both texts."""
     r = random.Random(8)
