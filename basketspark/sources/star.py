@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .exchanges import sized
+
 
 def _int(column: F.Column | str) -> F.Column:
     return (F.col(column) if isinstance(column, str) else column).cast("int")
@@ -18,6 +20,7 @@ def _int(column: F.Column | str) -> F.Column:
 def basket_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """orders, prior, train, lines (all, test lines too), products, aisles and departments."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    sized(spark, read("lineitem").count())
     pairs = read("lineitem").groupBy("l_orderkey", "l_partkey").agg(F.min("l_linenumber").alias("line"))
     by_user = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     kept = read("orders").select("o_orderkey", "o_custkey", "o_orderdate").join(pairs.select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
