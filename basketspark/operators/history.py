@@ -111,7 +111,9 @@ def _histories(lines: DataFrame, targets: DataFrame, products: DataFrame, with_n
 
 
 def histories_of(baskets: DataFrame, targets: DataFrame, products: DataFrame, with_none: bool) -> DataFrame:
-    """The same of baskets: (user_id, order_id, order_number, items)."""
+    """The same of baskets: (user_id, order_id, order_number, items). Further columns of the products are handed on. Products join the
+    slim candidates, before texts are written: no row with texts is shuffled."""
+    more = [c for c in products.columns if c not in ("product_id", "product_name", "aisle_id", "department_id")]
     entries = _entries(baskets, products.schema["product_id"].dataType, with_none)
     by, none = ["user_id", "product_id", *["none"] * with_none], F.col("none") if with_none else F.lit(False)
     candidates = entries.groupBy(*by).agg(F.sort_array(F.collect_list("entry")).alias("entries"))
@@ -126,12 +128,11 @@ def histories_of(baskets: DataFrame, targets: DataFrame, products: DataFrame, wi
     before = F.filter("entries", lambda e: F.col("target").isNull() | (_order(e) < F.col("target")))
     of = lambda yes, no: F.when(none, yes).otherwise(no) if with_none else no
     return (
-        candidates.join(users, "user_id")
+        candidates.join(products, "product_id", "left")
+        .join(users.join(targets, "user_id", "left"), "user_id")
         .withColumn("before", before)
         .filter(none | (F.size("before") > 0))
         .withColumn("written", _written())
-        .join(targets, "user_id", "left")
-        .join(products, "product_id", "left")
         .withColumns(
             {
                 "aisle_id": of(zero, F.col("aisle_id")),
@@ -143,7 +144,7 @@ def histories_of(baskets: DataFrame, targets: DataFrame, products: DataFrame, wi
                 "history_reorder_size": of(F.col("_reorders"), F.col("_again")),
             }
         )
-        .select(PRODUCT_COLUMNS)
+        .select(*PRODUCT_COLUMNS, *more)
     )
 
 

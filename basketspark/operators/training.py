@@ -34,9 +34,10 @@ def aisle_training(history: DataFrame, pad_length: int = PAD_LENGTH) -> DataFram
     return history.select("user_id", "aisle_id", "department_id", "eval_set", *(every[c][0].alias(c) for c in every), every["is_ordered_history"][1].alias("history_length"))
 
 
-def product_training(history: DataFrame, encoded: DataFrame, name_length: int = NAME_LENGTH, encode_length: int = ENCODE_LENGTH) -> DataFrame:
-    """A product without an encoding has an empty name."""
+def product_training(history: DataFrame, encoded: DataFrame | None, name_length: int = NAME_LENGTH, encode_length: int = ENCODE_LENGTH) -> DataFrame:
+    """A product without an encoding has an empty name. Without ``encoded``, the history has ``product_name_encoded`` itself, which spares
+    its rows a shuffle by product."""
     every = _padded([*PRODUCT_STEPS, *TIMES], encode_length)
     name, size = pad_sequence(parse_sequence("product_name_encoded"), name_length)
-    rows = history.join(encoded, "product_id", "left")
+    rows = history if encoded is None else history.join(encoded, "product_id", "left")
     return rows.select("user_id", "product_id", "train_eval_set", "label", name.alias("product_name_encoded"), *(every[c][0].alias(c) for c in every), every["is_ordered_history"][1].alias("history_length"), size.alias("product_name_length"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketspark.functions import sequences as s
 from basketspark.operators import baskets, history, sampling, text, training
 from basketspark.operators.ranks import ranked
+from basketspark.sources import exchanges
 
 LINES = "user_id int, order_id int, order_number int, eval_set string, product_id int, aisle_id int, department_id int, add_to_cart_order int, reordered int, order_dow int, order_hour_of_day int, days_since_prior_order double"
 
@@ -160,3 +161,24 @@ def test_ranks_are_places_in_the_order(spark, n, spread):
 def test_ranks_need_no_single_partition(spark):
     df = ranked(spark.range(1000).withColumn("v", F.lit(1)), [F.desc("id")], "place", {"before": "v"})
     assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_further_columns_of_products_reach_training(spark):
+    """The names' indexes come with the products, so that no history with texts is shuffled for them."""
+    known = products(spark, 1, 2, 3).withColumn("product_name_encoded", F.concat_ws(" ", "product_id", F.lit("5")))
+    rows = history.product_history_all(lines(spark, [[1, 2], [1, 3], [2]]), targets(spark, (1, "train")), known)
+    assert rows.columns == [*history.PRODUCT_COLUMNS, "product_name_encoded"]
+    got = {r.product_id: (r.product_name_encoded, r.product_name_length) for r in training.product_training(rows, None, 3, 4).collect()}
+    assert got == {0: ([0, 0, 0], 0), 1: ([1, 5, 0], 2), 2: ([2, 5, 0], 2), 3: ([3, 5, 0], 2)}
+
+
+def test_exchanges_grow_with_the_input(spark):
+    """More rows are dealt into more partitions; what a session has is only made finer."""
+    before = {n: spark.conf.get(n, None) for n in (exchanges._PARTS, exchanges._SIZE)}
+    try:
+        exchanges.sized(spark, 40 * exchanges.ROWS)
+        exchanges.sized(spark, 10)
+        assert spark.conf.get(exchanges._PARTS) == "40" and spark.conf.get(exchanges._SIZE) == f"{exchanges.TASK_MB}m"
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
