@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 ROWS = 512
 
 
+#: MB of the Arrow batches that tasks hand to Python, each of which lies in the executor and in its worker at once.
+BATCH_MB = 4
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_MB}m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
