@@ -14,7 +14,7 @@ def parse_sequence(column: Column | str, pattern: str = r"\s+", kind: str = "int
         raise ValueError(f"unsupported element type {kind!r}")
     text = F.trim(F.col(column) if isinstance(column, str) else column)
     empty = F.array().cast(f"array<{ELEMENTS[kind]}>")
-    return F.when(F.coalesce(text, F.lit("")) == "", empty).otherwise(F.transform(F.split(text, pattern), lambda x: x.try_cast(ELEMENTS[kind])))
+    return F.when(F.coalesce(text, F.lit("")) == "", empty).otherwise(F.split(text, pattern).try_cast(f"array<{ELEMENTS[kind]}>"))
 
 
 def pad_sequence(column: Column | str, length: int, kind: str = "int") -> tuple[Column, Column]:
@@ -25,6 +25,13 @@ def pad_sequence(column: Column | str, length: int, kind: str = "int") -> tuple[
     return F.concat(kept, zeros), F.size(kept)
 
 
+def pad_text(column: Column | str, length: int, kind: str = "int") -> tuple[Column, Column]:
+    """The same as a text, whose zeros are written at once."""
+    kept = F.slice(F.col(column) if isinstance(column, str) else column, 1, length)
+    zero = " 0.0" if kind in ("double", "float") else " false" if kind == "bool" else " 0"
+    return F.ltrim(F.concat(joined(kept), F.repeat(F.lit(zero), F.lit(length) - F.size(kept)))), F.size(kept)
+
+
 def decode_baskets(column: Column | str, kind: str = "int") -> Column:
     """``a_b c`` as an array of arrays."""
     text = F.trim(F.col(column) if isinstance(column, str) else column)

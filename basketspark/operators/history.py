@@ -61,11 +61,6 @@ def _times(baskets: DataFrame, *more: str) -> dict[str, Column]:
     return {c: F.array_min(F.col(f"items.{c}")) for c in ("order_dow", "order_hour_of_day", "days_since_prior_order", *more) if c not in baskets.columns}
 
 
-def _in_history(entries: str = "entries") -> Column:
-    """The entries (order_number, what) of a candidate that are before the target."""
-    return F.map_from_entries(F.filter(entries, lambda e: F.col("target").isNull() | (e.order_number < F.col("target"))))
-
-
 def _by_step(value) -> Column:
     return joined(F.transform("h", value))
 
@@ -181,33 +176,37 @@ def product_history_all(lines: DataFrame, targets: DataFrame, products: DataFram
     return _histories(lines, targets, products, True)
 
 
-def aisle_history(lines: DataFrame, departments: DataFrame) -> DataFrame:
-    """A row for each user and aisle of the history; an aisle's position is among the basket's different aisles."""
-    return aisles_of(_baskets(lines, ["aisle_id", "order_dow", "order_hour_of_day", "days_since_prior_order", "eval_set"]), departments)
-
-
-def aisles_of(baskets: DataFrame, departments: DataFrame) -> DataFrame:
-    """The same of baskets: (user_id, order_id, order_number, items)."""
-    baskets = baskets.withColumn("aisles", F.array_distinct("items.aisle_id"))
-    users = _users(baskets.withColumns({**_times(baskets, "eval_set"), "size": F.size(F.array_compact("aisles"))}).drop("items", "aisles"), ["size"]).withColumn("aisle_history_size", _by_step(lambda x: x.size))
-    own = baskets.select("user_id", "order_number", F.col("items.aisle_id").alias("every"), F.posexplode("aisles").alias("place", "aisle_id"))
-    own = own.select("user_id", "order_number", "aisle_id", (F.col("place") + 1).alias("place"), F.size(F.filter("every", lambda x: x.eqNullSafe(F.col("aisle_id")))).alias("n")).repartition("user_id", "aisle_id")
-    own = own.groupBy("user_id", "aisle_id", "order_number").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
-    candidates = own.groupBy("user_id", "aisle_id").agg(F.collect_list(F.struct("order_number", F.struct("place", "n").alias("v"))).alias("entries"))
-    found = lambda f: joined(F.transform("found", lambda v: F.coalesce(v[f], F.lit(0))))
+def aisle_history(lines: DataFrame, departments: DataFrame, shared: dict[str, Column] | None = None, own=joined) -> DataFrame:
+    """A row for each user and aisle of the history; an aisle's position is among the basket's different aisles. ``shared`` are columns
+    to make of those that all aisles of a user share, once a user; ``own`` makes a column of an aisle's numbers by step."""
+    items = F.sort_array(F.collect_list(F.struct("add_to_cart_order", "product_id", "aisle_id")))
+    return aisles_of(lines.groupBy("user_id", "order_id", "order_number").agg(*(F.min(c).alias(c) for c in FACTS), items.alias("items")), departments, shared, own)
+
+
+def aisles_of(baskets: DataFrame, departments: DataFrame, shared: dict[str, Column] | None = None, own=joined) -> DataFrame:
+    """The same of baskets: (user_id, order_id, order_number, items). A candidate is looked up once a step, for all its columns, and what
+    its user hands on are numbers of steps and texts that are ready."""
+    every = F.col("items.aisle_id")
+    found = baskets.withColumns(_times(baskets, "eval_set")).select("user_id", "order_number", *FACTS, every.alias("every"), F.array_distinct(every).alias("aisles"))
+    found = found.select("*", F.size(F.array_compact("aisles")).alias("size"), F.posexplode("aisles").alias("place", "aisle_id"))
+    # An array of one, which both uses of these rows unpack after the one exchange that they share.
+    n = F.size(F.filter("every", lambda x: x.eqNullSafe(F.col("aisle_id"))))
+    basket = F.when(F.col("place") == 0, F.struct(*FACTS, "size"))
+    packed = F.array(F.struct("order_number", (F.col("place") + 1).alias("place"), n.alias("n"), basket.alias("basket")))
+    rows = found.select("user_id", "aisle_id", packed.alias("packed")).repartition("user_id", "aisle_id")
+    users = _users(rows.select("user_id", F.inline("packed")).filter(F.col("basket").isNotNull()).select("user_id", "order_number", "basket.*"), ["size"])
+    users = users.select("user_id", "target", F.col("h.order_number").alias("steps"), "eval_set", _by_step(lambda x: x.size).alias("aisle_history_size"), *TIMES).withColumns(shared or {})
+    rows = rows.select("user_id", "aisle_id", F.inline("packed"))
+    rows = rows.groupBy("user_id", "aisle_id", "order_number").agg(F.min("place").alias("place"), F.sum("n").cast("int").alias("n"))
+    entry = F.struct("order_number", F.struct(F.lit(1).alias("one"), "place", "n").alias("v"))
+    candidates = rows.groupBy("user_id", "aisle_id").agg(F.min("order_number").alias("first"), F.map_from_entries(F.collect_list(F.when(F.col("order_number").isNotNull(), entry))).alias("at"))
+    absent = F.struct(*(F.lit(0).alias(c) for c in ("one", "place", "n")))
     return (
         candidates.join(users, "user_id")
-        .withColumn("at", _in_history())
-        .filter(F.size("at") > 0)
-        .withColumn("found", F.transform("h", lambda x: F.try_element_at("at", x.order_number)))
+        .filter(F.col("target").isNull() | (F.col("first") < F.col("target")))
         .join(departments, "aisle_id", "left")
-        .withColumns(
-            {
-                "is_ordered_history": joined(F.transform("found", lambda v: v.isNotNull().cast("int"))),
-                "position_in_order": found("place"),
-                "num_products_from_aisle": found("n"),
-            }
-        )
+        .withColumn("found", F.transform("steps", lambda n: F.coalesce(F.try_element_at("at", n), absent)))
+        .withColumns({"is_ordered_history": own(F.col("found.one")), "position_in_order": own(F.col("found.place")), "num_products_from_aisle": own(F.col("found.n"))})
         .select(AISLE_COLUMNS)
     )
 

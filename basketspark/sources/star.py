@@ -18,7 +18,7 @@ def _int(column: F.Column | str) -> F.Column:
 
 
 def basket_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """orders, prior, train, lines (all, test lines too), products, aisles and departments."""
+    """orders, prior, train, lines (all, test lines too), carts (these before they meet their orders), products, aisles and departments."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     sized(spark, read("lineitem").count())
     pairs = read("lineitem").groupBy("l_orderkey", "l_partkey").agg(F.min("l_linenumber").alias("line"))
@@ -36,10 +36,11 @@ def basket_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("before").isNotNull(), F.least(F.lit(30), F.datediff("o_orderdate", "before"))).cast("double").alias("days_since_prior_order"),
     )
     pairs = pairs.select(_int(F.col("l_orderkey") + 1).alias("order_id"), _int(F.col("l_partkey") + 1).alias("product_id"), "line")
-    lines = pairs.join(orders.select("order_id", "user_id", "eval_set", "order_number"), "order_id").select(
+    carts = pairs.select("order_id", "product_id", _int(F.row_number().over(Window.partitionBy("order_id").orderBy("line", "product_id"))).alias("add_to_cart_order"))
+    lines = carts.join(orders.select("order_id", "user_id", "eval_set", "order_number"), "order_id").select(
         "order_id",
         "product_id",
-        _int(F.row_number().over(Window.partitionBy("order_id").orderBy("line", "product_id"))).alias("add_to_cart_order"),
+        "add_to_cart_order",
         (F.col("order_number") > F.min("order_number").over(Window.partitionBy("user_id", "product_id"))).cast("int").alias("reordered"),
         "eval_set",
     )
@@ -51,6 +52,7 @@ def basket_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "prior": of("prior"),
         "train": of("train"),
         "lines": lines,
+        "carts": carts,
         "products": products,
         "aisles": products.select("aisle_id", F.concat(F.lit("aisle "), "aisle_id").alias("aisle")).distinct(),
         "departments": products.select("department_id", F.concat(F.lit("department "), "department_id").alias("department")).distinct(),

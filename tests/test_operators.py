@@ -1,6 +1,7 @@
 """Golden rows of the basket operators."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,12 @@ def test_parse_sequence(spark):
         s.parse_sequence("t", kind="string")
 
 
+def test_pad_text(spark):
+    df = spark.createDataFrame([([1, 2, 3],), ([5],), ([],)], "a array<int>")
+    assert [tuple(r) for r in df.select(*s.pad_text("a", 2)).collect()] == [("1 2", 2), ("5 0", 1), ("0 0", 0)]
+    assert [r[0] for r in df.select(s.pad_text(F.col("a").cast("array<double>"), 2, "double")[0]).collect()] == ["1.0 2.0", "5.0 0.0", "0.0 0.0"]
+
+
 def test_pad_sequence(spark):
     df = spark.createDataFrame([([9, 7, 6, 5, 4],), ([4, 8],), ([],)], "a array<int>")
     a, n = s.pad_sequence("a", 4)
@@ -100,6 +107,35 @@ def test_aisle_history(spark):
     assert (got[3].position_in_order, got[3].num_products_from_aisle, got[3].department_id) == ("0 2 2", "0 2 1", None)
 
 
+def test_aisles_with_nulls_and_two_baskets_of_one_number(spark):
+    aisles = {1: 1, 2: None, 3: 2}
+    df = lines(spark, [[2, 1], [3], [1]], aisles=aisles)
+    df = df.union(df.filter("order_number = 2").withColumns({"order_id": F.lit(99), "aisle_id": F.lit(1)}))
+    got = {r.aisle_id: r for r in history.aisle_history(df, spark.createDataFrame([(1, 9)], "aisle_id int, department_id int")).collect()}
+    steps = lambda r: (r.is_ordered_history, r.position_in_order, r.num_products_from_aisle, r.aisle_history_size)
+    assert steps(got[1]) == ("1 1 1", "2 1 1", "1 1 1", "1 1 1") and steps(got[2]) == ("0 1 1", "0 1 1", "0 1 1", "1 1 1")
+    assert steps(got[None]) == ("1 0 0", "1 0 0", "1 0 0", "1 1 1") and got[None].department_id is None
+
+
+def test_aisles_of_baskets_are_found_once(spark):
+    df = history.aisle_history(lines(spark, [[1, 2], [1]], aisles={1: 1, 2: 2}), spark.createDataFrame([(1, 9)], "aisle_id int, department_id int"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"Aggregate\(.*collect_list\(struct\(add_to_cart_order", plan)) == 2  # partial and final
+    assert not re.search(r"lambdafunction\([^\n]*map_from_entries", plan)
+
+
+def test_aisle_training_of_lines(spark):
+    df = lines(spark, [[1, 2, 3], [3, 1], [1, 2], [3]], aisles={1: 1, 2: 1, 3: 2}).union(lines(spark, [[2]], user=2, aisles={2: 1}))
+    deps = spark.createDataFrame([(1, 9)], "aisle_id int, department_id int")
+    for length in (2, 6):
+        want = training.aisle_training(history.aisle_history(df, deps), length)
+        got = training.aisle_training_of(df, deps, length)
+        assert got.dtypes == want.dtypes and sorted(got.collect()) == sorted(want.collect()) and want.count() == 3
+        texts = want.select(*(s.joined(c).alias(c) if t.startswith("array") else c for c, t in want.dtypes))
+        assert sorted(training.aisle_training_of(df, deps, length, s.pad_text).collect()) == sorted(texts.collect())
+
+
 def test_reorder_size(spark):
     df = lines(spark, [[1, 2, 3], [1, 2, 4], [1, 5, 3]], flags=[[0, 1, 0], [1, 1, 0], [1, 0, 1]]).union(lines(spark, [[1, 2, 3]], user=2, flags=[[0, 1, 1]]))
     got = {r.user_id: r for r in history.reorder_size(df).collect()}
