@@ -1,7 +1,7 @@
 """Uniqueness and foreign keys. Keys with a null part are left out of both.
 
-All keys of a table are counted in one pass: each row gives a slim row (number of the key, two hashes) for each key, which are summed
-before and after one shuffle. Rows of equal first hash are equal keys if their second hashes agree; where they don't, different keys
+All keys of a table are counted in one pass: each row gives a slim row (number of the key, two hashes) for each key, which are dealt by
+the first hash and then summed. Rows of equal first hash are equal keys if their second hashes agree; where they don't, different keys
 have met under one hash, and those alone are counted again by their values. All foreign keys are tested in one pass too: the child's
 keys and the parents' keys, tagged, meet in one sum, which the hot ones enter once a task.
 """
@@ -62,14 +62,21 @@ def _hashes(columns: list[str], bits: int) -> tuple[Column, Column]:
     return (first if bits >= 64 else F.pmod(first, F.lit(1 << bits))), F.xxhash64(F.lit(SECOND), *(f"`{c}`" for c in reversed(columns)))
 
 
+def _met(df: DataFrame, keys: list[list[str]], hashes: list[tuple[Column, Column]]) -> DataFrame:
+    """(key's number, first hash, n, low, high): the hashes that occur more than once, with the range of their second ones."""
+    slim = _tagged(df, keys).select("_key", _of([h for h, _ in hashes]).alias("_hash"), _of([g for _, g in hashes]).alias("_check"))
+    # Dealt before they are summed: sums of keys that hardly repeat would fill a reading task's memory and be spilled by it.
+    dealt = slim.repartition("_key", "_hash")
+    return dealt.groupBy("_key", "_hash").agg(F.count("*").alias("n"), F.min("_check").alias("low"), F.max("_check").alias("high")).filter("n > 1")
+
+
 def uniqueness_of(df: DataFrame, keys: list[list[str]], bits: int = 64) -> list[tuple[int, int]]:
     """(duplicate_rows, duplicate_keys) of each key, from one scan and one shuffle of df. ``bits`` of the first hash are used."""
     keys = [_known(df, k) for k in keys]
     if not keys:
         return []
     hashes = [_hashes(k, bits) for k in keys]
-    slim = _tagged(df, keys).select("_key", _of([h for h, _ in hashes]).alias("_hash"), _of([g for _, g in hashes]).alias("_check"))
-    met = slim.groupBy("_key", "_hash").agg(F.count("*").alias("n"), F.min("_check").alias("low"), F.max("_check").alias("high")).filter("n > 1")
+    met = _met(df, keys, hashes)
     same = F.col("low") == F.col("high")
     found = {r[0]: r[1:] for r in met.groupBy("_key").agg(F.coalesce(F.sum(F.when(same, F.col("n"))), F.lit(0)), F.count_if(same), F.count_if(~same)).collect()}
     out = []

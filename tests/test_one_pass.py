@@ -30,6 +30,14 @@ def test_keys_of_one_pass(spark, bits):
             keys.uniqueness_of(df, bad)
 
 
+def test_keys_are_dealt_before_they_are_summed(spark):
+    df = spark.range(100).selectExpr("id AS a", "id % 7 AS b")
+    met = keys._met(df, [["a"], ["b"]], [keys._hashes(k, 64) for k in (["a"], ["b"])])
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan.split("Exchange")[1]
+    assert sorted(r.n for r in met.collect()) == [14] * 5 + [15] * 2
+
+
 def test_keys_need_one_scan(spark, tmp_path):
     table(spark, 1).write.parquet(str(tmp_path / "t"))
     df, scans = spark.read.parquet(str(tmp_path / "t")), []
